@@ -1,7 +1,8 @@
 """The supplied orders rendered as promotions in each source's payload shape.
 
-One order is one raw record. The JSON is written as text and parsed again, so
-the real extraction rules run on it. Rates move between the places a source may
+One order is one raw record, scraped in the month of its order. The records are
+written to a landing zone as JSON lines and read from there, so the queries run
+on what the sources would leave. Rates move between the places a source may
 state them, which makes every rule of the sources decide some rows.
 """
 
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPIDERS = ["bbva", "galicia", "naranjax"]
-START, END = "1995-01-01", "2001-12-31"
+# Offers that are valid in shops only end early, so a date between splits them.
+START, END, END_EARLY = "1995-01-01", "2001-12-31", "2000-06-30"
 _DAY_CODES = ["Lu", "Ma", "Mi", "Ju", "Vi", "Sa", "Do"]
 
 
@@ -34,7 +36,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             key.alias("seq"),
             F.col("o_custkey").cast("string").alias("source_id"),
-            F.to_date("o_orderdate").alias("scraped_at_dt"),
+            F.trunc("o_orderdate", "month").alias("scraped_at_dt"),
             F.col("c_mktsegment").alias("merchant"),
             F.col("r_name").alias("category"),
             ((key % 5) * 10).alias("percent"),
@@ -57,6 +59,11 @@ def _one_if(condition: Column) -> Column:
     return F.when(condition, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
 
 
+def _end(pattern: str) -> Column:
+    end = F.when(F.col("status") == "O", F.lit(END_EARLY)).otherwise(F.lit(END))
+    return F.date_format(F.to_date(end), pattern)
+
+
 def bbva_payload() -> Column:
     percent = F.col("percent").cast("string")
     is_at = {p: F.col("percent") == p for p in (10, 20, 30, 40)}
@@ -83,7 +90,7 @@ def bbva_payload() -> Column:
         ).alias("basesCondiciones"),
         F.col("category").alias("category_name"),
         F.lit(START).alias("discount_start_date"),
-        F.lit(END).alias("discount_end_date"),
+        _end("yyyy-MM-dd").alias("discount_end_date"),
         F.array(
             F.struct(
                 (F.col("percent") * 100).cast("string").alias("tope"),
@@ -120,7 +127,7 @@ def galicia_payload() -> Column:
             F.struct(F.col("category").alias("descripcion")).alias("categoria"),
         ).alias("marca"),
         F.lit("01/01/1995").alias("fechaDesde"),
-        F.lit("31/12/2001").alias("fechaHasta"),
+        _end("dd/MM/yyyy").alias("fechaHasta"),
         # Blank for no discount: this source has no rate then, not a rate of 0.
         _only(F.col("percent") > 0, F.col("percent").cast("string")).alias("porcentajeAhorro"),
         F.lit("Promo").alias("descripcionAdicional"),
@@ -156,7 +163,7 @@ def naranjax_payload() -> Column:
         F.struct(F.col("category").alias("name")).alias("category"),
         F.struct(
             F.lit("01/01/1995").alias("dateFrom"),
-            F.lit("31/12/2001").alias("dateTo"),
+            _end("dd/MM/yyyy").alias("dateTo"),
             F.array("priority", F.col("priority") + 1).alias("weekdaysApplied"),
         ).alias("days"),
         F.struct(F.col("percent").alias("discountPercentage")).alias("benefit"),
@@ -182,14 +189,13 @@ def _parsed(payload: Column) -> Column:
     return F.parse_json(F.to_json(payload))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rendered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as one raw record of the source its key falls to."""
+    facts = order_facts(spark, sf_dir)
     payload = F
     for spider in SPIDERS:
         payload = payload.when(F.col("spider") == spider, F.to_json(PAYLOADS[spider]()))
-    return order_facts(spark, sf_dir).select(
-        F.parse_json(payload).alias("raw_payload"), "spider", "scraped_at_dt"
-    )
+    return facts.select(F.parse_json(payload).alias("raw_payload"), "spider", "scraped_at_dt")
 
 
 def raw_orders_as(spark: SparkSession, sf_dir: str, spider: str) -> DataFrame:

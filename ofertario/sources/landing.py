@@ -51,9 +51,19 @@ def rejects(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_landing(df: DataFrame, path: str) -> None:
-    """Append payloads as JSON lines; a frame without rows writes no file."""
-    df.select("raw_payload", *PARTITIONS).write.partitionBy(*PARTITIONS).mode("append").json(path)
+def write_landing(df: DataFrame, path: str, files_per_folder: int | None = None) -> None:
+    """Append payloads as JSON lines; a frame without rows writes no file.
+
+    Every task writes its own file in each folder it has rows for. With
+    ``files_per_folder`` the rows of a folder are first brought to that many
+    tasks, by a hash of the payload, so that even a folder with most of the
+    rows is written by several.
+    """
+    rows = df.select("raw_payload", *PARTITIONS)
+    if files_per_folder:
+        share = F.pmod(F.xxhash64(F.to_json("raw_payload")), F.lit(files_per_folder))
+        rows = rows.repartition(*PARTITIONS, share)
+    rows.write.partitionBy(*PARTITIONS).mode("append").json(path)
 
 
 def new_files(spark: SparkSession, path: str, since: dt.datetime) -> DataFrame:
