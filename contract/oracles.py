@@ -203,7 +203,7 @@ SELECT CASE source_no WHEN 0 THEN 'bbva' WHEN 1 THEN 'galicia' ELSE 'naranjax' E
     sql["s2_write_landing"] = f"""WITH {FACTS}
 SELECT CASE source_no WHEN 0 THEN 'bbva' WHEN 1 THEN 'galicia' ELSE 'naranjax' END AS spider,
   scraped_at_dt, count(*) AS records,
-  sum(seq) AS seq_total FROM facts GROUP BY ALL"""
+  CAST(sum(seq) AS BIGINT) AS seq_total FROM facts GROUP BY ALL"""
     sql["s3_read_seed"] = """SELECT p_type, p_brand,
   CASE WHEN p_size > 25 THEN 'grande' ELSE 'chico' END AS kind, count(*) AS parts,
   CASE WHEN p_size > 25 THEN 'grande ' || lower(p_type) ELSE 'chico ' || lower(p_type) END AS category
@@ -461,7 +461,7 @@ FROM events GROUP BY event_type"""
   CAST(event_id AS DOUBLE) AS items_per_minute,
   CASE WHEN event_type = 'error' THEN CAST(event_id % 10 AS DOUBLE) END AS responses_403 FROM events"""
     sql["r2_histogram"] = """SELECT event_type AS spider, CASE WHEN value < 1 THEN 0
-    ELSE len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) END AS bucket, count(*) AS n
+    ELSE CAST(len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) AS INTEGER) END AS bucket, count(*) AS n
 FROM events GROUP BY ALL"""
     sql["r3_failure_alerts"] = """SELECT time_bucket(INTERVAL '60 seconds', ts) AS window_start,
   time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end,

@@ -11,7 +11,7 @@ from ofertario.functions import display, jsonx, keys, scalars
 from ofertario.operators import category, conform, dedup, issuers, mapping, merge, metrics
 from ofertario.operators import normalize, quality, search, serving
 from ofertario.plans import build as plan
-from ofertario.session import fresh_folder
+from ofertario.session import fresh_folder, written
 from ofertario.sources import assemble, landing, seeds, tables
 from ofertario.streaming import alerts, landing_stream
 
@@ -39,6 +39,8 @@ def _flat(df: DataFrame) -> DataFrame:
             if full in df.columns:
                 text = keys.number_list_text if name == "days" else keys.struct_list_text
                 df = df.withColumn(name, text(full)).drop(full)
+    if "record_order" in df.columns:
+        df = df.withColumn("seq", F.col("record_order.tie")).drop("record_order", "discount_metadata")
     if "discount_metadata" in df.columns:
         seq = F.try_variant_get("discount_metadata", TIE, "bigint")
         df = df.withColumn("seq", seq).drop("discount_metadata")
@@ -652,7 +654,8 @@ def w2_rank_within(spark, sf):
 
 
 def w2_dedup_audit(spark, sf):
-    return dedup.dedup_audit(_deduped(spark, sf).drop("discount_metadata")).select(
+    deduped = written(_deduped(spark, sf).drop("discount_metadata", "record_order"), "deduped")
+    return dedup.dedup_audit(deduped).select(
         "discount_id", "discount_content_hash", "last_updated_at_date", "rn"
     )
 

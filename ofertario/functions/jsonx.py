@@ -30,19 +30,23 @@ def json_value(payload, path: str = "$") -> Column:
     Containers are rendered as text that opens with a bracket, so only such
     text pays for the look at the node's type.
     """
-    return _scalar(F.try_variant_get(_col(payload), path, "string"), payload, path)
-
-
-def _scalar(text: Column, payload, path: str) -> Column:
+    text = F.try_variant_get(_col(payload), path, "string")
     opens = F.substring(text, 1, 1).isin("{", "[")
     return F.when(opens & _is_container(json_query(payload, path)), F.lit(None)).otherwise(text)
 
 
 def with_json_values(df: DataFrame, payload: str, paths: dict[str, str]) -> DataFrame:
     """``json_value`` of many paths, as columns, each path read once per row."""
-    texts = {name: F.try_variant_get(payload, path, "string") for name, path in paths.items()}
-    guarded = {name: _scalar(F.col(name), payload, path) for name, path in paths.items()}
-    return df.withColumns(texts).withColumns(guarded)
+    quoted = {name: path.replace("'", r"\'") for name, path in paths.items()}
+    texts = [f"try_variant_get({payload}, '{p}', 'string') AS {n}" for n, p in quoted.items()]
+    scalars = [
+        f"""CASE WHEN substring({n}, 1, 1) IN ('{{', '[')
+            AND schema_of_variant(try_variant_get({payload}, '{p}', 'variant'))
+              RLIKE '^(ARRAY|OBJECT)'
+            THEN NULL ELSE {n} END AS {n}"""
+        for n, p in quoted.items()
+    ]
+    return df.selectExpr("*", *texts).selectExpr(*df.columns, *scalars)
 
 
 def json_array(payload, path: str = "$") -> Column:

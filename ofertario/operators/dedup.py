@@ -64,12 +64,23 @@ def rank_within(
     )
 
 
-def source_order(tie_path: str | None = None) -> list[Column]:
-    """Newest scrape first; payloads of one day in an order that never changes."""
-    order = [F.desc("last_updated_at_date")]
+def with_record_order(df: DataFrame, tie_path: str | None = None) -> DataFrame:
+    """Adds ``record_order``, which settles records of one id and day.
+
+    It is the number at ``tie_path`` of the payload, if one is named, then a
+    hash of the payload. With it the payload, by far the widest column, need
+    not be read or shuffled to find the newest record.
+    """
+    tie = F.lit(None).cast("bigint")
     if tie_path:
-        order.append(F.desc(F.try_variant_get("discount_metadata", tie_path, "bigint")))
-    return [*order, F.desc(F.xxhash64(F.to_json("discount_metadata"))), F.asc("merchant_category_name")]
+        tie = F.try_variant_get("discount_metadata", tie_path, "bigint")
+    fingerprint = F.xxhash64(F.to_json("discount_metadata"))
+    order = F.struct(tie.alias("tie"), fingerprint.alias("fingerprint"))
+    return df.withColumn("record_order", order)
+
+
+def newest_first() -> list[Column]:
+    return [F.desc("last_updated_at_date"), F.desc("record_order"), F.asc("merchant_category_name")]
 
 
 def with_discount_id(df: DataFrame) -> DataFrame:
@@ -78,7 +89,9 @@ def with_discount_id(df: DataFrame) -> DataFrame:
 
 def dedup_by_source(df: DataFrame, tie_path: str | None = None) -> DataFrame:
     """The newest record of every source id."""
-    return latest_by(with_discount_id(df), ["discount_id"], source_order(tie_path))
+    if "record_order" not in df.columns:
+        df = with_record_order(df, tie_path)
+    return latest_by(with_discount_id(df), ["discount_id"], newest_first())
 
 
 def with_content_hash(df: DataFrame) -> DataFrame:
@@ -88,7 +101,7 @@ def with_content_hash(df: DataFrame) -> DataFrame:
 def dedup_audit(df: DataFrame) -> DataFrame:
     """Every record with its place ``rn`` among those of equal content.
 
-    Ids are MD5 texts, so their first three digits cut the records of one
+    Reads ``df`` twice, so give it a written frame rather than a long plan. Ids are MD5 texts, so their first three digits cut the records of one
     content and day into 4,096 even parts.
     """
     return rank_within(

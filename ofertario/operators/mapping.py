@@ -2,11 +2,13 @@
 
 A dimension of at most ``INLINE_ROWS`` rows becomes a literal map, so the
 lookup is one more expression of the scan stage: no join, no shuffle, no row
-id. A larger one is joined, and Spark picks the join by measured size.
+id. A larger one is joined, and Spark picks the join by measured size. Either
+way keys are compared and values given as text.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,7 +18,8 @@ INLINE_ROWS = 256
 
 def small_rows(dim: DataFrame, columns: list[str], limit: int = INLINE_ROWS) -> list[tuple] | None:
     """The rows of a dimension proven to have at most ``limit``, else None."""
-    rows = dim.select(*columns).limit(limit + 1).collect()
+    texts = [F.col(c).cast("string").alias(c) for c in columns]
+    rows = dim.select(*texts).limit(limit + 1).collect()
     return [tuple(r) for r in rows] if len(rows) <= limit else None
 
 
@@ -25,33 +28,30 @@ def _entry_type(names: list[str]) -> str:
 
 
 def _key(parts: list[Column]) -> Column:
-    return parts[0] if len(parts) == 1 else F.struct(*parts)
+    return F.struct(*[part.cast("string").alias(f"k{i}") for i, part in enumerate(parts)])
 
 
 def literal_map(rows: list[tuple], key_count: int, names: list[str]) -> Column:
     """Rows of (keys..., values...) as a literal map from key to value structs."""
-    found: dict[tuple, list[tuple]] = {}
+    found: dict[tuple, list[dict]] = {}
     for row in rows:
-        key, value = row[:key_count], row[key_count:]
+        key = tuple(None if k is None else str(k) for k in row[:key_count])
         if None not in key:
-            found.setdefault(key, []).append(value)
-    entry = _entry_type(names)
-    if not found:
-        keys = [f"k{i}" for i in range(key_count)]
-        key_type = "string" if key_count == 1 else _entry_type(keys)
-        return F.create_map().cast(f"map<{key_type}, array<{entry}>>")
-    pairs: list[Column] = []
-    for key, values in found.items():
-        structs = [F.struct(*[F.lit(v).cast("string") for v in value]) for value in values]
-        pairs.append(_key([F.lit(k) for k in key]))
-        pairs.append(F.array(*structs).cast(f"array<{entry}>"))
-    return F.create_map(*pairs)
+            found.setdefault(key, []).append(dict(zip(names, row[key_count:])))
+    entries = [
+        {"key": {f"k{i}": part for i, part in enumerate(key)}, "value": values}
+        for key, values in found.items()
+    ]
+    key_type = _entry_type([f"k{i}" for i in range(key_count)])
+    entry_type = f"struct<key: {key_type}, value: array<{_entry_type(names)}>>"
+    literal = F.lit(json.dumps(entries, ensure_ascii=False))
+    return F.map_from_entries(F.from_json(literal, f"array<{entry_type}>"))
 
 
 def _matches(dim: DataFrame, keys: list[str], values: list[str], names: list[str]) -> DataFrame:
     """A large dimension as one row per key with the list of its entries."""
-    entry = F.struct(*[F.col(v).alias(n) for v, n in zip(values, names)])
-    keyed = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    entry = F.struct(*[F.col(v).cast("string").alias(n) for v, n in zip(values, names)])
+    keyed = [F.col(k).cast("string").alias(f"_key{i}") for i, k in enumerate(keys)]
     return dim.groupBy(*keyed).agg(F.array_sort(F.collect_list(entry)).alias("_matches"))
 
 
@@ -71,7 +71,7 @@ def map_value(
         found = F.try_element_at(literal_map(rows, len(keys), names), _key(parts))
         return df.withColumn(target, F.coalesce(found, empty))
     for i, part in enumerate(parts):
-        df = df.withColumn(f"_key{i}", part)
+        df = df.withColumn(f"_key{i}", part.cast("string"))
     keyed = [f"_key{i}" for i in range(len(parts))]
     joined = df.join(_matches(dim, keys, values, names), keyed, "left")
     return joined.withColumn(target, F.coalesce("_matches", empty)).drop("_matches", *keyed)
@@ -109,7 +109,7 @@ def map_elements(
         raise ValueError("a dimension this large needs row_key to regroup the elements")
     opened = df.select(*row_key, F.posexplode(elements).alias("_at", "_element"))
     for i, part in enumerate(parts(F.col("_element"))):
-        opened = opened.withColumn(f"_key{i}", part)
+        opened = opened.withColumn(f"_key{i}", part.cast("string"))
     keyed = [f"_key{i}" for i in range(len(keys))]
     regrouped = (
         opened.join(_matches(dim, keys, values, names), keyed, "left")

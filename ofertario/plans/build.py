@@ -3,8 +3,9 @@
 The landing zone is JSON, dear to parse, and is read once: the staging rows
 are written as parquet and everything after reads those. The raw and staging
 checks are counted in the same pass, as observed metrics of that write.
-The normalised offers are written once more, as the checks, the merge and its
-key match all read them.
+The payloads end there; the dedup needs only the order of the records. The
+normalised offers are written once more, as the checks, the merge and its key
+match all read them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import quality
 from ..operators.category import UNCATEGORISED, resolve_category
 from ..operators.conform import keep_worth_showing, union_sources
-from ..operators.dedup import dedup_by_content, dedup_by_source
+from ..operators.dedup import dedup_audit, dedup_by_content, dedup_by_source, with_record_order
 from ..operators.merge import fact_columns, newer_than, up_to, upsert
 from ..operators.normalize import NORMALIZERS
 from ..operators.serving import issuer_summary, serving_table
@@ -51,7 +52,7 @@ def normalised(
     overrides = read_seed(spark, "merchant_overrides") if overrides is None else overrides
     categories = read_seed(spark, "merchant_categories") if categories is None else categories
     return resolve_category(
-        dedup_by_content(deduped.drop("discount_metadata")), overrides, categories
+        dedup_by_content(deduped.drop("discount_metadata", "record_order")), overrides, categories
     )
 
 
@@ -64,8 +65,19 @@ def raw_key_checks(spider: str) -> list[quality.Check]:
     return [quality.has_required_keys("raw_payload", REQUIRED_KEYS[spider])]
 
 
-def staged_and_checked(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Staging rows written once, and the raw and staging reports per source."""
+def without_payload(staging: DataFrame, tie_path: str | None = None) -> DataFrame:
+    """Staging rows with the order of their records in place of the payload."""
+    return with_record_order(staging, tie_path).drop("discount_metadata")
+
+
+def staged_and_checked(
+    raw: DataFrame, tie_path: str | None = None
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Staging rows worth showing, and the raw and staging reports per source.
+
+    The checks see all rows; what is written leaves out the rows the business
+    filter drops, and the payloads.
+    """
     spark = raw.sparkSession
     frames, pending = [], []
     for spider, normalise in NORMALIZERS.items():
@@ -78,7 +90,8 @@ def staged_and_checked(raw: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]
             (f"raw_{spider}", keys_seen, key_checks),
             (f"staging_{spider}", rows_seen, row_checks),
         ]
-    staging = written(union_sources(frames), "staging")
+    kept = keep_worth_showing(union_sources(frames))
+    staging = written(without_payload(kept, tie_path), "staging")
     return staging, {
         name: quality.observed_report(spark, seen, checks) for name, seen, checks in pending
     }
@@ -107,9 +120,12 @@ def build(
     cutoff: dt.date | None = None,
     tie_path: str | None = None,
     enforce: bool = True,
+    audit: bool = False,
 ) -> Result:
     """Builds fact and serving tables under ``path`` from the ``raw`` records.
 
+    ``audit`` also publishes every record with its place among its duplicates.
+
     With ``enforce`` a check in error stops the build before anything that
     depends on the checked rows is published.
     """
@@ -121,10 +137,14 @@ def build(
         else:
             reports[name] = [r.asDict() for r in report.collect()]
 
-    staging, staging_reports = staged_and_checked(usable(raw))
+    staging, staging_reports = staged_and_checked(usable(raw), tie_path)
     for name, report in staging_reports.items():
         check(name, report)
-    rows = written(normalised(source_deduped(staging, tie_path)), "offers")
+    deduped = dedup_by_source(staging)
+    if audit:
+        deduped = written(deduped, "deduped")
+        write_table(dedup_audit(deduped.drop("record_order")), f"{path}/audit")
+    rows = written(normalised(deduped), "offers")
     check("offers", quality.run_checks(rows, quality.normalised_checks(UNCATEGORISED)))
     version = load_fact(rows, f"{path}/fact", cutoff)
     fact = read_version(spark, f"{path}/fact", version)

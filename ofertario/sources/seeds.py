@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import seed_values as values
@@ -26,13 +28,9 @@ SEEDS = {
 
 def values_frame(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
     """A few literal string rows as a frame Catalyst knows to be tiny."""
-    if not rows:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
-    literals = [
-        F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(columns, row)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*literals)))
+    schema = ", ".join(f"`{c}`: string" for c in columns)
+    literal = F.lit(json.dumps([dict(zip(columns, row)) for row in rows]))
+    return spark.range(1).select(F.inline(F.from_json(literal, f"array<struct<{schema}>>")))
 
 
 def read_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:

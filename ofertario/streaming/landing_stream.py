@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import latest_by, source_order
-from ..plans.build import normalised, source_deduped, staged
+from ..operators.conform import keep_worth_showing
+from ..operators.dedup import dedup_by_source, latest_by, newest_first
+from ..plans.build import normalised, staged, without_payload
 from ..session import written
 from ..sources.landing import SCHEMA, usable
 from ..sources.tables import read_version, write_version
@@ -31,13 +32,14 @@ def upsert_newest(batch: DataFrame, table: str, tie_path: str | None = None) ->
     with its ids, which Spark broadcasts when they are few.
     """
     spark = batch.sparkSession
-    rows = written(source_deduped(staged(usable(batch)), tie_path), "batch")
+    staging = without_payload(keep_worth_showing(staged(usable(batch))), tie_path)
+    rows = written(dedup_by_source(staging), "batch")
     target = read_version(spark, table)
     if target is None:
         return write_version(rows, table, "first batch")
     ids = rows.select("discount_id")
     touched = target.join(ids, "discount_id", "left_semi").unionByName(rows)
-    newest = latest_by(touched, ["discount_id"], source_order(tie_path))
+    newest = latest_by(touched, ["discount_id"], newest_first())
     kept = target.join(ids, "discount_id", "left_anti")
     return write_version(kept.unionByName(newest), table, "batch")
 
