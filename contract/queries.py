@@ -832,7 +832,7 @@ def t10_reconcile(spark, sf):
 def t11_severity(spark, sf):
     metric = F.count_if(F.col("l_tax") == 0).alias("metric")
     counted = table(spark, sf, "lineitem").groupBy(F.col("l_linenumber").alias("line")).agg(metric)
-    return counted.withColumn("status", quality.severity(F.col("metric"), 500, 900))
+    return counted.withColumn("status", F.expr(quality.severity("metric", 500, 900)))
 
 
 # --- search ----------------------------------------------------------------

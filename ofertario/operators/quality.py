@@ -90,31 +90,29 @@ def has_required_keys(
     return Check("has_required_keys", column, _flag(lacking), False, warn, error, where)
 
 
-def basis_points(failing, total) -> Column:
-    return F.coalesce(
-        F.round(F.try_divide(F.lit(10000) * failing, total)).cast("bigint"), F.lit(0)
-    )
+def basis_points(failing: str, total: str) -> str:
+    """The share of two named counts, as SQL."""
+    return f"coalesce(cast(round(try_divide(10000 * {failing}, {total})) AS bigint), 0L)"
+
+
+def severity(metric: str, warn: int | None, error: int | None) -> str:
+    """Error above ``error``, else warn above ``warn``, else pass, as SQL."""
+    limits = [(error, ERROR), (warn, WARN)]
+    cases = [f"WHEN {metric} > {limit} THEN '{word}'" for limit, word in limits if limit is not None]
+    return f"CASE {' '.join(cases)} ELSE '{PASS}' END" if cases else f"'{PASS}'"
 
 
-def severity(metric: Column, warn, error) -> Column:
-    """Error above ``error``, else warn above ``warn``, else pass."""
-    status = F
-    if error is not None:
-        status = status.when(metric > F.lit(error), F.lit(ERROR))
-    if warn is not None:
-        status = status.when(metric > F.lit(warn), F.lit(WARN))
-    return F.lit(PASS) if status is F else status.otherwise(F.lit(PASS))
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def _report(check: Check, failing: Column, total: Column) -> Column:
+def _report(check: Check, failing: str, total: str) -> str:
     metric = basis_points(failing, total) if check.share else failing
-    return F.struct(
-        F.lit(check.kind).alias("check"),
-        F.lit(check.column).alias("column"),
-        failing.alias("failing"),
-        total.alias("total"),
-        metric.alias("metric"),
-        severity(metric, check.warn, check.error).alias("status"),
+    return (
+        f"named_struct('check', {_quoted(check.kind)}, 'column', {_quoted(check.column)},"
+        f" 'failing', {failing}, 'total', {total}, 'metric', {metric},"
+        f" 'status', {severity(metric, check.warn, check.error)})"
     )
 
 
@@ -130,8 +128,8 @@ def tallies(checks: list[Check]) -> list[Column]:
 
 
 def tally_report(tallied: DataFrame, checks: list[Check]) -> DataFrame:
-    rows = [_report(c, F.col(f"f{i}"), F.col(f"n{i}")) for i, c in enumerate(checks)]
-    return tallied.select(F.inline(F.array(*rows)))
+    rows = [_report(c, f"f{i}", f"n{i}") for i, c in enumerate(checks)]
+    return tallied.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _unique_report(df: DataFrame, check: Check) -> DataFrame:
@@ -181,9 +179,7 @@ def observed_report(
     """The report of observed checks, once the action is over."""
     counts = {k: v or 0 for k, v in observation.get.items()}
     pairs = [f"{part}{i}" for i in range(len(checks)) for part in "fn"]
-    tallied = spark.range(1).select(
-        *[F.lit(counts.get(p, 0)).cast("bigint").alias(p) for p in pairs]
-    )
+    tallied = spark.range(1).selectExpr(*[f"{counts.get(p, 0)}L AS {p}" for p in pairs])
     return tally_report(tallied, checks)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _LOG = "version bigint, note string"
@@ -13,15 +12,16 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     """The newest version whose files were written completely."""
-    try:
-        log = spark.read.schema(_LOG).json(f"{path}/log")
-        return log.agg(F.max("version")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, f"{path}/log"):
+        return None
+    return spark.read.schema(_LOG).json(f"{path}/log").agg(F.max("version")).first()[0]
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:

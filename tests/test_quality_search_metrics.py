@@ -70,10 +70,10 @@ def test_observed_counts_equal_run_checks(spark, tmp_path):
 
 
 def test_severity_and_enforcement(spark, one):
-    assert one(quality.severity(F.lit(0), 0, 500)) == "pass"
-    assert one(quality.severity(F.lit(500), 0, 500)) == "warn"
-    assert one(quality.severity(F.lit(501), 0, 500)) == "error"
-    assert one(quality.severity(F.lit(9), None, None)) == "pass"
+    assert one(F.expr(quality.severity("0", 0, 500))) == "pass"
+    assert one(F.expr(quality.severity("500", 0, 500))) == "warn"
+    assert one(F.expr(quality.severity("501", 0, 500))) == "error"
+    assert one(F.expr(quality.severity("9", None, None))) == "pass"
     frame = spark.createDataFrame([(None,)], "id bigint")
     with pytest.raises(quality.ChecksFailed):
         quality.enforce(quality.run_checks(frame, [quality.not_null("id")]))
