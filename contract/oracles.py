@@ -193,6 +193,26 @@ _SHARE_STATUS = (
 )
 
 
+_REQUIRED = [
+    "source_id",
+    "issuer_name",
+    "merchant_name",
+    "merchant_category_name",
+    "discount_start_date",
+    "discount_end_date",
+    "discount_rate",
+    "discount_terms_and_conditions",
+    "discount_url",
+    "discount_max_discount_amount",
+    "discount_min_purchase_amount",
+    "discount_no_interest_installment_qty",
+    "discount_valid_days_list",
+    "discount_valid_online",
+    "discount_valid_instore",
+    "discount_payment_methods_list",
+]
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -381,6 +401,25 @@ UNION ALL {_check("is_true_share", "known", "count(*) FILTER (WHERE l_returnflag
        WHEN count(*) FILTER (WHERE l_tax = 0) > 500 THEN 'warn' ELSE 'pass' END AS status
 FROM lineitem GROUP BY 1"""
 
+    checked = [
+        ("is_true_share", "usable", "count(*) FILTER (WHERE status = 'P')"),
+        ("is_true_share", "gives", "0"),
+        *[("not_null", c, "0") for c in _REQUIRED if c != "discount_rate"],
+        ("not_null", "discount_rate", "count(*) FILTER (WHERE percent = 0)"),
+        ("between", "discount_rate", "0"),
+        ("between", "discount_max_discount_amount", "0"),
+        ("between", "discount_min_purchase_amount", "0"),
+        ("between", "discount_no_interest_installment_qty", "0"),
+        ("elements_between", "discount_valid_days_list", "0"),
+        ("not_empty", "discount_payment_methods_list", "0"),
+    ]
+    parts = []
+    for kind, column, failing in checked:
+        share = kind == "is_true_share"
+        limits = {"status": _SHARE_STATUS, "metric": _BP} if share else {}
+        parts.append(_check(kind, column, failing, "facts", **limits))
+    sql["t_staging_checks"] = f"WITH {FACTS}\n" + "\nUNION ALL ".join(parts)
+
     # Search
     sql["q1_text"] = f"WITH {SERVING} SELECT discount_id, merchant_name FROM serving WHERE {_FOUND}"
     sql["q1_text_literal"] = """SELECT p_partkey, p_name, contains(lower(p_name), 'red w') AS literal,
@@ -455,6 +494,20 @@ FROM events GROUP BY event_type"""
   regexp_extract_all(text, '[\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-]+|[^\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-]+'),
   lambda w: CASE left(w, 1) WHEN 'ß' THEN 'Ss' ELSE upper(left(w, 1)) END || lower(substr(w, 2))), '') AS title FROM documents"""
 
+    sql["d_display_columns"] = f"""WITH {SERVING} SELECT discount_id,
+  {_DAY_SHORT}[a + 1] || ',' || {_DAY_SHORT}[b + 1] AS names,
+  {_DAY}[a + 1] || ', ' || {_DAY}[b + 1] AS valid_days_text, {_FORMATO} AS formato,
+  CASE WHEN discount_rate > 0 THEN CAST(CAST(discount_rate * 100 AS BIGINT) AS VARCHAR) || '%'
+    ELSE '-' END AS rate_text,
+  CASE WHEN discount_no_interest_installment_qty > 0 THEN '3 cuotas' ELSE '-' END AS installments_text,
+  CASE WHEN discount_min_purchase_amount > 0 THEN '$15000' ELSE 'Sin mínimo' END AS minimum_text,
+  CASE WHEN discount_max_discount_amount > 0
+    THEN '$' || CAST(CAST(discount_max_discount_amount AS BIGINT) AS VARCHAR) ELSE 'Sin tope' END AS cap_text,
+  {_TYPES} AS types, strftime(discount_start_date, '%d/%m/%Y') AS start_text,
+  strftime(discount_end_date, '%d/%m/%Y') AS end_text
+FROM (SELECT *, CAST(split_part(days, ',', 1) AS INTEGER) AS a,
+  CAST(split_part(days, ',', 2) AS INTEGER) AS b FROM serving)"""
+
     # Metrics
     sql["r1_run_stats"] = """SELECT event_id, event_type AS spider, CAST(user_id AS DOUBLE) AS items_scraped,
   value AS elapsed_seconds, CASE WHEN event_id % 2 = 0 THEN value * 2 END AS responses_per_minute,
@@ -463,6 +516,12 @@ FROM events GROUP BY event_type"""
     sql["r2_histogram"] = """SELECT event_type AS spider, CASE WHEN value < 1 THEN 0
     ELSE CAST(len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) AS INTEGER) END AS bucket, count(*) AS n
 FROM events GROUP BY ALL"""
+    stats = sql["r1_run_stats"]
+    sql["r2_run_histogram"] = f"""SELECT spider, metric, CASE WHEN value < 1 THEN 0
+    ELSE CAST(len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) AS INTEGER) END AS bucket,
+  count(*) AS n
+FROM (UNPIVOT ({stats}) ON items_scraped, elapsed_seconds, responses_per_minute, items_per_minute,
+  responses_403 INTO NAME metric VALUE value) GROUP BY ALL"""
     sql["r3_failure_alerts"] = """SELECT time_bucket(INTERVAL '60 seconds', ts) AS window_start,
   time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end,
   CAST(user_id AS VARCHAR) AS workflow_id, count(*) AS failures FROM events

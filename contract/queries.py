@@ -835,6 +835,11 @@ def t11_severity(spark, sf):
     return counted.withColumn("status", F.expr(quality.severity("metric", 500, 900)))
 
 
+def t_staging_checks(spark, sf):
+    staged = normalize.normalize_galicia(raw_orders_as(spark, sf, "galicia"))
+    return quality.run_checks(staged, quality.staging_checks())
+
+
 # --- search ----------------------------------------------------------------
 
 
@@ -988,6 +993,23 @@ def d_initcap(spark, sf):
     return table(spark, sf, "documents").select("doc_id", scalars.initcap_words("text").alias("title"))
 
 
+def d_display_columns(spark, sf):
+    shown = display.with_display_columns(_published(spark, sf))
+    return shown.select(
+        "discount_id",
+        F.array_join("valid_days_names", ",").alias("names"),
+        "valid_days_text",
+        "formato",
+        "rate_text",
+        display.with_suffix("installments_text", " cuotas").alias("installments_text"),
+        "minimum_text",
+        "cap_text",
+        F.array_join(F.array_sort("payment_method_types"), ",").alias("types"),
+        "start_text",
+        "end_text",
+    )
+
+
 # --- run metrics and streams -----------------------------------------------
 
 
@@ -1018,6 +1040,11 @@ def r2_histogram(spark, sf):
     return metrics.histogram(events, ["spider"])
 
 
+def r2_run_histogram(spark, sf):
+    values = metrics.long_metrics(metrics.run_stats(_log_lines(spark, sf)))
+    return metrics.histogram(values, ["spider", "metric"])
+
+
 def _runs(events: DataFrame) -> DataFrame:
     failed = F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED")
     return events.select(

@@ -20,10 +20,6 @@ def trim_ws(c) -> Column:
     return F.regexp_replace(_col(c), r"(?U)^\s+|\s+\z", "")
 
 
-def blank_to_null(c) -> Column:
-    return F.nullif(_col(c), F.lit(""))
-
-
 def initcap_words(c) -> Column:
     """Capitalise each word, where punctuation parts words too."""
     tokens = F.regexp_extract_all(
@@ -71,9 +67,5 @@ def parse_day(c, pattern: str, strict: bool = False) -> Column:
     return F.to_date(c, pattern) if strict else F.try_to_date(c, pattern)
 
 
-def ratio(part, whole) -> Column:
-    return F.try_divide(_col(part), _col(whole))
-
-
 def typed_null(kind: str) -> Column:
     return F.lit(None).cast(kind)

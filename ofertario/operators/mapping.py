@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 INLINE_ROWS = 256
+SALTS = 16
 
 
 def small_rows(dim: DataFrame, columns: list[str], limit: int = INLINE_ROWS) -> list[tuple] | None:
@@ -48,11 +49,17 @@ def literal_map(rows: list[tuple], key_count: int, names: list[str]) -> Column:
     return F.map_from_entries(F.from_json(literal, f"array<{entry_type}>"))
 
 
-def _matches(dim: DataFrame, keys: list[str], values: list[str], names: list[str]) -> DataFrame:
-    """A large dimension as one row per key with the list of its entries."""
+def _keyed_entries(dim: DataFrame, keys: list[str], values: list[str], names: list[str]) -> DataFrame:
+    """A large dimension as (_key0.., _entry)."""
     entry = F.struct(*[F.col(v).cast("string").alias(n) for v, n in zip(values, names)])
     keyed = [F.col(k).cast("string").alias(f"_key{i}") for i, k in enumerate(keys)]
-    return dim.groupBy(*keyed).agg(F.array_sort(F.collect_list(entry)).alias("_matches"))
+    return dim.select(*keyed, entry.alias("_entry"))
+
+
+def _row_salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` from the row's own values, so it never changes."""
+    hashed = [c for c, t in df.dtypes if "variant" not in t and "map<" not in t]
+    return F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
 
 
 def map_value(
@@ -70,11 +77,20 @@ def map_value(
     if rows is not None:
         found = F.try_element_at(literal_map(rows, len(keys), names), _key(parts))
         return df.withColumn(target, F.coalesce(found, empty))
-    for i, part in enumerate(parts):
-        df = df.withColumn(f"_key{i}", part.cast("string"))
-    keyed = [f"_key{i}" for i in range(len(parts))]
-    joined = df.join(_matches(dim, keys, values, names), keyed, "left")
-    return joined.withColumn(target, F.coalesce("_matches", empty)).drop("_matches", *keyed)
+    # One key may hold a third of the rows: its rows are spread over SALTS tasks,
+    # each with its own copy of the key's matches.
+    on = [f"_key{i}" for i in range(len(parts))] + ["_salt"]
+    matches = (
+        _keyed_entries(dim, keys, values, names)
+        .groupBy(*on[:-1])
+        .agg(F.array_sort(F.collect_list("_entry")).alias("_matches"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salted = df.withColumn("_salt", _row_salt(df, SALTS)).withColumns(
+        {name: part.cast("string") for name, part in zip(on, parts)}
+    )
+    joined = salted.join(matches, on, "left")
+    return joined.withColumn(target, F.coalesce("_matches", empty)).drop("_matches", *on)
 
 
 def map_elements(
@@ -107,18 +123,19 @@ def map_elements(
         return df.withColumn(target, F.when(F.size(mapped) > 0, mapped))
     if not row_key:
         raise ValueError("a dimension this large needs row_key to regroup the elements")
+    on = [f"_key{i}" for i in range(len(keys))]
     opened = df.select(*row_key, F.posexplode(elements).alias("_at", "_element"))
-    for i, part in enumerate(parts(F.col("_element"))):
-        opened = opened.withColumn(f"_key{i}", part.cast("string"))
-    keyed = [f"_key{i}" for i in range(len(keys))]
+    opened = opened.withColumns(
+        {name: part.cast("string") for name, part in zip(on, parts(F.col("_element")))}
+    )
+    # Joined with the dimension as it is, so that Spark can split a hot element.
+    none = F.struct(*[F.lit(None).cast("string").alias(n) for n in names])
+    found = opened.join(_keyed_entries(dim, keys, values, names), on, "left").select(
+        *row_key, F.struct("_at", F.coalesce("_entry", none).alias("_entry")).alias("_found")
+    )
     regrouped = (
-        opened.join(_matches(dim, keys, values, names), keyed, "left")
-        .groupBy(*row_key)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("_at", F.coalesce("_matches", nothing).alias("_found")))
-            ).alias("_parts")
-        )
-        .select(*row_key, F.flatten(F.transform("_parts", lambda p: p["_found"])).alias(target))
+        found.groupBy(*row_key)
+        .agg(F.array_sort(F.collect_list("_found")).alias("_found"))
+        .select(*row_key, F.transform("_found", lambda f: f["_entry"]).alias(target))
     )
     return df.join(regrouped, row_key, "left")

@@ -52,17 +52,3 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame
     """
     kept = target.join(incoming.select(key), key, "left_anti")
     return kept.unionByName(incoming)
-
-
-def merge_into_table(incoming: DataFrame, table: str, key: str = "id") -> None:
-    """The same upsert by the catalog, for tables whose format supports it."""
-    matched = F.col(f"{table}.{key}") == F.col(f"incoming.{key}")
-    (
-        incoming.alias("incoming")
-        .mergeInto(table, matched)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )

@@ -90,7 +90,10 @@ def staged_and_checked(
             (f"raw_{spider}", keys_seen, key_checks),
             (f"staging_{spider}", rows_seen, row_checks),
         ]
+    kept_checks = quality.union_checks()
     kept = keep_worth_showing(union_sources(frames))
+    kept, kept_seen = quality.observed(kept, kept_checks, "union")
+    pending.append(("union", kept_seen, kept_checks))
     staging = written(without_payload(kept, tie_path), "staging")
     return staging, {
         name: quality.observed_report(spark, seen, checks) for name, seen, checks in pending

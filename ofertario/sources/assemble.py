@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import jsonx
+from ..functions.scalars import extract
 
 FIELDS = "map<string, variant>"
 
@@ -35,8 +36,7 @@ def _entries(pages: DataFrame, path: str, *keep: str) -> DataFrame:
 
 def page_count_in(message: Column) -> Column:
     """The page count a catalogue message tells."""
-    found = F.regexp_extract(message, r"paginas:\s*(\d+)", 1)
-    return F.nullif(found, F.lit("")).try_cast("bigint")
+    return extract(message, r"paginas:\s*(\d+)").try_cast("bigint")
 
 
 def page_count_of(total: Column, per_page: Column) -> Column:

@@ -77,7 +77,6 @@ def test_json_arrays(one):
         (lambda: scalars.extract(F.lit("a12"), r"(\d+)"), "12"),
         (lambda: scalars.parse_day(F.lit("2/6/2025"), "d/M/yyyy"), dt.date(2025, 6, 2)),
         (lambda: scalars.parse_day(F.lit("bad"), "d/M/yyyy"), None),
-        (lambda: scalars.ratio(F.lit(1), F.lit(0)), None),
     ],
 )
 def test_scalar_rules(one, make, expected):
