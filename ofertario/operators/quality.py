@@ -35,8 +35,8 @@ class Check:
 
 
 def _flag(condition: Column) -> Column:
-    """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+    """1 where the condition holds; an unknown one adds nothing to a sum."""
+    return condition.cast("int")
 
 
 def not_null(column: str, **limits) -> Check:
@@ -117,18 +117,23 @@ def _report(check: Check, failing: str, total: str) -> str:
 
 
 def tallies(checks: list[Check]) -> list[Column]:
-    """One (failing, total) pair of aggregates per row check."""
-    pairs = []
+    """The failing sum of each row check, and the rows each one judges."""
+    sums = [F.count(F.lit(1)).alias("n")]
     for i, check in enumerate(checks):
-        judged = F.lit(True) if check.where is None else check.where
-        hits = F.when(judged, check.failing)
-        pairs.append(F.coalesce(F.sum(hits), F.lit(0)).cast("bigint").alias(f"f{i}"))
-        pairs.append(F.count_if(judged).alias(f"n{i}"))
-    return pairs
+        if check.where is None:
+            sums.append(F.sum(check.failing).alias(f"f{i}"))
+        else:
+            sums.append(F.sum(F.when(check.where, check.failing)).alias(f"f{i}"))
+            sums.append(F.count_if(check.where).alias(f"n{i}"))
+    return sums
 
 
 def tally_report(tallied: DataFrame, checks: list[Check]) -> DataFrame:
-    rows = [_report(c, f"f{i}", f"n{i}") for i, c in enumerate(checks)]
+    totals = ["n" if c.where is None else f"n{i}" for i, c in enumerate(checks)]
+    rows = [
+        _report(check, f"coalesce(f{i}, 0L)", total)
+        for i, (check, total) in enumerate(zip(checks, totals))
+    ]
     return tallied.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
@@ -137,7 +142,7 @@ def _unique_report(df: DataFrame, check: Check) -> DataFrame:
     key = F.col(check.column)
     counts = df.filter(key.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     tallied = counts.agg(
-        F.count_if(F.col("n") > 1).alias("f0"), F.coalesce(F.sum("n"), F.lit(0)).alias("n0")
+        F.count_if(F.col("n") > 1).alias("f0"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
     )
     return tally_report(tallied, [check])
 
@@ -177,9 +182,9 @@ def observed_report(
     spark: SparkSession, observation: Observation, checks: list[Check]
 ) -> DataFrame:
     """The report of observed checks, once the action is over."""
-    counts = {k: v or 0 for k, v in observation.get.items()}
-    pairs = [f"{part}{i}" for i in range(len(checks)) for part in "fn"]
-    tallied = spark.range(1).selectExpr(*[f"{counts.get(p, 0)}L AS {p}" for p in pairs])
+    counts = observation.get
+    names = ["n", *[f"{part}{i}" for i in range(len(checks)) for part in "fn"]]
+    tallied = spark.range(1).selectExpr(*[f"{counts.get(n) or 0}L AS {n}" for n in names])
     return tally_report(tallied, checks)
 
 

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A build compiles more than the 100 classes Spark keeps by default.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Split skewed join partitions even where that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -247,3 +247,12 @@ def test_build_stops_on_an_error(spark, raw, tmp_path):
     with pytest.raises(ChecksFailed, match="merchant_name"):
         plan.build(spark, bad, str(tmp_path / "out"))
     assert not (tmp_path / "out").exists()
+
+
+def test_build_without_rows_of_a_source(spark, raw, tmp_path):
+    only = raw("bbva", BBVA).withColumn("spider", F.lit("bbva"))
+    result = plan.build(spark, only, str(tmp_path / "a"), as_of=day("2025-07-01"))
+    assert result.reports["raw_galicia"][0]["total"] == 0
+    assert tables.read_version(spark, str(tmp_path / "a" / "fact")).count() == 1
+    nothing = plan.build(spark, only.filter("false"), str(tmp_path / "b"))
+    assert tables.read_version(spark, str(tmp_path / "b" / "fact"), nothing.version).count() == 0
