@@ -340,7 +340,7 @@ SELECT CASE source_no WHEN 0 THEN 'bbva' WHEN 1 THEN 'galicia' ELSE 'naranjax' E
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
     sql["w1_dedup_by_source"] = f"""WITH {DEDUPED} SELECT * FROM deduped"""
     sql["w2_rank_within"] = """SELECT event_id, event_type, row_number() OVER (
-  PARTITION BY event_type ORDER BY CAST(ts AS DATE) DESC, event_id) AS rn FROM events"""
+  PARTITION BY event_type ORDER BY ts DESC, event_id) AS rn FROM events"""
     sql["w2_dedup_audit"] = f"""WITH {AUDIT}
 SELECT discount_id, discount_content_hash, last_updated_at_date, rn FROM audit"""
     sql["w3_dedup_by_content"] = f"""WITH {AUDIT}
@@ -358,8 +358,8 @@ SELECT discount_id, discount_content_hash, last_updated_at_date FROM audit WHERE
     ELSE '{"code":"' || l_linestatus || '","note":null},{"code":"' || l_returnflag || '","note":null}'
   END AS structs FROM lineitem"""
     sql["k3_content_hash"] = f"""WITH {AUDIT} SELECT discount_id, discount_content_hash FROM hashed"""
-    sql["l1_order"] = f"""WITH {SERVING} SELECT discount_id, row_number() OVER (
-  ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id) AS place FROM serving"""
+    sql["l1_order"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name FROM serving
+ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id"""
     sql["l2_page"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name FROM serving
 WHERE {_FOUND} AND issuer_name IN ('Banco BBVA', 'Banco Galicia', 'Naranja X') AND discount_is_active
 ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id LIMIT 20 OFFSET 20"""

@@ -606,7 +606,10 @@ def a3_basis_points(spark, sf):
 
 def a4_reconcile(spark, sf):
     fact = _event_fact(spark, sf)
-    extra = fact.limit(1).withColumn("issuer_name", F.lit(None).cast("string"))
+    extra = fact.agg(
+        F.lit(None).cast("string").alias("issuer_name"),
+        F.max("last_updated_at_date").alias("last_updated_at_date"),
+    )
     return quality.reconcile(fact.unionByName(extra), serving.issuer_summary(fact))
 
 
@@ -644,13 +647,11 @@ def w1_dedup_by_source(spark, sf):
 
 
 def w2_rank_within(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    hour = F.date_trunc("hour", "ts")
     return dedup.rank_within(
-        events,
-        ["event_type"],
-        [F.desc("day"), F.asc("event_id")],
-        [(F.col("day"), True), (F.floor(F.col("event_id") / 1000), False)],
-    ).drop("day")
+        events, ["event_type"], [F.desc("ts"), F.asc("event_id")], [(hour, True)]
+    ).drop("ts")
 
 
 def w2_dedup_audit(spark, sf):
@@ -697,18 +698,9 @@ def k3_content_hash(spark, sf):
 
 
 def l1_order(spark, sf):
-    ranked = dedup.rank_within(
-        _published(spark, sf).select("discount_id", "discount_rate", "merchant_name").withColumn("all", F.lit(1)),
-        ["all"],
-        [F.desc_nulls_last("discount_rate"), F.asc("merchant_name"), F.asc("discount_id")],
-        [
-            (F.coalesce("discount_rate", F.lit(-1.0)), True),
-            (F.col("merchant_name"), False),
-            (F.substring("discount_id", 1, 2), False),
-        ],
-        "place",
+    return search.ordered(_published(spark, sf), FOUND).select(
+        "discount_id", "discount_rate", "merchant_name"
     )
-    return ranked.select("discount_id", "place")
 
 
 def l2_page(spark, sf):

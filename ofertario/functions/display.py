@@ -17,6 +17,14 @@ TYPE_LABELS = {
     "account_money": "Dinero en cuenta",
 }
 
+# Words for whole, empty, absent and unknown values.
+ALL_DAYS = "Todos"
+ALL_CARDS = "Todas"
+NOTHING = "-"
+UNKNOWN = "N/A"
+NO_MINIMUM = "Sin mínimo"
+NO_CAP = "Sin tope"
+
 # Where an offer is valid.
 VALID_BOTH = "Online y Presencial"
 VALID_ONLINE = "Solo Online"
@@ -48,8 +56,8 @@ def valid_days_text(days) -> Column:
     )
     full = F.transform(week, lambda i: F.element_at(_names(DAY_FULL), i + 1))
     return (
-        F.when(F.size(week) == 7, F.lit("Todos"))
-        .when(F.size(week) == 0, F.lit("-"))
+        F.when(F.size(week) == 7, F.lit(ALL_DAYS))
+        .when(F.size(week) == 0, F.lit(NOTHING))
         .otherwise(F.array_join(full, ", "))
     )
 
@@ -68,36 +76,36 @@ def percent_text(rate) -> Column:
     """Whole percent, halves to even."""
     rate = _col(rate)
     whole = F.bround(rate * 100).cast("bigint").cast("string")
-    return F.when(rate > 0, F.concat(whole, F.lit("%"))).otherwise(F.lit("-"))
+    return F.when(rate > 0, F.concat(whole, F.lit("%"))).otherwise(F.lit(NOTHING))
 
 
 def installments_text(quantity) -> Column:
     quantity = _col(quantity)
     whole = quantity.cast("bigint").cast("string")
-    return F.when(quantity > 0, whole).otherwise(F.lit("-"))
+    return F.when(quantity > 0, whole).otherwise(F.lit(NOTHING))
 
 
 def amount_text(amount, none: str) -> Column:
     """``none`` for zero, the amount without cents otherwise."""
     amount = _col(amount)
     return (
-        F.when(amount.isNull(), F.lit("N/A"))
+        F.when(amount.isNull(), F.lit(UNKNOWN))
         .when(amount == 0, F.lit(none))
         .otherwise(F.concat(F.lit("$"), amount.cast("bigint").cast("string")))
     )
 
 
 def minimum_text(amount) -> Column:
-    return amount_text(amount, "Sin mínimo")
+    return amount_text(amount, NO_MINIMUM)
 
 
 def cap_text(amount) -> Column:
-    return amount_text(amount, "Sin tope")
+    return amount_text(amount, NO_CAP)
 
 
 def with_suffix(value, suffix: str) -> Column:
     value = _col(value)
-    return F.when(value == "-", value).otherwise(F.concat(value, F.lit(suffix)))
+    return F.when(value == NOTHING, value).otherwise(F.concat(value, F.lit(suffix)))
 
 
 def type_label(kind: Column) -> Column:
@@ -112,7 +120,7 @@ def _details(method: Column) -> list[Column]:
     """Network and tier as shown; NULL for one that is missing or blank."""
 
     def shown(field: Column) -> Column:
-        return F.when(trim_ws(field) != "", F.when(field == "all", F.lit("Todas")).otherwise(field))
+        return F.when(trim_ws(field) != "", F.when(field == "all", F.lit(ALL_CARDS)).otherwise(field))
 
     return [shown(method["card_network"]), shown(method["card_tier"])]
 
@@ -128,7 +136,7 @@ def _nonempty(texts: Column) -> Column:
 
 
 def _dash_if_empty(text: Column) -> Column:
-    return F.when(text != "", text).otherwise(F.lit("-"))
+    return F.when(text != "", text).otherwise(F.lit(NOTHING))
 
 
 def payment_types(methods) -> Column:
@@ -168,7 +176,7 @@ def truncate_text(text, length: int = 150) -> Column:
 
 
 def day_text(date) -> Column:
-    return F.coalesce(F.date_format(_col(date), "dd/MM/yyyy"), F.lit("N/A"))
+    return F.coalesce(F.date_format(_col(date), "dd/MM/yyyy"), F.lit(UNKNOWN))
 
 
 def with_display_columns(df: DataFrame) -> DataFrame:

@@ -33,7 +33,9 @@ def rank_within(
 
     ``parts`` are (expression, descending) pairs that cut a key into pieces
     whose order agrees with ``order``: sorting by the parts first and by
-    ``order`` within a part must give the same sequence.
+    ``order`` within a part must give the same sequence. The part sizes of one
+    key are added up in one task, so cut by something whose number does not
+    grow with the rows, such as days, hours or the first digits of a hash.
     """
     cuts = [f"_part{i}" for i in range(len(parts))]
     # Structs compare equal where their fields are NULL alike, so a NULL key is

@@ -6,6 +6,7 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.display import UNKNOWN
 from ..functions.scalars import trim_ws
 from .dedup import latest_by
 
@@ -52,7 +53,7 @@ def issuer_status(summary: DataFrame, icons: DataFrame) -> DataFrame:
         )
         .withColumn(
             "last_scraped_label",
-            F.coalesce(F.date_format("last_scraped_at", "dd/MM/yyyy HH:mm"), F.lit("N/A")),
+            F.coalesce(F.date_format("last_scraped_at", "dd/MM/yyyy HH:mm"), F.lit(UNKNOWN)),
         )
         .join(icon_lookup(icons), "issuer_key", "left")
     )

@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A build compiles more than the 100 classes Spark keeps by default.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Noting the call site of every column takes longer than building the plan;
+    # switch it on to debug an expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Split skewed join partitions even where that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
