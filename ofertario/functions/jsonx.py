@@ -70,6 +70,11 @@ def json_text(payload, path: str = "$") -> Column:
     return F.to_json(json_query(payload, path))
 
 
+def has_content(payload) -> Column:
+    """Neither missing nor a JSON null."""
+    return _col(payload).isNotNull() & ~F.is_variant_null(_col(payload))
+
+
 def has_key(payload, path: str) -> Column:
     """Whether the key exists, also when its value is a JSON null."""
     return json_query(payload, path).isNotNull()

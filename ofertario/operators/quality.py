@@ -86,10 +86,15 @@ def has_required_keys(
     column: str, keys: list[str], where: Column | None = None, warn: int = 0, error: int = 9
 ) -> Check:
     """Payloads that lack a key; rows without a payload are not judged."""
-    lacking = F.col(column).isNotNull() & ~jsonx.has_keys(column, keys)
+    lacking = jsonx.has_content(column) & ~jsonx.has_keys(column, keys)
     return Check("has_required_keys", column, _flag(lacking), False, warn, error, where)
 
 
+def has_payload(column: str, warn: int = 0, error: int | None = None) -> Check:
+    """Records whose line could not be read or holds a JSON null."""
+    return Check("has_payload", column, _flag(~jsonx.has_content(column)), False, warn, error)
+
+
 def basis_points(failing: str, total: str) -> str:
     """The share of two named counts, as SQL."""
     return f"coalesce(cast(round(try_divide(10000 * {failing}, {total})) AS bigint), 0L)"

@@ -29,6 +29,13 @@ from ..sources.seeds import read_seed
 from ..sources.tables import read_version, write_table, write_version
 
 
+PAYMENT_SEEDS = {
+    "bbva": "bbva_payment_methods",
+    "galicia": "galicia_payment_methods",
+    "naranjax": "naranja_payment_methods",
+}
+
+
 @dataclass
 class Result:
     version: int
@@ -61,8 +68,11 @@ def offers(raw: DataFrame, tie_path: str | None = None) -> DataFrame:
     return normalised(source_deduped(staged(raw), tie_path))
 
 
-def raw_key_checks(spider: str) -> list[quality.Check]:
-    return [quality.has_required_keys("raw_payload", REQUIRED_KEYS[spider])]
+def raw_checks(spider: str) -> list[quality.Check]:
+    return [
+        quality.has_required_keys("raw_payload", REQUIRED_KEYS[spider]),
+        quality.has_payload("raw_payload"),
+    ]
 
 
 def without_payload(staging: DataFrame, tie_path: str | None = None) -> DataFrame:
@@ -71,7 +81,7 @@ def without_payload(staging: DataFrame, tie_path: str | None = None) -> DataFram
 
 
 def staged_and_checked(
-    raw: DataFrame, tie_path: str | None = None
+    raw: DataFrame, tie_path: str | None = None, seeds: dict[str, DataFrame] | None = None
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Staging rows worth showing, and the raw and staging reports per source.
 
@@ -81,10 +91,11 @@ def staged_and_checked(
     spark = raw.sparkSession
     frames, pending = [], []
     for spider, normalise in NORMALIZERS.items():
-        key_checks, row_checks = raw_key_checks(spider), quality.staging_checks()
+        key_checks, row_checks = raw_checks(spider), quality.staging_checks()
         own = raw.filter(F.col("spider") == spider)
         own, keys_seen = quality.observed(own, key_checks, f"raw_{spider}")
-        rows, rows_seen = quality.observed(normalise(own), row_checks, f"staging_{spider}")
+        rows = normalise(usable(own), methods=(seeds or {}).get(PAYMENT_SEEDS[spider]))
+        rows, rows_seen = quality.observed(rows, row_checks, f"staging_{spider}")
         frames.append(rows)
         pending += [
             (f"raw_{spider}", keys_seen, key_checks),
@@ -111,7 +122,15 @@ def load_fact(offers: DataFrame, path: str, cutoff: dt.date | None = None) -> in
 
 
 def publish(fact: DataFrame, path: str, as_of: dt.date | None = None) -> None:
-    write_table(serving_table(fact, as_of), f"{path}/serving")
+    """Serving table and issuer summary, replaced as a whole.
+
+    The serving table is laid out by category and merchant, so that a search
+    skips the row groups of other categories. Ids end the sort key, which lets
+    a range cut through a category that holds most rows.
+    """
+    layout = ["merchant_category_name", "merchant_name", "discount_id"]
+    rows = serving_table(fact, as_of).repartitionByRange(*layout).sortWithinPartitions(*layout)
+    write_table(rows, f"{path}/serving")
     write_table(issuer_summary(fact), f"{path}/issuers")
 
 
@@ -124,9 +143,11 @@ def build(
     tie_path: str | None = None,
     enforce: bool = True,
     audit: bool = False,
+    seeds: dict[str, DataFrame] | None = None,
 ) -> Result:
     """Builds fact and serving tables under ``path`` from the ``raw`` records.
 
+    ``seeds`` replaces built-in seeds by name, as ``read_seed`` names them.
     ``audit`` also publishes every record with its place among its duplicates.
 
     With ``enforce`` a check in error stops the build before anything that
@@ -140,14 +161,18 @@ def build(
         else:
             reports[name] = [r.asDict() for r in report.collect()]
 
-    staging, staging_reports = staged_and_checked(usable(raw), tie_path)
+    staging, staging_reports = staged_and_checked(raw, tie_path, seeds)
     for name, report in staging_reports.items():
         check(name, report)
     deduped = dedup_by_source(staging)
     if audit:
         deduped = written(deduped, "deduped")
         write_table(dedup_audit(deduped.drop("record_order")), f"{path}/audit")
-    rows = written(normalised(deduped), "offers")
+    given = seeds or {}
+    rows = normalised(
+        deduped, given.get("merchant_overrides"), given.get("merchant_categories")
+    )
+    rows = written(rows, "offers")
     check("offers", quality.run_checks(rows, quality.normalised_checks(UNCATEGORISED)))
     version = load_fact(rows, f"{path}/fact", cutoff)
     fact = read_version(spark, f"{path}/fact", version)

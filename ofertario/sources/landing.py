@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.jsonx import has_content
+
 SCHEMA = "raw_payload variant, spider string, scraped_at_dt date"
 PARTITIONS = ["spider", "scraped_at_dt"]
 
@@ -33,19 +35,14 @@ def read_landing(
     return raw
 
 
-def _has_payload():
-    """Neither unreadable nor a JSON null."""
-    return F.col("raw_payload").isNotNull() & ~F.is_variant_null("raw_payload")
-
-
 def usable(raw: DataFrame) -> DataFrame:
-    return raw.filter(_has_payload())
+    return raw.filter(has_content("raw_payload"))
 
 
 def rejects(raw: DataFrame) -> DataFrame:
     """How many records of each source and day have no payload."""
     return (
-        raw.filter(~_has_payload())
+        raw.filter(~has_content("raw_payload"))
         .groupBy(*PARTITIONS)
         .agg(F.count(F.lit(1)).alias("rejected"))
     )

@@ -256,3 +256,67 @@ def test_build_without_rows_of_a_source(spark, raw, tmp_path):
     assert tables.read_version(spark, str(tmp_path / "a" / "fact")).count() == 1
     nothing = plan.build(spark, only.filter("false"), str(tmp_path / "b"))
     assert tables.read_version(spark, str(tmp_path / "b" / "fact"), nothing.version).count() == 0
+
+
+def test_build_with_own_seeds_counts_unreadable_records(spark, raw, tmp_path):
+    broken = payloads(raw).filter("spider = 'bbva'").limit(1)
+    broken = broken.withColumn("raw_payload", F.lit(None).cast("variant"))
+    seed = seeds.values_frame(
+        spark,
+        seeds.SEEDS["merchant_overrides"][0],
+        [("STARBUCKS", "Café"), ("Farmacity", "Salud")],
+    )
+    cards = seeds.values_frame(
+        spark,
+        seeds.SEEDS["bbva_payment_methods"][0],
+        [("Tarjetas de crédito BBVA", "credit_card", "visa", "Oro")],
+    )
+    result = plan.build(
+        spark,
+        payloads(raw).unionByName(broken),
+        str(tmp_path / "out"),
+        enforce=False,
+        seeds={"merchant_overrides": seed, "bbva_payment_methods": cards},
+    )
+    reports = {r["check"]: r for r in result.reports["raw_bbva"]}
+    assert (reports["has_payload"]["failing"], reports["has_payload"]["status"]) == (1, "warn")
+    assert reports["has_required_keys"]["failing"] == 0
+    fact = {r.issuer_name: r for r in tables.read_version(spark, str(tmp_path / "out" / "fact")).collect()}
+    assert fact["Banco BBVA"].merchant_category_name == "Café"
+    assert tuple(fact["Banco BBVA"].payment_methods_list[0]) == ("credit_card", "visa", "Oro")
+    assert fact["Naranja X"].merchant_category_name == "Salud"
+
+
+def test_published_layout_skips_other_categories(spark, tmp_path):
+    from pyspark.sql import Window
+
+    offers = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderstatus").alias("issuer_name"),
+        F.col("o_orderpriority").alias("merchant_category_name"),
+        F.col("o_custkey").cast("string").alias("merchant_name"),
+    )
+    missing = {
+        c: F.lit(None).cast("date" if c.endswith("date") else "string")
+        for c in merge.FACT_COLUMNS
+        if c not in offers.columns
+    }
+    plan.publish(offers.withColumns(missing), str(tmp_path), as_of=day("2025-01-01"))
+    back = spark.read.parquet(str(tmp_path / "serving"))
+    assert back.count() == offers.count()
+    files = back.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("merchant_category_name").alias("low"), F.max("merchant_category_name").alias("high")
+    )
+    spans = files.withColumn("before", F.lag("high").over(Window.orderBy("low", "high")))
+    assert spans.filter("before > low").count() == 0
+
+
+def test_scratch_never_falls_back_to_a_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from ofertario.session import shared_folder
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        shared_folder(cluster)
