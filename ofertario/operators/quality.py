@@ -189,7 +189,7 @@ def observed_report(
     """The report of observed checks, once the action is over."""
     counts = observation.get
     names = ["n", *[f"{part}{i}" for i in range(len(checks)) for part in "fn"]]
-    tallied = spark.range(1).selectExpr(*[f"{counts.get(n) or 0}L AS {n}" for n in names])
+    tallied = spark.range(0, 1, 1, 1).selectExpr(*[f"{counts.get(n) or 0}L AS {n}" for n in names])
     return tally_report(tallied, checks)
 
 
@@ -197,15 +197,19 @@ class ChecksFailed(RuntimeError):
     """A check reached its error threshold."""
 
 
-def enforce(report: DataFrame) -> list[dict]:
-    """The report's rows (one per check); raises when one is an error."""
-    rows = [r.asDict() for r in report.collect()]
+def enforce_rows(rows: list[dict]) -> list[dict]:
+    """The rows of a report; raises when one is an error."""
     bad = [f"{r['check']}({r['column']})={r['metric']}" for r in rows if r["status"] == ERROR]
     if bad:
         raise ChecksFailed("; ".join(bad))
     return rows
 
 
+def enforce(report: DataFrame) -> list[dict]:
+    """``enforce_rows`` of a report frame, which has one row per check."""
+    return enforce_rows([r.asDict() for r in report.collect()])
+
+
 def staging_checks() -> list[Check]:
     """What every normalised source is held to."""
     gives = (F.col("discount_rate") != 0) | (F.col("discount_no_interest_installment_qty") != 0)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -162,8 +163,13 @@ def build(
             reports[name] = [r.asDict() for r in report.collect()]
 
     staging, staging_reports = staged_and_checked(raw, tie_path, seeds)
-    for name, report in staging_reports.items():
-        check(name, report)
+    named = [r.withColumn("of", F.lit(name)) for name, r in staging_reports.items()]
+    rows_of = reduce(lambda a, b: a.unionByName(b), named).coalesce(1).collect()
+    for row in rows_of:
+        report = row.asDict()
+        reports.setdefault(report.pop("of"), []).append(report)
+    if enforce:
+        quality.enforce_rows([r for name in staging_reports for r in reports[name]])
     deduped = dedup_by_source(staging)
     if audit:
         deduped = written(deduped, "deduped")

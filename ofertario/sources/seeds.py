@@ -30,7 +30,7 @@ def values_frame(spark: SparkSession, columns: list[str], rows: list[tuple]) ->
     """A few literal string rows as a frame Catalyst knows to be tiny."""
     schema = ", ".join(f"`{c}`: string" for c in columns)
     literal = F.lit(json.dumps([dict(zip(columns, row)) for row in rows]))
-    return spark.range(1).select(F.inline(F.from_json(literal, f"array<struct<{schema}>>")))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(literal, f"array<struct<{schema}>>")))
 
 
 def read_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:

@@ -40,6 +40,6 @@ def write_version(df: DataFrame, path: str, note: str = "") -> int:
     spark = df.sparkSession
     version = (current_version(spark, path) or 0) + 1
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(note).alias("note"))
+    entry = spark.range(0, 1, 1, 1).select(F.lit(version).cast("bigint").alias("version"), F.lit(note).alias("note"))
     entry.write.mode("append").json(f"{path}/log")
     return version
