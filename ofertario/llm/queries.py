@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ofertario.llm import exact_dedup, mixing, packing, sharding
+from ofertario.llm import exact_dedup, language, licenses, mixing, packing, sharding
 from ofertario.llm.common import table
 
 #: Weights of the sources by name, going round.
@@ -44,6 +44,19 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.label(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = language.held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~apart))
+    return language.predict(docs, model).select(
+        "doc_id", apart.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, keep_ids=False)

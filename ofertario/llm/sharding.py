@@ -6,7 +6,7 @@ the dot product of its vector with the residual capacity is highest.
 
 So that the number of items does not grow with the table, groups below 1/4096 of
 every total are first gathered by hash into 4096 bundles; at most 3 * 4096 groups
-are larger. A group above 1/64 of a shard's share of some total is cut by row hash
+are larger. A group above 1/8 of a shard's share of some total is cut by row hash
 into pieces below that size, as no shard could balance it whole; equal texts stay
 together otherwise. The law that holds is ``bytes``: sizes near equal.
 
@@ -71,7 +71,7 @@ def shard(
         rows.groupBy("text_hash")
         .agg(F.count("*").alias("rows"), F.sum("size").alias("size"), F.sum("words").alias("words"))
         .withColumn("share", share)
-        .withColumn("pieces", F.ceil(F.least(F.col("share") * shards * 64, F.col("rows"))).cast("int")),
+        .withColumn("pieces", F.ceil(F.least(F.col("share") * shards * 8, F.col("rows"))).cast("int")),
         "groups",
     )
     large = groups.where(F.col("share") * BUNDLES > 1)
