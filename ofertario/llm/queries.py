@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ofertario.llm import exact_dedup, language, licenses, mixing, packing, sharding
+from ofertario.llm import exact_dedup, language, licenses, lm, mixing, nearest, packing, sharding
 from ofertario.llm.common import table
 
 #: Weights of the sources by name, going round.
@@ -48,6 +48,12 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.label(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"))
+    return nearest.neighbours(vectors, queries, k=20)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     apart = language.held_out(F.col("doc_id"), 3, 1)
@@ -57,6 +63,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = language.held_out(F.col("doc_id"), 7, 2)
+    model, words = lm.train(docs.where(~apart))
+    return lm.score(docs, model, words).withColumn("held_out", apart)
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, keep_ids=False)
@@ -70,6 +83,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """SQL only where it gives every column; the others are tested by brute force."""
     return {
+        "op7_nearest": """
+            WITH usable AS (
+                SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+                WHERE embedding IS NOT NULL
+                  AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, x -> x <> 0)) > 0),
+            pairs AS (
+                SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v) AS score
+                FROM usable q JOIN usable r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+                WHERE q.vec_id % 20 = 0)
+            SELECT query_id, rank, vec_id, score FROM (
+                SELECT *, CAST(row_number() OVER (
+                    PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+                FROM pairs)
+            WHERE rank <= 20""",
         "op3_exact_dedup": """
             SELECT doc_id,
                    max(doc_id) OVER same AS keep_id,
