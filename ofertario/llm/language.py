@@ -101,7 +101,7 @@ def fit(
     docs: DataFrame,
     per_language: int = 400,
     per_centre: int = 4,
-    leniency: float = 0.5,
+    leniency: float = 0.25,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",

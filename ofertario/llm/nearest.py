@@ -185,6 +185,7 @@ def neighbours(
     asked = queries.select(F.col("query_id").cast("long").alias("query_id")).distinct()
     where = ["length", "ordering", "block"]
     own = placed.join(asked, F.col("vec_id") == F.col("query_id")).select("query_id", "vector", *where)
+    own = written(own, "asked")
     near = own.withColumn("block", F.explode(F.array(*[F.col("block") + d for d in (-1, 0, 1)])))
     found = near.groupBy(*where).cogroup(placed.groupBy(*where)).applyInPandas(best_in_block(k), PAIRS)
     found = written(found, "window-finds")
