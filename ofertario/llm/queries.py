@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ofertario.llm import exact_dedup, jaccard, language, licenses, lm, mixing, nearest, packing, sharding
+from ofertario.llm import exact_dedup, jaccard, language, licenses, lm, mixing, nearest, packing, pii, sharding
 from ofertario.llm.common import table
 
 #: Weights of the sources by name, going round.
 WEIGHTS = [3, 1, 2]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.train(docs))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"), words=3, percent=90)
 
