@@ -294,6 +294,7 @@ def _hot_links(sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
         "gid", "id", "found", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     )
     keys = ["gid", "block"]
+    spread = written(spread, "hot-pivots")
     inner = spread.groupBy(*keys).cogroup(sets.groupBy(*keys)).applyInPandas(_join_blocks(percent), EDGES)
     inner = written(inner, "hot-inner")
     found = components(inner).withColumnRenamed("component", "part")
@@ -313,8 +314,10 @@ def _hot_links(sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
         F.col("block").alias("outer"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
     )
-    outers = outer.select("gid", "outer").distinct()
-    blocks = sets.join(outers, "gid").select("gid", "id", "found", "block", "outer")
+    outer = written(outer, "hot-outer")
+    outers = outer.select(F.col("gid").alias("of"), F.col("outer").alias("meets")).distinct()
+    blocks = sets.join(outers, F.col("gid") == F.col("of"))
+    blocks = blocks.select("gid", "id", "found", "block", F.col("meets").alias("outer"))
     across = outer.groupBy(*meet).cogroup(blocks.groupBy(*meet)).applyInPandas(_join_blocks(percent), EDGES)
     return inner.unionByName(across)
 

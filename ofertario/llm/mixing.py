@@ -4,7 +4,9 @@ Each source is a queue of its documents in shuffled order, repeated up to
 ``max_repeats`` times. A copy's virtual finish time is the queue's cumulative
 size up to and with the copy, divided by the source's target. Copies are served
 in the order of finish times, over range buckets of that time, until the total
-budget is used up; the copy that would exceed it and all later ones stay out.
+budget is used up; the copy that would exceed it and all later ones stay out, and so
+do copies of which less than half fits into their source's target: else budget that
+a very long document cannot use would go to the other sources beyond their targets.
 
 Defined results: a null text has size 0, is served if its turn comes and takes
 nothing; a null source is a source of its own, last by name; rows that repeat a
@@ -107,6 +109,9 @@ def plan(
             F.lit(0.0),
         )
 
+    def fits(copy):
+        return copy * F.col("source_size") + F.col("ahead") + F.col("size") / 2 <= F.col("target")
+
     def ticket(copy):
         """The order in which copies are served."""
         return F.struct(
@@ -115,7 +120,8 @@ def plan(
 
     copies = queued.select(
         F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("copy"), *queued.columns
-    ).select("size", ticket(F.col("copy")).alias("ticket"))
+    )
+    copies = copies.where(fits(F.col("copy"))).select("size", ticket(F.col("copy")).alias("ticket"))
     # Times from 0 to infinity over range buckets; the budget ends in one of them.
     time = F.col("ticket.finish")
     copies = copies.withColumn("part", F.floor(time / (1 + time) * parts).cast("long"))
@@ -139,9 +145,9 @@ def plan(
             F.lit(last["shuffle"]).cast("long").alias("shuffle"),
             F.lit(last["row"]).cast("long").alias("row"),
         )
-        served = [(ticket(F.lit(c)) < end).cast("int") for c in range(max_repeats)]
+        served = [(fits(F.lit(c)) & (ticket(F.lit(c)) < end)).cast("int") for c in range(max_repeats)]
     else:
-        served = [F.lit(1) for _ in range(max_repeats)]
+        served = [fits(F.lit(c)).cast("int") for c in range(max_repeats)]
     return queued.select(
         "doc_id",
         "source",
@@ -170,7 +176,7 @@ def mix(docs: DataFrame, weights: list[float], id_col: str = "doc_id", **options
         docs[f"`{id_col}`"] == F.col("__id"),
     )
     repeated = joined.select(
-        F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__copy"), *joined.columns
+        F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__copy"), *[f"`{c}`" for c in joined.columns]
     )
     served = (F.col("__finish") + F.col("__copy") * F.col("__step")).alias("__served")
     return (

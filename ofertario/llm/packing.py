@@ -69,7 +69,7 @@ class WordIds(dict):
             sum(map(len, parts)) == len(low)
             and "<|" not in text
             and not ("'" in low and self.contraction.search(low))
-            and all(p[0] < "\x7f" or p.isalpha() for p in parts)
+            and all(p.isascii() or p.isalpha() for p in parts)
             and (text.isascii() or (len(low) == len(text) and "Σ" not in text and unicodedata.is_normalized("NFC", text)))
         )
         if simple:
