@@ -100,7 +100,8 @@ def exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def best_in_block(k: int):
     def best(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        """The k best rows of one block for each query that looks at it."""
+        """The k best rows of one block for each query that looks at it, if they reach
+        the worst neighbour that it has already (``worst``)."""
         if queries.empty or rows.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         q = np.array(queries["vector"].tolist(), float)
@@ -110,7 +111,9 @@ def best_in_block(k: int):
         near[asked[:, None] == ids[None, :]] = -np.inf
         few = min(k, len(ids))
         edge = -np.partition(-near, few - 1, axis=1)[:, few - 1]
-        slack = 1e-9 * (1 + np.abs(edge))
+        if "worst" in queries:
+            edge = np.maximum(edge, queries["worst"].to_numpy(float))
+        slack = np.where(np.isfinite(edge), 1e-9 * (1 + np.abs(edge)), 0.0)
         at, of = np.nonzero(np.isfinite(near) & (near >= (edge - slack)[:, None]))
         found = pd.DataFrame({"query_id": asked[at], "vec_id": ids[of], "score": exact_scores(q[at], r[of])})
         found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
@@ -136,7 +139,8 @@ def complete_chunk(k: int):
             may = reach >= worst - 1e-9 * (1 + np.abs(reach))
             if may.any():
                 found.append(best_in_block(k)(queries[may], block))
-        return pd.concat(found)
+        best = pd.concat(found).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return best.groupby("query_id").head(k)
 
     return complete
 
