@@ -176,16 +176,16 @@ def predict(docs: DataFrame, model: Centroids | None, id_col: str = "doc_id", te
 
 def keep_known(docs: DataFrame, model: Centroids | None, text_col: str = "text") -> DataFrame:
     """The rows that are not rejected, with all their columns: one pass, no join."""
+    at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _predict(model)
         for batch in batches:
             n = batch.num_rows
-            two = pa.RecordBatch.from_arrays(
-                [pa.array(range(n), pa.int64()), batch.column(batch.schema.names.index(text_col))], ["doc_id", "text"]
-            )
+            two = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), batch.column(at)], ["doc_id", "text"])
             (told,) = judge(iter([two]))
             known = [not r for r in told.column("rejected").to_pylist()]
             yield batch.filter(pa.array(known, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

@@ -36,7 +36,8 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 #: The base patterns. An e-mail's part before the sign is looked up backwards.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: Runs of digits are entered at their start only, as no later start would fare better.
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
