@@ -246,7 +246,8 @@ WHERE (o_orderstatus <> 'F' OR plan = 'uno') AND NOT (o_orderpriority = '5-LOW'
   count(*) AS entries, CAST(ceil(count(*) / 7.0) AS BIGINT) AS pages,
   CAST(count(*) AS BIGINT) AS told FROM orders GROUP BY 1"""
     sql["s5_new_files"] = """SELECT CASE o_orderkey % 3 WHEN 0 THEN 'bbva' WHEN 1 THEN 'galicia'
-  ELSE 'naranjax' END AS spider, TRUE AS arrived, FALSE AS arrived_later FROM orders GROUP BY ALL"""
+  ELSE 'naranjax' END AS spider, CAST(2 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS later_files
+FROM orders GROUP BY ALL"""
     sql["s6_write_table"] = f"WITH {SERVING} SELECT * FROM serving"
     sql["s7_load_discounts"] = f"WITH {SERVING} SELECT * FROM serving"
     sql["s7_load_issuers"] = f"WITH {FACT} {_SUMMARY}"
@@ -313,6 +314,21 @@ SELECT discount_id, merchant_name, merchant_category_clean FROM normalised"""
   WHEN '2-HIGH' THEN 'alta:2' ELSE '' END AS levels FROM orders"""
     sql["n3_map_value_join"] = """SELECT o_orderkey, c_mktsegment AS matches FROM orders
   JOIN customer ON o_custkey = c_custkey"""
+    # Entries of one key stand in the order of their values, elements in array order.
+    dims = """dims AS (SELECT 'large' AS dim, p_partkey % 500 AS k, p_brand, p_name FROM part
+  UNION ALL SELECT 'small', p_partkey % 500, p_brand, p_name FROM part
+  WHERE p_partkey % 500 < 30 AND p_brand < 'Brand#2'),
+of_key AS (SELECT dim, k, string_agg(p_brand || ':' || p_name, ',' ORDER BY p_brand, p_name) AS entries
+  FROM dims GROUP BY dim, k), sizes AS (SELECT unnest(['small', 'large']) AS dim)"""
+    sql["n2_map_elements_sizes"] = f"""WITH {dims},
+elements AS (SELECT o_orderkey, unnest([o_custkey % 40, o_custkey % 40 + 1, 7]) AS k,
+  unnest([1, 2, 3]) AS place FROM orders)
+SELECT o_orderkey, sizes.dim, string_agg(coalesce(entries, '?:?'), ',' ORDER BY place) AS entries
+FROM elements CROSS JOIN sizes LEFT JOIN of_key ON of_key.k = elements.k AND of_key.dim = sizes.dim
+GROUP BY o_orderkey, sizes.dim"""
+    sql["n3_map_value_sizes"] = f"""WITH {dims}
+SELECT o_orderkey, sizes.dim, coalesce(entries, '') AS entries
+FROM orders CROSS JOIN sizes LEFT JOIN of_key ON of_key.k = o_custkey % 40 AND of_key.dim = sizes.dim"""
     sql["n6_explode_days"] = f"""WITH {STAGED}
 SELECT issuer_name, CAST(day AS BIGINT) AS day, count(*) AS offers FROM (
   SELECT issuer_name, unnest(string_split(days, ',')) AS day FROM staged) GROUP BY ALL"""
@@ -320,7 +336,8 @@ SELECT issuer_name, CAST(day AS BIGINT) AS day, count(*) AS offers FROM (
     # Aggregations
     sql["a1_issuer_summary"] = """SELECT event_type AS issuer_name, max(CAST(ts AS DATE)) AS last_scraped_at,
   count(*) AS discount_count FROM events GROUP BY 1"""
-    sql["a2_regroup_elements"] = sql["n2_map_elements_join"]
+    sql["a2_regroup_elements"] = """SELECT p_partkey, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS entries,
+  CAST(len(string_split(p_name, ' ')) AS INTEGER) AS without_value FROM part"""
     sql["a3_basis_points"] = _check(
         "is_true_share", "cheap", "count(*) FILTER (WHERE NOT (l_discount < 0.1))", "lineitem",
         status=_SHARE_STATUS, metric=_BP)
@@ -358,12 +375,13 @@ SELECT discount_id, discount_content_hash, last_updated_at_date FROM audit WHERE
     ELSE '{"code":"' || l_linestatus || '","note":null},{"code":"' || l_returnflag || '","note":null}'
   END AS structs FROM lineitem"""
     sql["k3_content_hash"] = f"""WITH {AUDIT} SELECT discount_id, discount_content_hash FROM hashed"""
-    sql["l1_order"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name FROM serving
-ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id"""
+    sql["l1_order"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name,
+  row_number() OVER (ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id) AS position FROM serving"""
     sql["l2_page"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name FROM serving
 WHERE {_FOUND} AND issuer_name IN ('Banco BBVA', 'Banco Galicia', 'Naranja X') AND discount_is_active
 ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id LIMIT 20 OFFSET 20"""
-    sql["l3_order_issuers"] = f"""WITH {FACT} {_SUMMARY}"""
+    sql["l3_order_issuers"] = f"""WITH {FACT}, summary AS ({_SUMMARY})
+SELECT *, row_number() OVER (ORDER BY issuer_name) AS position FROM summary"""
 
     # Merge
     newest = """SELECT o_custkey AS id, o_orderkey, o_orderstatus,
@@ -395,6 +413,11 @@ UNION ALL {_check("is_true_share", "known", "count(*) FILTER (WHERE l_returnflag
     sql["t8_not_in"] = _check("not_in", "o_orderpriority", "count(*) FILTER (WHERE o_orderpriority IN ('5-LOW', '1-URGENT'))", "orders")
     sql["t9_required_keys"] = _check("has_required_keys", "payload", "count(*) FILTER (WHERE o_orderstatus = 'F')",
         "orders WHERE o_orderpriority <> '5-LOW'", status="CASE WHEN metric > 9 THEN 'error' WHEN metric > 0 THEN 'warn' ELSE 'pass' END")
+    def nulls(kind: str, rest: str) -> str:
+        status = "CASE WHEN metric > 9 THEN 'error' WHEN metric > 0 THEN 'warn' ELSE 'pass' END"
+        return _check(kind, "raw_payload", f"count(*) FILTER (WHERE o_orderkey % 10 {rest})", "orders", status=status)
+
+    sql["t9_null_payloads"] = f"""{nulls('has_required_keys', '= 0')} UNION ALL {nulls('has_payload', '< 2')}"""
     sql["t10_reconcile"] = f"WITH {FACT} SELECT 0 AS fact_count, 0 AS summary_count FROM fact WHERE FALSE"
     sql["t11_severity"] = """SELECT l_linenumber AS line, count(*) FILTER (WHERE l_tax = 0) AS metric,
   CASE WHEN count(*) FILTER (WHERE l_tax = 0) > 900 THEN 'error'
@@ -483,7 +506,9 @@ FROM audit WHERE rn = 1"""
 FROM (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents)"""
     sql["d7_day_text"] = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'N/A'
   ELSE strftime(o_orderdate, '%d/%m/%Y') END AS text FROM orders"""
-    sql["d8_plain_key"] = """SELECT doc_id,
+    # What stands before the text, by doc_id: nothing, a ligature, a fraction, a digraph,
+    # letters and a digit beyond the basic plane, a numeral, a dotted I, a sharp s.
+    sql["d8_plain_key"] = """SELECT doc_id, ['', 'finca', '12precio', 'dz', 'anco1', 'viii', 'i', ''][doc_id % 8 + 1] ||
   regexp_replace(strip_accents(lower(text)), '[^a-z0-9]', '', 'g') AS key FROM documents"""
     sql["d9_issuer_status"] = """SELECT event_type AS issuer_name, CAST(date_trunc('day', max(ts)) AS TIMESTAMP) AS last_scraped_at,
   count(*) AS discount_count, lower(event_type) AS issuer_key,
@@ -534,5 +559,8 @@ WHERE event_type = 'error' GROUP BY ALL"""
 SELECT source_id, issuer_name, last_updated_at_date, seq, discount_rate, days, methods FROM kept
 QUALIFY row_number() OVER (
   PARTITION BY source_id, issuer_name ORDER BY last_updated_at_date DESC, seq DESC) = 1"""
-    sql["b_build_fact"] = f"WITH {FACT} SELECT * EXCLUDE (merchant_category_name) FROM fact"
+    sql["r5_stream_fact"] = f"WITH {FACT} SELECT * FROM fact"
+    sql["b_build_fact"] = f"WITH {FACT} SELECT * FROM fact"
+    # Both dedups prefer the newest day, so loading in two steps gives the same rows.
+    sql["b_incremental_build"] = f"WITH {FACT} SELECT * FROM fact"
     return sql

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ofertario.functions import display, jsonx, keys, scalars
 from ofertario.operators import category, conform, dedup, issuers, mapping, merge, metrics
@@ -20,6 +20,8 @@ from .order_offers import raw_orders_as, rendered_orders, table
 TIE = "$.seq"
 AS_OF = dt.date(2000, 12, 31)
 CUTOFF = dt.date(1999, 6, 30)
+SPIDERS = ["bbva", "galicia", "naranjax"]
+ODD_NAMES = ["", "ﬁnca ", "½ precio ", "Ǆ ", "𝐁anco 𝟙 ", "Ⅷ ", "İ ", "ß "]
 FOUND = search.Query(
     merchant=" furn|mach ", issuers=["Banco BBVA", "Banco Galicia", "Naranja X"]
 )
@@ -64,14 +66,13 @@ def _landed(spark, sf) -> str:
     """The orders as JSON lines, one folder per source and month."""
 
     def land(path: str) -> None:
-        landing.write_landing(rendered_orders(spark, sf), path, files_per_folder=1)
+        landing.write_landing(rendered_orders(spark, sf), path)
 
     return _once(spark, sf, "landing", land)
 
 
 def _raw(spark, sf) -> DataFrame:
-    since = dt.date(1990, 1, 1)
-    return landing.usable(landing.read_landing(spark, _landed(spark, sf), since=since))
+    return landing.usable(landing.read_landing(spark, _landed(spark, sf), spider=SPIDERS))
 
 
 def _published(spark, sf) -> DataFrame:
@@ -137,8 +138,8 @@ def s1_read_landing(spark, sf):
 
 def s2_write_landing(spark, sf):
     path = fresh_folder(spark, "landing")
-    landing.write_landing(rendered_orders(spark, sf), path, files_per_folder=1)
-    raw = landing.read_landing(spark, path, spider=["bbva", "galicia", "naranjax"])
+    landing.write_landing(rendered_orders(spark, sf), path)
+    raw = landing.read_landing(spark, path, spider=SPIDERS)
     return raw.groupBy("spider", "scraped_at_dt").agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.try_variant_get("raw_payload", TIE, "bigint")).alias("seq_total"),
@@ -283,21 +284,28 @@ def s4_page_counts(spark, sf):
 
 
 def s5_new_files(spark, sf):
-    path = _landed(spark, sf)
+    """Two files land in each source; those from before the run do not count."""
+    path = fresh_folder(spark, "arrivals")
+    rows = rendered_orders(spark, sf)
+    day = F.to_date(F.lit("2000-01-01"))
+    landing.write_landing(rows.withColumn("scraped_at_dt", day).coalesce(1), path)
+    landing.write_landing(rows.withColumn("scraped_at_dt", day).coalesce(1), path)
     early, late = dt.datetime(2000, 1, 1), dt.datetime(2200, 1, 1)
     now = landing.new_files(spark, path, early)
-    later = landing.new_files(spark, path, late).withColumnRenamed("new_files", "later")
+    later = landing.new_files(spark, path, late).withColumnRenamed("new_files", "later_files")
     return now.join(later, "spider", "left").select(
-        "spider",
-        (F.col("new_files") > 0).alias("arrived"),
-        F.col("later").isNotNull().alias("arrived_later"),
+        "spider", "new_files", F.coalesce("later_files", F.lit(0)).alias("later_files")
     )
 
 
 def s6_write_table(spark, sf):
+    """A reader keeps its version while the next one is staged, and sees only what is committed."""
     path = fresh_folder(spark, "serving")
-    tables.write_table(_serving(spark, sf), path)
-    return _flat(spark.read.parquet(path))
+    rows = _serving(spark, sf)
+    tables.write_version(rows, path, keep=2)
+    reader = tables.read_version(spark, path)
+    tables.stage_version(rows.limit(0), path)
+    return _flat(reader.unionByName(tables.read_version(spark, path).limit(0)))
 
 
 def s7_load_discounts(spark, sf):
@@ -543,7 +551,6 @@ def n2_map_elements_join(spark, sf):
         ["c_custkey"],
         ["c_mktsegment"],
         ["segment"],
-        row_key=["o_orderkey"],
     )
     texts = F.transform("mapped", lambda e: F.coalesce(e["segment"], F.lit("?")))
     return mapped.select("o_orderkey", F.array_join(texts, ",").alias("segments"))
@@ -577,6 +584,53 @@ def n3_map_value_join(spark, sf):
     return mapped.select("o_orderkey", F.array_join(texts, ",").alias("matches"))
 
 
+def _parts_dim(spark, sf, most: int | None) -> DataFrame:
+    """Part names by number, of the first ``most`` parts or all: below or above the inline limit."""
+    part = table(spark, sf, "part").select((F.col("p_partkey") % 500).alias("k"), "p_name", "p_brand")
+    return part if most is None else part.filter(F.col("k") < most).filter(F.col("p_brand") < "Brand#2")
+
+
+def _sizes(spark, sf, mapped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    small, large = (mapped(_parts_dim(spark, sf, most)) for most in (30, None))
+    return small.withColumn("dim", F.lit("small")).unionByName(large.withColumn("dim", F.lit("large")))
+
+
+def n2_map_elements_sizes(spark, sf):
+    """One result whatever the size of the dimension; keys repeat in both."""
+    key = F.col("o_custkey") % 40
+    orders = table(spark, sf, "orders").select("o_orderkey", F.array(key, key + 1, F.lit(7)).alias("ks"))
+
+    def mapped(dim):
+        names = ["a", "b"]
+        df = mapping.map_elements(orders, "m", "ks", lambda k: [k], dim, ["k"], ["p_brand", "p_name"], names)
+        return df.select("o_orderkey", _joined_entries("m").alias("entries"))
+
+    return _sizes(spark, sf, mapped)
+
+
+def n3_map_value_sizes(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 40).alias("k"))
+
+    def mapped(dim):
+        names = ["a", "b"]
+        df = mapping.map_value(orders, "m", [F.col("k")], dim, ["k"], ["p_brand", "p_name"], names)
+        return df.select("o_orderkey", _joined_entries("m").alias("entries"))
+
+    return _sizes(spark, sf, mapped)
+
+
+def a2_regroup_elements(spark, sf):
+    """Elements without a match come back as structs of NULLs, in their places."""
+    words = table(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    dim = table(spark, sf, "customer").select(F.lit("no such word").alias("k"), "c_mktsegment")
+    mapped = mapping.map_elements(words, "m", "words", lambda w: [w], dim, ["k"], ["c_mktsegment"], ["a"])
+    return mapped.select(
+        "p_partkey",
+        F.size("m").alias("entries"),
+        F.size(F.filter("m", lambda e: e.isNotNull() & e["a"].isNull())).alias("without_value"),
+    )
+
+
 def n6_explode_days(spark, sf):
     return (
         _staged(spark, sf)
@@ -697,10 +751,23 @@ def k3_content_hash(spark, sf):
     return dedup.with_content_hash(_deduped(spark, sf)).select("discount_id", "discount_content_hash")
 
 
-def l1_order(spark, sf):
-    return search.ordered(_published(spark, sf), FOUND).select(
-        "discount_id", "discount_rate", "merchant_name"
+def _positions(df: DataFrame, columns: list[str]) -> DataFrame:
+    """An ordered frame with the place of each row: rows of earlier partitions come before."""
+    placed = written(
+        df.select(*columns)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_at", F.monotonically_increasing_id() % F.lit(1 << 33)),
+        "ordered",
     )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = starts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_part").select(*columns, (F.col("_start") + F.col("_at") + 1).alias("position"))
+
+
+def l1_order(spark, sf):
+    ordered = search.ordered(_published(spark, sf), FOUND)
+    return _positions(ordered, ["discount_id", "discount_rate", "merchant_name"])
 
 
 def l2_page(spark, sf):
@@ -709,7 +776,8 @@ def l2_page(spark, sf):
 
 
 def l3_order_issuers(spark, sf):
-    return serving.issuer_summary(_fact(spark, sf)).orderBy("issuer_name")
+    ordered = serving.issuer_summary(_fact(spark, sf)).orderBy("issuer_name")
+    return _positions(ordered, ordered.columns)
 
 
 # --- incremental merge -----------------------------------------------------
@@ -814,6 +882,25 @@ def t9_required_keys(spark, sf):
     return quality.run_checks(rows, [check])
 
 
+def t9_null_payloads(spark, sf):
+    """JSON nulls lack every key; unread lines are counted apart."""
+    orders, path = table(spark, sf, "orders"), fresh_folder(spark, "nulls")
+    line = (
+        F.when(F.col("o_orderkey") % 10 == 0, '{"raw_payload": null}')
+        .when(F.col("o_orderkey") % 10 == 1, "not json")
+        .otherwise(F.format_string('{"raw_payload": {"source_id": %d}}', "o_orderkey"))
+    )
+    orders.select(line.alias("value")).write.text(f"{path}/spider=bbva/scraped_at_dt=2000-01-01")
+    raw = landing.read_landing(spark, path, spider=["bbva"])
+    return quality.run_checks(
+        raw,
+        [
+            quality.has_required_keys("raw_payload", ["source_id"]),
+            quality.has_payload("raw_payload", error=9),
+        ],
+    )
+
+
 def t10_reconcile(spark, sf):
     fact = _fact(spark, sf)
     return quality.reconcile(fact, serving.issuer_summary(fact)).select(
@@ -969,16 +1056,21 @@ def d7_day_text(spark, sf):
 
 
 def d8_plain_key(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", issuers.plain_key("text").alias("key"))
+    """Also with characters that give several letters or lie beyond the basic plane."""
+    odd = F.array(*[F.lit(text) for text in ODD_NAMES])
+    docs = table(spark, sf, "documents")
+    name = F.concat(F.element_at(odd, (F.col("doc_id") % len(ODD_NAMES) + 1).cast("int")), F.col("text"))
+    return docs.select("doc_id", issuers.plain_key(name).alias("key"))
 
 
 def d9_issuer_status(spark, sf):
-    icons = seeds.values_frame(
-        spark,
-        ["issuer_name", "icon_file"],
-        [("Click", "viejo.png"), (" CLÍCK! ", "nuevo.png"), ("view", "view.png"), ("", "x.png")],
-    )
-    return issuers.issuer_status(a1_issuer_summary(spark, sf), icons)
+    """The icon of the highest position wins, also from a seed of several shuffled files."""
+    path = fresh_folder(spark, "icons")
+    icons = [("Click", "viejo.png", 1), (" CLÍCK! ", "nuevo.png", 2), ("view", "view.png", 3), ("", "x.png", 4)]
+    kinds = "issuer_name string, icon_file string, position int"
+    for rows in (icons[1:], icons[:1]):
+        spark.createDataFrame(rows, kinds).write.mode("append").parquet(path)
+    return issuers.issuer_status(a1_issuer_summary(spark, sf), spark.read.schema(kinds).parquet(path))
 
 
 def d_initcap(spark, sf):
@@ -1098,17 +1190,43 @@ def r5_landing_stream(spark, sf):
     landing_stream.start_landing_stream(
         stream, f"{folder}/newest", f"{folder}/checkpoint", TIE
     ).awaitTermination()
-    newest = tables.read_version(spark, f"{folder}/newest")
+    newest = landing_stream.read_newest(spark, f"{folder}/newest")
     return _flat(newest).select(
         "source_id", "issuer_name", "last_updated_at_date", "seq", "discount_rate", "days", "methods"
     )
 
 
+def r5_stream_fact(spark, sf):
+    """From the stream to the fact table; the same rows as the batch load gives."""
+    path, folder = _landed(spark, sf), fresh_folder(spark, "stream")
+    stream = landing_stream.read_landing_stream(spark, path, files_per_batch=100)
+    landing_stream.start_landing_stream(stream, f"{folder}/newest", f"{folder}/checkpoint", TIE).awaitTermination()
+    landing_stream.stream_fact(spark, f"{folder}/newest", f"{folder}/fact", *_category_seeds(spark))
+    return _flat(tables.read_version(spark, f"{folder}/fact"))
+
+
+def _build_seeds(spark) -> dict[str, DataFrame]:
+    overrides, categories = _category_seeds(spark)
+    return {"merchant_overrides": overrides, "merchant_categories": categories}
+
+
 def b_build_fact(spark, sf):
     """The build from raw records to published tables, its checks not enforced."""
     path = fresh_folder(spark, "build")
-    plan.build(spark, _raw(spark, sf), path, as_of=AS_OF, tie_path=TIE, enforce=False)
-    return _flat(tables.read_version(spark, f"{path}/fact")).drop("merchant_category_name")
+    plan.build(
+        spark, _raw(spark, sf), path, as_of=AS_OF, tie_path=TIE, enforce=False, seeds=_build_seeds(spark)
+    )
+    return _flat(tables.read_version(spark, f"{path}/fact"))
+
+
+def b_incremental_build(spark, sf):
+    """A load up to a cutoff, then a run that reads the later partitions only."""
+    path, raw = fresh_folder(spark, "build"), _raw(spark, sf)
+    for cutoff in (CUTOFF, None):
+        plan.build(
+            spark, raw, path, as_of=AS_OF, cutoff=cutoff, tie_path=TIE, enforce=False, seeds=_build_seeds(spark)
+        )
+    return _flat(tables.read_version(spark, f"{path}/fact"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -1120,5 +1238,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         and name != "queries"
         and not name.startswith("_")
     }
-    named["a2_regroup_elements"] = n2_map_elements_join
     return dict(sorted(named.items()))

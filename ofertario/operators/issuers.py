@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,32 +13,44 @@ from ..functions.scalars import trim_ws
 from .dedup import latest_by
 
 
-def _plain_letters() -> dict[str, str]:
-    """Characters that decompose to one plain letter or digit, and that one."""
-    plain = {}
-    for char in map(chr, range(0x80, 0x10000)):
+def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that decompose to plain letters and digits: to one, and to several.
+
+    Only small letters count, as names are lower-cased before they are decomposed.
+    """
+    one, several = {}, {}
+    for char in map(chr, range(0x80, 0x110000)):
         parts = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
-        if len(parts) == 1 and parts.isalnum():
-            plain[char] = parts
-    return plain
+        plain = re.sub("[^a-z0-9]", "", parts)
+        if plain:
+            (one if len(plain) == 1 else several)[char] = plain
+    return one, several
 
 
-_PLAIN = _plain_letters()
+_PLAIN, _LONGER = _plain_letters()
 
 
 def plain_key(name) -> Column:
-    """Letters and digits only, lower case, without accents; '' for NULL."""
+    """Letters and digits only, lower case, without accents; '' for NULL.
+
+    Characters that give several letters are rare: only a text that has one is
+    taken apart character by character.
+    """
     name = F.col(name) if isinstance(name, str) else name
-    letters = F.translate(F.lower(trim_ws(name)), "".join(_PLAIN), "".join(_PLAIN.values()))
+    low = F.translate(F.lower(trim_ws(name)), "".join(_PLAIN), "".join(_PLAIN.values()))
+    longer = F.from_json(F.lit(json.dumps(_LONGER)), "map<string, string>")
+    each = F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(longer, c), c))
+    has_longer = low.rlike("[" + "".join(_LONGER) + "]")
+    letters = F.when(has_longer, F.array_join(each, "")).otherwise(low)
     return F.coalesce(F.regexp_replace(letters, "[^a-z0-9]", ""), F.lit(""))
 
 
-def icon_lookup(icons: DataFrame, position: str | None = None) -> DataFrame:
+def icon_lookup(icons: DataFrame, position: str = "position") -> DataFrame:
     """One icon per key; of several the one with the highest ``position`` wins.
 
-    A single-file seed keeps its order in ``monotonically_increasing_id``.
+    The column must be there: rows of a table have no order of their own.
     """
-    at = F.monotonically_increasing_id() if position is None else F.col(position)
+    at = F.col(position)
     keyed = icons.select(plain_key("issuer_name").alias("issuer_key"), "icon_file", at.alias("_at"))
     known = keyed.filter((F.col("issuer_key") != "") & F.col("icon_file").isNotNull())
     return latest_by(known, ["issuer_key"], [F.desc("_at")]).drop("_at")

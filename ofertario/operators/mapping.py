@@ -1,9 +1,11 @@
 """Mapping raw values through a dimension, also inside arrays.
 
-A dimension of at most ``INLINE_ROWS`` rows becomes a literal map, so the
-lookup is one more expression of the scan stage: no join, no shuffle, no row
-id. A larger one is joined, and Spark picks the join by measured size. Either
-way keys are compared and values given as text.
+The result is the same for every size of the dimension: elements in array order,
+and the entries of one key in the order of their values, NULL first. A dimension of
+at most ``INLINE_ROWS`` rows becomes a literal map, one more expression of the
+scan stage. A larger one is joined: the *distinct* arrays of raw keys are mapped
+and joined back by the array, so rows need no id. Keys are compared and values
+given as text.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
+
 INLINE_ROWS = 256
-SALTS = 16
 
 
 def small_rows(dim: DataFrame, columns: list[str], limit: int = INLINE_ROWS) -> list[tuple] | None:
@@ -39,8 +42,11 @@ def literal_map(rows: list[tuple], key_count: int, names: list[str]) -> Column:
         key = tuple(None if k is None else str(k) for k in row[:key_count])
         if None not in key:
             found.setdefault(key, []).append(dict(zip(names, row[key_count:])))
+    def in_order(value: dict) -> list[tuple]:
+        return [(v is not None, (v or "").encode()) for v in value.values()]
+
     entries = [
-        {"key": {f"k{i}": part for i, part in enumerate(key)}, "value": values}
+        {"key": {f"k{i}": part for i, part in enumerate(key)}, "value": sorted(values, key=in_order)}
         for key, values in found.items()
     ]
     key_type = _entry_type([f"k{i}" for i in range(key_count)])
@@ -56,10 +62,18 @@ def _keyed_entries(dim: DataFrame, keys: list[str], values: list[str], names: li
     return dim.select(*keyed, entry.alias("_entry"))
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    """A number below ``salts`` from the row's own values, so it never changes."""
-    hashed = [c for c, t in df.dtypes if "variant" not in t and "map<" not in t]
-    return F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+def _as_rows(dim: DataFrame | list[tuple], columns: list[str]) -> list[tuple] | None:
+    """The rows of a dimension that is small enough for a literal."""
+    if isinstance(dim, list):
+        return [tuple(None if v is None else str(v) for v in r) for r in dim] if len(dim) <= INLINE_ROWS else None
+    return small_rows(dim, columns)
+
+
+def _as_frame(dim: DataFrame | list[tuple], columns: list[str], df: DataFrame) -> DataFrame:
+    if not isinstance(dim, list):
+        return dim
+    rows = [tuple(None if v is None else str(v) for v in r) for r in dim]
+    return df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns))
 
 
 def map_value(
@@ -72,24 +86,22 @@ def map_value(
     names: list[str],
 ) -> DataFrame:
     """``target``: all dimension entries of one key per row, ``[]`` for none."""
-    rows = dim if isinstance(dim, list) else small_rows(dim, keys + values)
+    rows = _as_rows(dim, keys + values)
     empty = F.array().cast(f"array<{_entry_type(names)}>")
     if rows is not None:
         found = F.try_element_at(literal_map(rows, len(keys), names), _key(parts))
         return df.withColumn(target, F.coalesce(found, empty))
-    # One key may hold a third of the rows: its rows are spread over SALTS tasks,
-    # each with its own copy of the key's matches.
-    on = [f"_key{i}" for i in range(len(parts))] + ["_salt"]
-    matches = (
-        _keyed_entries(dim, keys, values, names)
-        .groupBy(*on[:-1])
-        .agg(F.array_sort(F.collect_list("_entry")).alias("_matches"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    salted = df.withColumn("_salt", _row_salt(df, SALTS)).withColumns(
-        {name: part.cast("string") for name, part in zip(on, parts)}
+    on = [f"_key{i}" for i in range(len(parts))]
+    # Written, so that both sides of the join are plain and a hot key can be split.
+    matches = written(
+        _keyed_entries(_as_frame(dim, keys + values, df), keys, values, names)
+        .dropna(subset=on)
+        .groupBy(*on)
+        .agg(F.array_sort(F.collect_list("_entry")).alias("_matches")),
+        "matches",
     )
-    joined = salted.join(matches, on, "left")
+    keyed = df.withColumns({name: part.cast("string") for name, part in zip(on, parts)})
+    joined = keyed.join(matches, on, "left")
     return joined.withColumn(target, F.coalesce("_matches", empty)).drop("_matches", *on)
 
 
@@ -102,16 +114,14 @@ def map_elements(
     keys: list[str],
     values: list[str],
     names: list[str],
-    row_key: list[str] | None = None,
 ) -> DataFrame:
     """``target``: the entries of every array element, in element order.
 
     An element without a match gives one entry of NULLs; an empty or NULL
-    array gives NULL. A dimension too large for a literal needs ``row_key``,
-    columns that tell the rows of ``df`` apart, to put the elements together
-    again after the join.
+    array gives NULL. With a large dimension ``df`` is written first, so that
+    what made it, as the parsing of payloads, is done once.
     """
-    rows = dim if isinstance(dim, list) else small_rows(dim, keys + values)
+    rows = _as_rows(dim, keys + values)
     nothing = F.array(F.struct(*[F.lit(None).cast("string").alias(n) for n in names]))
     if rows is not None:
         found = literal_map(rows, len(keys), names)
@@ -121,21 +131,21 @@ def map_elements(
             )
         )
         return df.withColumn(target, F.when(F.size(mapped) > 0, mapped))
-    if not row_key:
-        raise ValueError("a dimension this large needs row_key to regroup the elements")
     on = [f"_key{i}" for i in range(len(keys))]
-    opened = df.select(*row_key, F.posexplode(elements).alias("_at", "_element"))
-    opened = opened.withColumns(
-        {name: part.cast("string") for name, part in zip(on, parts(F.col("_element")))}
-    )
-    # Joined with the dimension as it is, so that Spark can split a hot element.
+    keyed = F.transform(elements, lambda e: _key(parts(e)))
+    stable = written(df.withColumn("_keys", F.when(F.size(elements) > 0, keyed)), "keyed")
+    arrays = stable.select("_keys").dropna().distinct()
+    opened = arrays.select("_keys", F.posexplode("_keys").alias("_at", "_element"))
+    opened = opened.withColumns({name: F.col(f"_element.k{i}") for i, name in enumerate(on)})
+    entries = _keyed_entries(_as_frame(dim, keys + values, df), keys, values, names)
     none = F.struct(*[F.lit(None).cast("string").alias(n) for n in names])
-    found = opened.join(_keyed_entries(dim, keys, values, names), on, "left").select(
-        *row_key, F.struct("_at", F.coalesce("_entry", none).alias("_entry")).alias("_found")
+    found = opened.join(entries, on, "left").select(
+        "_keys", F.struct("_at", F.coalesce("_entry", none).alias("_entry")).alias("_found")
     )
-    regrouped = (
-        found.groupBy(*row_key)
+    regrouped = written(
+        found.groupBy("_keys")
         .agg(F.array_sort(F.collect_list("_found")).alias("_found"))
-        .select(*row_key, F.transform("_found", lambda f: f["_entry"]).alias(target))
+        .select("_keys", F.transform("_found", lambda f: f["_entry"]).alias(target)),
+        "mapped-arrays",
     )
-    return df.join(regrouped, row_key, "left")
+    return stable.join(regrouped, "_keys", "left").drop("_keys")

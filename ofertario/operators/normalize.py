@@ -150,9 +150,7 @@ def normalize_bbva(raw: DataFrame, methods=None, strict_dates: bool = False) ->
     )
 
 
-def normalize_galicia(
-    raw: DataFrame, methods=None, strict_dates: bool = False, row_key: list[str] | None = None
-) -> DataFrame:
+def normalize_galicia(raw: DataFrame, methods=None, strict_dates: bool = False) -> DataFrame:
     rows = _payloads(
         raw,
         "galicia",
@@ -227,15 +225,12 @@ def normalize_galicia(
             ["raw_tarjeta", "raw_tipoTarjeta"],
             _PARSED,
             METHOD,
-            row_key,
         ),
         "galicia",
     )
 
 
-def normalize_naranjax(
-    raw: DataFrame, methods=None, strict_dates: bool = False, row_key: list[str] | None = None
-) -> DataFrame:
+def normalize_naranjax(raw: DataFrame, methods=None, strict_dates: bool = False) -> DataFrame:
     """Payloads that lack a required key are left out before anything is parsed."""
     sound = raw.filter(jsonx.has_keys("raw_payload", seed_values.REQUIRED_KEYS["naranjax"]))
     rows = _payloads(
@@ -302,7 +297,6 @@ def normalize_naranjax(
             ["raw_payment_method"],
             _PARSED,
             METHOD,
-            row_key,
         ),
         "naranjax",
     )

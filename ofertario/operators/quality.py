@@ -85,8 +85,8 @@ def not_in(column: str, values: list, **limits) -> Check:
 def has_required_keys(
     column: str, keys: list[str], where: Column | None = None, warn: int = 0, error: int = 9
 ) -> Check:
-    """Payloads that lack a key; rows without a payload are not judged."""
-    lacking = jsonx.has_content(column) & ~jsonx.has_keys(column, keys)
+    """Payloads that lack a key, a JSON null lacks all; unread lines are not judged."""
+    lacking = F.col(column).isNotNull() & ~jsonx.has_keys(column, keys)
     return Check("has_required_keys", column, _flag(lacking), False, warn, error, where)
 
 

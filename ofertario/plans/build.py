@@ -23,11 +23,18 @@ from ..operators.dedup import dedup_audit, dedup_by_content, dedup_by_source, wi
 from ..operators.merge import fact_columns, newer_than, up_to, upsert
 from ..operators.normalize import NORMALIZERS
 from ..operators.serving import issuer_summary, serving_table
-from ..session import written
+from ..session import scratch, written
 from ..sources.landing import usable
 from ..sources.seed_values import REQUIRED_KEYS
 from ..sources.seeds import read_seed
-from ..sources.tables import read_version, write_table, write_version
+from ..sources.tables import (
+    commit_version,
+    read_version,
+    remove,
+    stage_version,
+    write_table,
+    write_version,
+)
 
 
 PAYMENT_SEEDS = {
@@ -69,10 +76,14 @@ def offers(raw: DataFrame, tie_path: str | None = None) -> DataFrame:
     return normalised(source_deduped(staged(raw), tie_path))
 
 
-def raw_checks(spider: str) -> list[quality.Check]:
+#: Unread lines and null payloads of a source above which a build stops.
+UNREAD_LIMIT = 9
+
+
+def raw_checks(spider: str, unread_limit: int | None = UNREAD_LIMIT) -> list[quality.Check]:
     return [
         quality.has_required_keys("raw_payload", REQUIRED_KEYS[spider]),
-        quality.has_payload("raw_payload"),
+        quality.has_payload("raw_payload", error=unread_limit),
     ]
 
 
@@ -82,7 +93,10 @@ def without_payload(staging: DataFrame, tie_path: str | None = None) -> DataFram
 
 
 def staged_and_checked(
-    raw: DataFrame, tie_path: str | None = None, seeds: dict[str, DataFrame] | None = None
+    raw: DataFrame,
+    tie_path: str | None = None,
+    seeds: dict[str, DataFrame] | None = None,
+    unread_limit: int | None = UNREAD_LIMIT,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Staging rows worth showing, and the raw and staging reports per source.
 
@@ -92,7 +106,7 @@ def staged_and_checked(
     spark = raw.sparkSession
     frames, pending = [], []
     for spider, normalise in NORMALIZERS.items():
-        key_checks, row_checks = raw_checks(spider), quality.staging_checks()
+        key_checks, row_checks = raw_checks(spider, unread_limit), quality.staging_checks()
         own = raw.filter(F.col("spider") == spider)
         own, keys_seen = quality.observed(own, key_checks, f"raw_{spider}")
         rows = normalise(usable(own), methods=(seeds or {}).get(PAYMENT_SEEDS[spider]))
@@ -112,27 +126,38 @@ def staged_and_checked(
     }
 
 
-def load_fact(offers: DataFrame, path: str, cutoff: dt.date | None = None) -> int:
-    """Full load into a new table (up to ``cutoff``), upsert of newer rows after."""
-    spark = offers.sparkSession
-    target = read_version(spark, path)
+def newer_partitions(raw: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Raw records of the days after everything in ``target``, by partition.
+
+    Nothing else can change the fact: both dedups prefer the newest day, so a row
+    newer than the target never follows from an older record.
+    """
     if target is None:
-        return write_version(fact_columns(up_to(offers, cutoff)), path, "full")
-    incoming = fact_columns(newer_than(offers, target))
-    return write_version(upsert(target, incoming), path, "incremental")
+        return raw
+    newest = target.agg(F.max("last_updated_at_date")).first()[0]
+    return raw.filter(F.col("scraped_at_dt") > F.lit(newest).cast("date"))
 
 
-def publish(fact: DataFrame, path: str, as_of: dt.date | None = None) -> None:
-    """Serving table and issuer summary, replaced as a whole.
+def next_fact(offers: DataFrame, target: DataFrame | None, cutoff: dt.date | None = None) -> DataFrame:
+    """All offers (up to ``cutoff``) where there is no target, its upsert of newer rows after."""
+    if target is None:
+        return fact_columns(up_to(offers, cutoff))
+    return upsert(target, fact_columns(newer_than(offers, target)))
 
-    The serving table is laid out by category and merchant, so that a search
-    skips the row groups of other categories. Ids end the sort key, which lets
-    a range cut through a category that holds most rows.
-    """
+
+def load_fact(offers: DataFrame, path: str, cutoff: dt.date | None = None) -> int:
+    """``next_fact`` as the next version of the table at ``path``."""
+    target = read_version(offers.sparkSession, path)
+    note = "full" if target is None else "incremental"
+    return write_version(next_fact(offers, target, cutoff), path, note)
+
+
+def laid_out(fact: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """The serving table by category and merchant, so that a search skips the row
+    groups of other categories. Ids end the sort key, which lets a range cut through
+    a category that holds most rows."""
     layout = ["merchant_category_name", "merchant_name", "discount_id"]
-    rows = serving_table(fact, as_of).repartitionByRange(*layout).sortWithinPartitions(*layout)
-    write_table(rows, f"{path}/serving")
-    write_table(issuer_summary(fact), f"{path}/issuers")
+    return serving_table(fact, as_of).repartitionByRange(*layout).sortWithinPartitions(*layout)
 
 
 def build(
@@ -145,15 +170,34 @@ def build(
     enforce: bool = True,
     audit: bool = False,
     seeds: dict[str, DataFrame] | None = None,
+    unread_limit: int | None = UNREAD_LIMIT,
+    keep: int | None = None,
 ) -> Result:
     """Builds fact and serving tables under ``path`` from the ``raw`` records.
 
     ``seeds`` replaces built-in seeds by name, as ``read_seed`` names them.
     ``audit`` also publishes every record with its place among its duplicates.
 
+    Where the fact table exists, only partitions newer than it are read, and the
+    raw and staging checks cover those. ``unread_limit`` is how many unread lines
+    and null payloads a source may have. ``keep`` is how many versions of each
+    table stay; None keeps all.
+
     With ``enforce`` a check in error stops the build before anything that
-    depends on the checked rows is published.
+    depends on the checked rows is published: tables are checked as staged files,
+    before their logs name them.
     """
+    folders: list[str] = []
+    with scratch(folders):
+        result = _build(
+            spark, raw, path, as_of, cutoff, tie_path, enforce, audit, seeds, unread_limit, keep
+        )
+    for folder in folders:
+        remove(spark, folder)
+    return result
+
+
+def _build(spark, raw, path, as_of, cutoff, tie_path, enforce, audit, seeds, unread_limit, keep) -> Result:
     reports: dict[str, list[dict]] = {}
 
     def check(name: str, report: DataFrame) -> None:
@@ -162,7 +206,9 @@ def build(
         else:
             reports[name] = [r.asDict() for r in report.collect()]
 
-    staging, staging_reports = staged_and_checked(raw, tie_path, seeds)
+    target = read_version(spark, f"{path}/fact")
+    new = newer_partitions(raw, target)
+    staging, staging_reports = staged_and_checked(new, tie_path, seeds, unread_limit)
     named = [r.withColumn("of", F.lit(name)) for name, r in staging_reports.items()]
     rows_of = reduce(lambda a, b: a.unionByName(b), named).coalesce(1).collect()
     for row in rows_of:
@@ -180,10 +226,20 @@ def build(
     )
     rows = written(rows, "offers")
     check("offers", quality.run_checks(rows, quality.normalised_checks(UNCATEGORISED)))
-    version = load_fact(rows, f"{path}/fact", cutoff)
-    fact = read_version(spark, f"{path}/fact", version)
+    staged_at = {"fact": stage_version(next_fact(rows, target, cutoff), f"{path}/fact")}
+
+    def staged_table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{path}/{name}/version={staged_at[name]}")
+
+    fact = staged_table("fact")
     check("fact", quality.run_checks(fact, quality.fact_checks()))
-    publish(fact, path, as_of)
-    if quality.reconcile(fact, spark.read.parquet(f"{path}/issuers")).count():
+    staged_at["serving"] = stage_version(laid_out(fact, as_of), f"{path}/serving")
+    staged_at["issuers"] = stage_version(issuer_summary(fact), f"{path}/issuers")
+    differing = [r.asDict() for r in quality.reconcile(fact, staged_table("issuers")).collect()]
+    reports["reconcile"] = differing
+    if enforce and differing:
         raise quality.ChecksFailed("fact rows and issuer totals differ")
-    return Result(version, reports)
+    for name, version in staged_at.items():
+        note = "full" if target is None else "incremental"
+        commit_version(spark, f"{path}/{name}", version, note, keep)
+    return Result(staged_at["fact"], reports)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,19 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_folders: list[list[str]] = []
+
+
+@contextmanager
+def scratch(folders: list[str]):
+    """Notes in ``folders`` what ``written`` writes meanwhile, for the caller to remove."""
+    _folders.append(folders)
+    try:
+        yield
+    finally:
+        _folders.pop()
+
+
 def written(df, label: str):
     """``df`` written once as parquet in the shared folder and read back.
 
@@ -62,4 +76,6 @@ def written(df, label: str):
     spark = df.sparkSession
     path = fresh_folder(spark, label)
     df.write.parquet(path)
+    if _folders:
+        _folders[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,10 @@ SEEDS = {
         values.MERCHANT_CATEGORIES,
     ),
     "merchant_overrides": (["merchant_name", "normalized_category"], values.MERCHANT_OVERRIDES),
-    "issuer_icons": (["issuer_name", "icon_file"], values.ISSUER_ICONS),
+    "issuer_icons": (
+        ["issuer_name", "icon_file", "position"],
+        [(*row, str(at)) for at, row in enumerate(values.ISSUER_ICONS)],
+    ),
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ofertario.operators import category, conform, dedup, merge, normalize
 from ofertario.plans import build as plan
-from ofertario.sources import seeds, tables
+from ofertario.sources import landing, seeds, tables
 
 
 def day(text):
@@ -224,8 +224,8 @@ def test_build_publishes_and_reports(spark, raw, tmp_path, audit):
     result = plan.build(
         spark, payloads(raw), path, as_of=day("2025-07-01"), enforce=False, audit=audit
     )
-    serving = spark.read.parquet(f"{path}/serving")
-    issuers = spark.read.parquet(f"{path}/issuers")
+    serving = tables.read_version(spark, f"{path}/serving")
+    issuers = tables.read_version(spark, f"{path}/issuers")
     assert serving.count() == 3 and len(serving.columns) == 20
     assert {r.issuer_name: r.discount_count for r in issuers.collect()} == {
         "Banco BBVA": 1,
@@ -249,6 +249,75 @@ def test_build_stops_on_an_error(spark, raw, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+def test_ten_null_payloads_stop_a_build(spark, raw, tmp_path):
+    from ofertario.operators.quality import ChecksFailed
+
+    rows = payloads(raw).unionByName(raw("bbva", *[None] * 10, day="2025-06-01"))
+    with pytest.raises(ChecksFailed, match="has_required_keys"):
+        plan.build(spark, rows, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+    few = payloads(raw).unionByName(raw("bbva", *[None] * 9, day="2025-06-01"))
+    result = plan.build(spark, few, str(tmp_path / "few"), as_of=day("2025-07-01"))
+    keys, unread = result.reports["raw_bbva"]
+    assert keys["failing"] == unread["failing"] == 9 and keys["status"] == "warn"
+
+
+def test_a_failing_fact_is_never_visible(spark, raw, tmp_path, monkeypatch):
+    from ofertario.operators import quality
+
+    path = str(tmp_path / "out")
+    first = plan.build(spark, payloads(raw), path, as_of=day("2025-07-01"))
+    later = raw("bbva", changed(BBVA, source_id=7), day="2025-06-20")
+    monkeypatch.setattr(quality, "fact_checks", lambda: [quality.is_true(F.lit(False), "never")])
+    with pytest.raises(quality.ChecksFailed, match="never"):
+        plan.build(spark, later, path, as_of=day("2025-07-01"))
+    assert tables.current_version(spark, f"{path}/fact") == first.version
+    assert tables.current_version(spark, f"{path}/serving") == 1
+
+
+def test_incremental_build_reads_newer_partitions_only(spark, raw, tmp_path):
+    zone, path = str(tmp_path / "zone"), str(tmp_path / "out")
+    landing.write_landing(payloads(raw), zone)
+    read = lambda: landing.read_landing(spark, zone, spider=["bbva", "galicia", "naranjax"])
+    plan.build(spark, read(), path, as_of=day("2025-07-01"))
+    landing.write_landing(raw("bbva", changed(BBVA, source_id=1, category_name="x"), day="2025-06-15"), zone)
+    target = tables.read_version(spark, f"{path}/fact")
+    new = plan.newer_partitions(read(), target)
+    scan = new._jdf.queryExecution().executedPlan().toString()
+    filters = scan[scan.index("PartitionFilters") :].split("]")[0]
+    assert "scraped_at_dt" in filters and "2025-06-08" in filters or "20247" in filters
+    assert new.count() == 1
+    result = plan.build(spark, read(), path, as_of=day("2025-07-01"), keep=1)
+    assert result.reports["raw_bbva"][0]["total"] == 1
+    fact = tables.read_version(spark, f"{path}/fact")
+    assert fact.count() == 4 and {r.last_updated_at_date for r in fact.collect()} >= {day("2025-06-15")}
+    for name in ("fact", "serving", "issuers"):
+        assert sorted(p.name for p in (tmp_path / "out" / name).glob("version=*")) == ["version=2"]
+
+
+def test_a_build_removes_its_scratch(spark, raw, tmp_path):
+    from pathlib import Path
+
+    from ofertario.session import shared_folder
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.glob("*"))
+    plan.build(spark, payloads(raw), str(tmp_path / "out"), as_of=day("2025-07-01"))
+    assert set(shared.glob("*")) == before
+
+
+def test_a_large_payment_seed_builds(spark, raw, tmp_path):
+    columns = "raw_tarjeta string, raw_tipoTarjeta string, parsed_type string, parsed_card_network string, parsed_card_tier string"
+    built_in = seeds.read_seed(spark, "galicia_payment_methods")
+    more = spark.createDataFrame([(f"t{i}", "x", "a", "b", "c") for i in range(300)], columns)
+    facts = []
+    for name, seed in (("small", built_in), ("large", built_in.unionByName(more))):
+        path = str(tmp_path / name)
+        plan.build(spark, payloads(raw), path, as_of=day("2025-07-01"), seeds={"galicia_payment_methods": seed})
+        facts.append(sorted(map(str, tables.read_version(spark, f"{path}/fact").collect())))
+    assert facts[0] == facts[1]
+
+
 def test_build_without_rows_of_a_source(spark, raw, tmp_path):
     only = raw("bbva", BBVA).withColumn("spider", F.lit("bbva"))
     result = plan.build(spark, only, str(tmp_path / "a"), as_of=day("2025-07-01"))
@@ -301,8 +370,9 @@ def test_published_layout_skips_other_categories(spark, tmp_path):
         for c in merge.FACT_COLUMNS
         if c not in offers.columns
     }
-    plan.publish(offers.withColumns(missing), str(tmp_path), as_of=day("2025-01-01"))
-    back = spark.read.parquet(str(tmp_path / "serving"))
+    rows = plan.laid_out(offers.withColumns(missing), as_of=day("2025-01-01"))
+    tables.write_version(rows, str(tmp_path / "serving"))
+    back = tables.read_version(spark, str(tmp_path / "serving"))
     assert back.count() == offers.count()
     files = back.groupBy(F.input_file_name().alias("f")).agg(
         F.min("merchant_category_name").alias("low"), F.max("merchant_category_name").alias("high")

@@ -222,31 +222,41 @@ def test_payment_seed_from_a_frame(spark, raw):
     assert built_in.discount_payment_methods_list == given.discount_payment_methods_list
 
 
-def test_large_and_small_dimensions_map_alike(spark, monkeypatch):
-    dim = spark.createDataFrame(
-        [(i % 5, f"a{i}", None) for i in range(8)], "k bigint, x string, y string"
-    )
+def mapped_both_ways(spark, size, as_list):
+    """Entries by row for a dimension of ``size`` rows: through arrays, and of one key."""
+    data = [(str(i % 5), None if i % 3 == 0 else f"a{size - i}", f"b{i % 2}") for i in range(size)]
+    data.append((None, "never", "found"))
+    dim = data if as_list else spark.createDataFrame(data, "k string, x string, y string")
     rows = spark.createDataFrame(
-        [(1, [4, 0, 9]), (2, []), (3, None), (4, [None, 3])], "id bigint, ks array<bigint>"
+        [(1, [4, 0, 9]), (1, [4, 0, 9]), (2, []), (3, None), (None, [None, 3]), (None, [3])],
+        "id bigint, ks array<bigint>",
     )
+    names = ["x", "y"]
+    elements = mapping.map_elements(rows, "m", "ks", lambda k: [k], dim, ["k"], names, names)
+    values = mapping.map_value(rows, "m", [F.col("id")], dim, ["k"], names, names)
+    key = lambda r: (r.id or 0, str(r.ks))
+    return [
+        [(r.id, r.ks, r.m and [tuple(e) for e in r.m]) for r in sorted(df.collect(), key=key)]
+        for df in (elements, values)
+    ]
+
+
+@pytest.mark.parametrize("as_list", [True, False])
+@pytest.mark.parametrize("size", [8, 255, 256, 257, 600])
+def test_dimensions_of_every_size_map_alike(spark, size, as_list):
+    data = [(str(i % 5), None if i % 3 == 0 else f"a{size - i}", f"b{i % 2}") for i in range(size)]
+
+    def of(key):
+        entries = [(x, y) for k, x, y in data if k == str(key)]
+        return sorted(entries, key=lambda e: [(v is not None, v or "") for v in e])
+
+    def all_of(keys):
+        return [e for k in keys for e in (of(k) or [(None, None)])] or None
 
-    def mapped(**more):
-        df = mapping.map_elements(
-            rows, "m", "ks", lambda k: [k.cast("string")], dim, ["k"], ["x", "y"], ["x", "y"], **more
-        )
-        return {r.id: r.m and sorted(map(str, r.m)) for r in df.collect()}
-
-    def valued():
-        df = mapping.map_value(rows, "m", [F.col("id")], dim, ["k"], ["x", "y"], ["x", "y"])
-        return {r.id: sorted(map(str, r.m)) for r in df.collect()}
-
-    small, small_value = mapped(), valued()
-    monkeypatch.setattr(mapping.small_rows, "__defaults__", (2,))
-    assert mapped(row_key=["id"]) == small
-    assert valued() == small_value
-    assert small[2] is None and small[3] is None and len(small[1]) == 4
-    with pytest.raises(ValueError):
-        mapped()
+    elements, values = mapped_both_ways(spark, size, as_list)
+    assert elements == [(i, ks, all_of(ks or [])) for i, ks, _ in elements]
+    assert values == [(i, ks, of(i)) for i, ks, _ in values]
+    assert [i for i, _, _ in elements].count(1) == 2
 
 
 @pytest.mark.parametrize(

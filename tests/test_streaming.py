@@ -5,7 +5,7 @@ import json
 from payloads import BBVA, NARANJAX, changed
 from pyspark.sql import functions as F
 
-from ofertario.operators import dedup, metrics
+from ofertario.operators import dedup, merge, metrics
 from ofertario.plans import build as plan
 from ofertario.sources import landing, tables
 from ofertario.streaming import alerts, landing_stream
@@ -23,7 +23,7 @@ def run(spark, tmp_path, **options):
     landing_stream.start_landing_stream(
         stream, str(tmp_path / "newest"), str(tmp_path / "checkpoint")
     ).awaitTermination()
-    return tables.read_version(spark, str(tmp_path / "newest"))
+    return landing_stream.read_newest(spark, str(tmp_path / "newest"))
 
 
 def plain(df):
@@ -62,13 +62,39 @@ def test_stream_in_any_split_equals_one_batch_load(spark, tmp_path):
 def test_replayed_batch_changes_nothing(spark, raw, tmp_path):
     table = str(tmp_path / "newest")
     rows = raw("bbva", *[changed(BBVA, source_id=i) for i in (1, 2)])
-    landing_stream.upsert_newest(rows, table)
-    once = plain(tables.read_version(spark, table))
-    landing_stream.upsert_newest(rows, table)
-    assert plain(tables.read_version(spark, table)) == once
+    landing_stream.append_newest(rows, table, 0)
+    once, checks = plain(landing_stream.read_newest(spark, table)), plain(landing_stream.streamed_checks(spark, table))
+    landing_stream.append_newest(rows, table, 0)
+    assert plain(landing_stream.read_newest(spark, table)) == once
+    assert plain(landing_stream.streamed_checks(spark, table)) == checks
     assert landing_stream.streamed_offers(spark, str(tmp_path / "none")) is None
 
 
+def test_a_batch_writes_what_it_holds(spark, raw, tmp_path):
+    table = str(tmp_path / "newest")
+    landing_stream.append_newest(raw("bbva", *[changed(BBVA, source_id=i) for i in range(40)]), table, 0)
+    for number in (1, 2):
+        landing_stream.append_newest(raw("bbva", changed(BBVA, source_id=number), None, day="2025-07-01"), table, number)
+        assert spark.read.parquet(f"{table}/batch={number}").count() == 1
+    assert landing_stream.read_newest(spark, table).count() == 40
+    counted = {(r.of, r.check): (r.failing, r.total) for r in landing_stream.streamed_checks(spark, table).collect()}
+    assert counted[("raw_bbva", "has_payload")] == (2, 44)
+    assert counted[("raw_galicia", "has_payload")] == (0, 0)
+    assert landing_stream.compact(spark, table, str(tmp_path / "whole")) == 1
+    assert tables.read_version(spark, str(tmp_path / "whole")).count() == 40
+
+
+def test_stream_reaches_the_fact(spark, tmp_path):
+    zone = tmp_path / "zone"
+    for day in ("2025-06-01", "2025-06-08", "2025-06-15"):
+        land(zone, "bbva", day, "a.jsonl", *[changed(BBVA, source_id=i, cabecera=f"Shop {i}") for i in (1, 2)])
+    run(spark, tmp_path, files_per_batch=1)
+    path = str(tmp_path / "fact")
+    assert landing_stream.stream_fact(spark, str(tmp_path / "newest"), path) == 1
+    expected = merge.fact_columns(plan.normalised(batch(spark, tmp_path)))
+    assert plain(tables.read_version(spark, path)) == plain(expected)
+
+
 def test_streamed_alerts_equal_batch_alerts(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.col("ts").cast("timestamp").alias("ts"),
