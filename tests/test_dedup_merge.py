@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from payloads import BBVA, GALICIA, NARANJAX, changed
@@ -285,7 +286,7 @@ def test_incremental_build_reads_newer_partitions_only(spark, raw, tmp_path):
     new = plan.newer_partitions(read(), target)
     scan = new._jdf.queryExecution().executedPlan().toString()
     filters = scan[scan.index("PartitionFilters") :].split("]")[0]
-    assert "scraped_at_dt" in filters and "2025-06-08" in filters or "20247" in filters
+    assert re.search(r"scraped_at_dt#\d+ > ", filters)
     assert new.count() == 1
     result = plan.build(spark, read(), path, as_of=day("2025-07-01"), keep=1)
     assert result.reports["raw_bbva"][0]["total"] == 1
