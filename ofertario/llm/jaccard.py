@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ofertario.llm.common import only
 from ofertario.llm.components import components
@@ -343,7 +343,12 @@ def link(
     regions = keyed.groupBy("fragment").agg(F.min("id").alias("head"), F.count("*").alias("docs"))
     regions = written(regions.where("docs > 1").select("fragment", "head"), "regions")
     maybe = keyed.join(regions, "fragment").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    groups = written(components(maybe.distinct()).withColumnRenamed("component", "gid"), "groups")
+    # Each document keeps the edge to its smallest head, which its other heads then have too.
+    heads = maybe.distinct().withColumn("least", F.min("b").over(Window.partitionBy("a")))
+    to_least = heads.select("a", F.col("least").alias("b"))
+    between = heads.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    stars = to_least.unionByName(between).distinct()
+    groups = written(components(stars).withColumnRenamed("component", "gid"), "groups")
     sized = classes.select("id", "size").join(groups, "id")
     totals = written(sized.groupBy("gid").agg(F.sum("size").alias("total")), "totals")
     hot = totals.where(F.col("total") > task_shingles)
