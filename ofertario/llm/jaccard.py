@@ -354,7 +354,9 @@ def link(
     hot = totals.where(F.col("total") > task_shingles)
     blocks = F.ceil(F.col("total") * 4 / task_shingles).cast("long")
     hot = written(hot.select("gid", blocks.alias("blocks")), "hot-groups")
-    texts = cols.join(groups.withColumnRenamed("id", "doc_id"), "doc_id")
+    # Texts are long: neither side is broadcast at one size and shuffled at another, nor
+    # are texts sorted.
+    texts = cols.join(groups.withColumnRenamed("id", "doc_id").hint("shuffle_hash"), "doc_id")
     sets = texts.select("doc_id", "gid", "text").mapInArrow(_sets(words), "id long, gid long, found binary")
     sets = written(sets, "sets")
     cold = sets.join(hot, "gid", "left_anti")
