@@ -281,7 +281,7 @@ def test_incremental_build_reads_newer_partitions_only(spark, raw, tmp_path):
     landing.write_landing(payloads(raw), zone)
     read = lambda: landing.read_landing(spark, zone, spider=["bbva", "galicia", "naranjax"])
     plan.build(spark, read(), path, as_of=day("2025-07-01"))
-    landing.write_landing(raw("bbva", changed(BBVA, source_id=1, category_name="x"), day="2025-06-15"), zone)
+    landing.write_landing(raw("bbva", changed(BBVA, source_id=3), day="2025-06-15"), zone)
     target = tables.read_version(spark, f"{path}/fact")
     new = plan.newer_partitions(read(), target)
     scan = new._jdf.queryExecution().executedPlan().toString()
