@@ -28,7 +28,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of similarity 0.8 over five-word shingles connect, the
     one with the smallest doc_id."""
-    return jaccard.one_of_each(docs, words=5, percent=80)
+    return jaccard.one_of_each(docs, words=5, percent=80, spare=12)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,12 +70,16 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 class Fragments:
     """Fragment keys of a set: linked sets that differ have one in common."""
 
-    def __init__(self, percent: int):
+    def __init__(self, percent: int, spare: int = 0):
         if percent < 70:
             raise ValueError("bands are made for similarities of at least 70 percent")
-        self.percent = percent
+        self.percent, self.spare = percent, spare
         self.tops = [0, 1]
 
+    def spares(self, band: int) -> int:
+        """How many fragments more than one linked sets of a band have in common at least."""
+        return min(self.spare, (self.tops[band - 1] + 1) // 4)
+
     def differ(self, top: int) -> int:
         """The most that two linked sets of at most ``top`` shingles can differ in."""
         return 2 * top * (100 - self.percent) // (100 + self.percent)
@@ -93,12 +97,13 @@ class Fragments:
         if not differ:
             return 0, 0
         for _ in range(20):
-            count = differ + 1 + empty
+            count = differ + 1 + empty + self.spares(band)
             expected = count * math.exp(-least / count)
             empty = math.ceil(expected + 4 * math.sqrt(expected)) + 1
-        return differ + 1 + empty, empty
+        return differ + 1 + empty + self.spares(band), empty
 
-    def of(self, found: np.ndarray) -> list[int]:
+    def of(self, found: np.ndarray) -> list[tuple[list[int], int]]:
+        """(keys, spares) in the set's own band and, near its upper end, in the next."""
         band, out = self.band(len(found)), []
         bands = [band]
         if 100 * len(found) >= self.percent * (self.tops[band] + 1):
@@ -107,6 +112,7 @@ class Fragments:
         for b in bands:
             count, may_be_empty = self.classes(b)
             if not count:
+                out.append(([], 0))
                 continue
             # Hashes are sorted, so the members of a class follow each other.
             of = (((found >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)).astype(np.int64)
@@ -116,23 +122,29 @@ class Fragments:
                 none = np.setdiff1d(np.arange(count), present)
                 sums, present = np.r_[sums, np.zeros(len(none), np.uint64)], np.r_[present, none]
             keys = mixed(mixed(sums) + present.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b))
-            out += keys.view(np.int64).tolist()
+            out.append((keys.view(np.int64).tolist(), self.spares(b)))
         return out
 
 
-def _points(n: int, percent: int):
+POINTS = "size long, one long, two long, fragments array<long>, in_band int, spares array<int>"
+
+
+def _points(n: int, percent: int, spare: int):
     def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fragments = Fragments(percent)
-        names = ["doc_id", "size", "one", "two", "fragments"]
+        fragments = Fragments(percent, spare)
+        names = ["doc_id", "size", "one", "two", "fragments", "in_band", "spares"]
         for batch in batches:
-            size, one, two, keys = [], [], [], []
+            size, one, two, keys, in_band, spares = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text, n)
                 size.append(len(found))
                 sums = [int(mixed(found + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2)]
                 one.append(sums[0])
                 two.append(sums[1])
-                keys.append(fragments.of(found) if len(found) else [])
+                own, later = [*(fragments.of(found) if len(found) else []), ([], 0), ([], 0)][:2]
+                keys.append(own[0] + later[0])
+                in_band.append(len(own[0]))
+                spares.append([own[1], later[1]])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -140,6 +152,8 @@ def _points(n: int, percent: int):
                     pa.array(one, pa.int64()),
                     pa.array(two, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(in_band, pa.int32()),
+                    pa.array(spares, pa.list_(pa.int32())),
                 ],
                 names,
             )
@@ -327,19 +341,35 @@ def link(
     words: int = 3,
     percent: int = 90,
     task_shingles: int = TASK_SHINGLES,
+    spare: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach).
+
+    With ``spare`` there are so many classes more that linked sets have ``spare`` + 1 equal
+    fragments; each document then leaves out its ``spare`` most frequent ones. All
+    documents rank fragments alike, so the rarest that two have in common stays in both.
+    That keeps widespread passages from chaining documents of little similarity, which
+    matters where fragments are small, as at low similarities.
+    """
     cols = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     points = written(
-        cols.mapInArrow(_points(words, percent), "doc_id long, size long, one long, two long, fragments array<long>"),
-        "points",
+        cols.mapInArrow(_points(words, percent, spare), f"doc_id long, {POINTS}"), "points"
     )
     same = ["one", "two", "size"]
-    classes = points.where("size > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("fragments").alias("fragments"))
+    firsts = [F.first(c).alias(c) for c in ("fragments", "in_band", "spares")]
+    classes = points.where("size > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), *firsts)
     classes = written(classes.where("id IS NOT NULL"), "classes")
     keyed = classes.select("id", F.explode("fragments").alias("fragment"))
+    if spare:
+        counts = keyed.groupBy("fragment").agg(F.count("*").alias("docs")).where("docs > 1")
+        placed = classes.select("id", "in_band", "spares", F.posexplode("fragments").alias("at", "fragment"))
+        later = (F.col("at") >= F.col("in_band")).cast("int")
+        often = placed.select("id", "fragment", later.alias("later"), F.col("spares")[later].alias("spare"))
+        most = Window.partitionBy("id", "later").orderBy(F.col("docs").desc(), "fragment")
+        ranked = often.join(written(counts, "counts"), "fragment").withColumn("place", F.row_number().over(most))
+        keyed = written(ranked.where("place > spare").select("id", "fragment"), "rarer")
     regions = keyed.groupBy("fragment").agg(F.min("id").alias("head"), F.count("*").alias("docs"))
     regions = written(regions.where("docs > 1").select("fragment", "head"), "regions")
     maybe = keyed.join(regions, "fragment").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))

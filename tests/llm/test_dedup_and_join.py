@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -78,8 +79,11 @@ def altered(base: list[str], changes: int, draw: random.Random) -> str:
     return " ".join(words)
 
 
-@pytest.mark.parametrize(("words", "percent", "task"), [(3, 90, 1 << 22), (5, 80, 1 << 22), (3, 90, 2000), (5, 80, 2000)])
-def test_jaccard_components(spark, words, percent, task):
+CASES = [(3, 90, 1 << 22, 0), (5, 80, 1 << 22, 0), (3, 90, 2000, 0), (5, 80, 2000, 0), (5, 80, 1 << 22, 12), (3, 90, 2000, 3)]
+
+
+@pytest.mark.parametrize(("words", "percent", "task", "spare"), CASES)
+def test_jaccard_components(spark, words, percent, task, spare):
     """Groups from tight to chained, shared passages; also with groups too large for a task."""
     draw = random.Random(words)
     texts: dict[int, str] = {}
@@ -94,12 +98,37 @@ def test_jaccard_components(spark, words, percent, task):
         texts[draw.randrange(10**6)] = " ".join(own + passage)
     texts |= {10**6 + i: t for i, t in enumerate(["", "  ", "one", "ONE", "one two", "a b c", "a b c"])}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = jaccard.link(frame, words=words, percent=percent, task_shingles=task).toPandas()
+    got = jaccard.link(frame, words=words, percent=percent, task_shingles=task, spare=spare).toPandas()
     components_of, sizes = brute_components(texts, words, percent)
     assert dict(zip(got.doc_id, got.component_id, strict=True)) == components_of
     assert dict(zip(got.doc_id, got.n_shingles, strict=True)) == sizes
 
 
+@pytest.mark.parametrize(("percent", "spare"), [(90, 0), (80, 0), (80, 12), (70, 5)])
+def test_linked_sets_have_a_fragment_in_common(percent, spare):
+    """Sets as far apart as may be share more fragments than are spared, in one band."""
+    draw = random.Random(percent)
+    for size in [*range(2, 60), 100, 149, 151, 400, 900]:
+        for _ in range(12):
+            fragments = jaccard.Fragments(percent, spare)
+            whole = [draw.getrandbits(64) for _ in range(2 * size)]
+            a = set(whole[:size])
+            gone = draw.randrange(size * (100 - percent) // 100 + 1)
+            b = set(whole[gone:size])
+            new = 0
+            while 100 * len(a & b) >= percent * len(a | b | set(whole[size : size + new + 1])):
+                new += 1
+            b |= set(whole[size : size + draw.randrange(new)] if new else [])
+            if a == b or 100 * len(a & b) < percent * len(a | b):
+                continue
+            keys = [fragments.of(np.array(sorted(s), np.uint64)) for s in (a, b)]
+            shared = max(
+                (len(set(x) & set(y)) - spared for x, spared in keys[0] for y, _ in keys[1] if set(x) & set(y)),
+                default=0,
+            )
+            assert shared > 0
+
+
 def test_jaccard_on_edge_cases(docs, rows):
     got = jaccard.link(docs).toPandas()
     assert len(got) == len(rows)
