@@ -9,8 +9,9 @@ boundaries and kinds together. Base spans are fixed segments: nothing added over
 them.
 
 Weights maximise the likelihood (forward and backward sums over all segmentations) of
-at most ``max_zones`` zones, those of the smallest text hash among all texts. Labels are
-the base spans and quoted secrets after a cue; each zone is learned a second time with
+at most ``max_zones`` different zones of all texts: for each labelled kind a tenth of that
+number, those of the smallest text hash, and half of it without labels. Labels are the
+base spans and quoted secrets after a cue; each zone is learned a second time with
 its surface changed (no plus sign and country, at-sign written out) under the same
 labels, so that such writings are found too.
 
@@ -21,13 +22,14 @@ documents of their own; an empty table gives no rows and learns nothing.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ofertario.llm.common import only
 
@@ -263,25 +265,55 @@ def changed(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
     return out + text[at:], moved
 
 
-def _zone_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text in batch.column("text").to_pylist():
-            texts += [text[a:b] for a, b in zones(text)] if text else []
-        texts = [t for t in texts if len(t) <= 400]
-        hashes = [xxhash.xxh3_64_intdigest(t.encode()) - 2**63 for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes, pa.int64()), pa.array(texts, pa.string())], ["hash", "zone"]
-        )
+def _places(max_zones: int) -> dict[str, int]:
+    """How many zones of each labelled kind are learned from, and without labels ('')."""
+    return {**dict.fromkeys(KINDS, max_zones // 10), "": max_zones // 2}
+
+
+def _zone_texts(max_zones: int):
+    """The different zones of smallest hash of a task, by labelled kind. The smallest of
+    all tasks are among them."""
+    places = _places(max_zones)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, dict[str, int]] = {kind: {} for kind in places}
+
+        def smallest(kind: str) -> dict[str, int]:
+            return dict(heapq.nsmallest(places[kind], found[kind].items(), key=lambda z: (z[1], z[0])))
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                for zone in {text[a:b] for a, b in zones(text)} if text else ():
+                    if len(zone) > 400:
+                        continue
+                    for kind in {k for k, _, _ in labelled(zone)} or {""}:
+                        found[kind][zone] = xxhash.xxh3_64_intdigest(zone.encode()) - 2**63
+                        if len(found[kind]) > 8 * places[kind] + 8:
+                            found[kind] = smallest(kind)
+        rows = [(kind, h, zone) for kind in places for zone, h in smallest(kind).items()]
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+        kinds = [pa.string(), pa.int64(), pa.string()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, ["kind", "hash", "zone"])
+
+    return pick
+
+
+def sample_zones(docs: DataFrame, max_zones: int = 240, text_col: str = "text") -> list[str]:
+    """The zones to learn from, by hash."""
+    found = only(docs, text=text_col).mapInArrow(_zone_texts(max_zones), "kind string, hash long, zone string")
+    by_hash = Window.partitionBy("kind").orderBy("hash", "zone")
+    most = F.element_at(F.create_map(*[F.lit(x) for p in _places(max_zones).items() for x in p]), F.col("kind"))
+    rows = found.distinct().withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= most)
+    return [z for _, z in sorted({(r["hash"], r["zone"]) for r in rows.collect()})]
 
 
 def train(docs: DataFrame, max_zones: int = 240, rounds: int = 6, text_col: str = "text") -> np.ndarray:
     """Weights (feature values, kinds) from a bounded sample of zones of all texts."""
-    found = only(docs, text=text_col).mapInArrow(_zone_texts, "hash long, zone string")
-    sample = [r["zone"] for r in found.orderBy("hash", "zone").limit(max_zones).collect()]
+    sample = sample_zones(docs, max_zones, text_col)
     weights, squares = np.zeros((SIZE, len(KINDS))), np.full((SIZE, len(KINDS)), 1e-6)
     cases = []
-    for zone in dict.fromkeys(sample):
+    for zone in sample:
         spans = labelled(zone)
         for text, own in ((zone, spans), changed(zone, spans)) if spans else ((zone, spans),):
             gold = {(a, b): KINDS.index(k) for k, a, b in own}
