@@ -24,14 +24,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ofertario.llm.common import buckets_for, hash_bucket, only, sum_before
 from ofertario.session import written
 
-SIZES = "doc_id {id_type}, source {source_type}, size long"
+SIZES = "doc_id {id_type}, source {source_type}, row long, size long"
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size = [len(t.encode().split()) if t else 0 for t in batch.column("text").to_pylist()]
-        columns = [batch.column("doc_id"), batch.column("source"), pa.array(size, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "size"])
+        names = ["doc_id", "source", "row"]
+        columns = [*map(batch.column, names), pa.array(size, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, [*names, "size"])
 
 
 def source_targets(
@@ -73,16 +74,18 @@ def plan(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken,
-    finish (the first copy's virtual finish time) and row, the document's place in the input."""
-    cols = only(docs, doc_id=id_col, source=source_col, text=text_col)
+    finish (the first copy's virtual finish time) and row: the document's place in the
+    input, or its unique number in ``row_col``."""
+    row = docs[f"`{row_col}`"] if row_col else F.monotonically_increasing_id()
+    cols = only(docs.withColumn("__row", row), doc_id=id_col, source=source_col, text=text_col, row="__row")
     kinds = {f.name: f.dataType.simpleString() for f in cols.schema.fields}
     schema = SIZES.format(id_type=kinds["doc_id"], source_type=kinds["source"])
     sized = written(
         cols.mapInArrow(_sizes, schema)
-        .withColumn("shuffle", F.xxhash64(F.lit(seed), F.col("doc_id")))
-        .withColumn("row", F.monotonically_increasing_id()),
+        .withColumn("shuffle", F.xxhash64(F.lit(seed), F.col("doc_id"))),
         "sizes",
     )
     sources = written(
@@ -162,25 +165,26 @@ def plan(
 
 def mix(docs: DataFrame, weights: list[float], id_col: str = "doc_id", **options) -> DataFrame:
     """The documents of the mix with all their columns, repeated as often as they
-    are taken and range-sorted by virtual finish time. ``doc_id`` must be unique;
-    documents without one take no part."""
-    planned = plan(docs, weights, id_col=id_col, **options).where("copies > 0")
+    are taken and range-sorted by virtual finish time. Rows are written with a number
+    that ties them to the plan, so null and repeated ids are documents of their own."""
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    planned = plan(numbered, weights, id_col=id_col, row_col="__row", **options).where("copies > 0")
     turns = written(
-        planned.select(F.col("doc_id").alias("__id"), "copies", "finish", "source_size", "target"), "turns"
+        planned.select(F.col("row").alias("__id"), "copies", "finish", "source_size", "target"), "turns"
     )
     step = F.coalesce(F.col("source_size") / F.nullif("target", F.lit(0.0)), F.lit(0.0))
-    joined = docs.join(
+    joined = numbered.join(
         turns.select(
             "__id", F.col("copies").alias("__copies"), F.col("finish").alias("__finish"), step.alias("__step")
         ),
-        docs[f"`{id_col}`"] == F.col("__id"),
+        numbered["__row"] == F.col("__id"),
     )
     repeated = joined.select(
         F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__copy"), *[f"`{c}`" for c in joined.columns]
     )
     served = (F.col("__finish") + F.col("__copy") * F.col("__step")).alias("__served")
     return (
-        repeated.select(served, *[repeated[f"`{c}`"] for c in docs.columns])
-        .orderBy("__served", f"`{id_col}`")
-        .drop("__served")
+        repeated.select(served, "__row", *[repeated[f"`{c}`"] for c in docs.columns])
+        .orderBy("__served", f"`{id_col}`", "__row")
+        .drop("__served", "__row")
     )
