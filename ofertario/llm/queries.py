@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ofertario.llm import exact_dedup, jaccard, language, licenses, lm, mixing, nearest, packing, pii, sharding
+from ofertario.llm import (
+    exact_dedup,
+    jaccard,
+    language,
+    lexical,
+    licenses,
+    lm,
+    minhash,
+    mixing,
+    nearest,
+    negatives,
+    packing,
+    pii,
+    sharding,
+)
 from ofertario.llm.common import table
 
 #: Weights of the sources by name, going round.
@@ -84,6 +98,21 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("anchor_id"))
+    return negatives.mine(vectors.withColumn("label", label), anchors, positives=5, negatives=3, least=50, most=95)
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -115,4 +144,53 @@ def oracle_sql() -> dict[str, str]:
                    sha256(coalesce(text, '')) AS text_sha256
             FROM documents
             WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op12_negatives": """
+            WITH usable AS (
+                SELECT row_number() OVER () AS r, vec_id,
+                       CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+                FROM embeddings
+                WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+                  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+            pairs AS (
+                SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                       CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+                FROM usable a JOIN usable b ON a.r <> b.r AND len(a.v) = len(b.v)
+                WHERE a.vec_id % 50 = 0),
+            positives AS (
+                SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score,
+                       row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place
+                FROM pairs WHERE same QUALIFY place <= 5)
+            SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+                   CAST(row_number() OVER (
+                       PARTITION BY p.r, place ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM positives p JOIN pairs n USING (r, anchor_id)
+            WHERE NOT n.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+            QUALIFY rank <= 3""",
+        "op13_search": r"""
+            WITH doc_terms AS (
+                SELECT doc, doc_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents)),
+            item_terms AS (
+                SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark),
+            lengths AS (SELECT doc, count(*) AS n FROM doc_terms GROUP BY doc),
+            totals AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+            postings AS (SELECT doc, doc_id, term, count(*) AS tf FROM doc_terms
+                         WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+            weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+                        FROM postings, totals GROUP BY term),
+            scores AS (
+                SELECT item_id, doc, doc_id, CAST(sum(
+                    w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // words)))) AS BIGINT) AS score
+                FROM item_terms JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (doc), totals
+                GROUP BY ALL)
+            SELECT item_id, CAST(row_number() OVER (
+                       PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+            FROM scores WHERE score > 0
+            QUALIFY rank <= 50""",
     }
