@@ -9,9 +9,10 @@ reaches the limit falls below ``miss``. 3. Survivors are confirmed on their full
 
 Only components are asked for. So in every bucket first one head, then another, meets the
 members of other components; a bucket whose members are in one component is done, and so
-is a head. What is then left of a bucket is compared in blocks: members outside its
-largest component with all members. Only pairs that pass the signatures leave a block, so
-a large bucket is neither one task nor a list of all its pairs, and no link is lost.
+is a head. What is then left of the buckets is gathered by the largest component that each
+holds, and compared in blocks: members outside that component with all members. Pairs are
+pruned and confirmed inside a block and only links leave it, so a large bucket is neither
+one task nor a list of all its pairs, and no link between candidates is lost.
 
 Defined results: null and empty texts have no shingles and link with nothing; texts of
 fewer words than a shingle are one shingle; rows that repeat a doc_id, with any texts, are
@@ -90,11 +91,12 @@ def _signed(n: int, bands: int, rows: int):
                     signatures.append(b"")
                     continue
                 least = mixed(minima(found, factors, terms))
+                least >>= np.uint64(48)
                 key = number.copy()
                 for column in least.reshape(bands, rows).T:
                     key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
                 keys.append(key.view(np.int64))
-                signatures.append((least >> np.uint64(48)).astype(np.uint16).tobytes())
+                signatures.append(least.astype(np.uint16).tobytes())
             columns = [
                 batch.column("doc_id"),
                 pa.array(size, pa.int64()),
@@ -145,19 +147,36 @@ def _confirmed(percent: int):
     return confirmed
 
 
-def _across(least: dict[int, int]):
+def linked(own: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of ``sets`` are as similar to ``own`` as a link asks."""
+    sizes = np.array([len(x) for x in sets])
+    theirs = np.concatenate(sets)
+    place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+    common = np.add.reduceat((own[place] == theirs).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= percent * (len(own) + sizes - common)
+
+
+def _across(least: dict[int, int], percent: int, rows: int):
     def across(outside: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        """Likely pairs of a block of outside members with a block of members."""
-        if not len(outside) or not len(members):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        theirs = matrix(members["signature"].tolist())
-        ids, labels, found = members["class"].to_numpy(), members["label"].to_numpy(), []
-        for own, label, signature in zip(outside["class"], outside["label"], outside["signature"], strict=True):
-            rows = np.flatnonzero(labels != label)
-            mine = np.broadcast_to(np.frombuffer(signature, np.uint16), (len(rows), theirs.shape[1]))
-            near = ids[rows[likely(mine, theirs[rows], least)]]
-            found.append(np.stack([np.minimum(near, own), np.maximum(near, own)], axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
+        """Links of a block of outside members with a block of members: one to each component."""
+        found: list[tuple[int, int]] = []
+        if len(outside) and len(members):
+            theirs = matrix(members["signature"].tolist())
+            sets = [np.frombuffer(x, np.uint64) for x in members["found"]]
+            ids, labels = members["class"].to_numpy(), members["label"].to_numpy()
+        for name, label, signature, blob in outside[["class", "label", "signature", "found"]].itertuples(index=False):
+            if not len(members):
+                break
+            near = np.flatnonzero(labels != label)
+            mine = np.broadcast_to(np.frombuffer(signature, np.uint16), (len(near), theirs.shape[1]))
+            near = near[likely(mine, theirs[near], least)]
+            equal = (theirs[near] == mine[0]) if len(near) else np.zeros((0, rows), bool)
+            near = near[equal.reshape(len(near), -1, rows).all(axis=2).any(axis=1)] if len(near) else near
+            if len(near):
+                near = near[linked(np.frombuffer(blob, np.uint64), [sets[i] for i in near], percent)]
+            _, first = np.unique(labels[near], return_index=True)
+            found += [(int(name), int(ids[i])) for i in near[first]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return across
 
@@ -169,29 +188,24 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(named, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def _left_in_blocks(now: DataFrame, signatures: DataFrame, least: dict[int, int]) -> DataFrame:
-    """Likely pairs (a, b) of different components in what is left of the buckets."""
+def _left_in_blocks(now: DataFrame, signatures: DataFrame, sets: DataFrame, across) -> DataFrame:
+    """Links between different components in what is left of the buckets."""
     sizes = now.groupBy("key", "label").agg(F.count("*").alias("rows"))
-    open_ = sizes.groupBy("key").agg(
-        F.max(F.struct("rows", "label")).alias("main"), F.sum("rows").alias("all"), F.count("*").alias("labels")
-    )
-    open_ = written(
-        open_.where("labels > 1").select(
-            "key",
-            F.col("main.label").alias("main"),
-            F.ceil((F.col("all") - F.col("main.rows")) / OUTSIDE).cast("long").alias("outs"),
-            F.ceil(F.col("all") / MEMBERS).cast("long").alias("ins"),
-        ),
-        "open-buckets",
+    largest = F.max(F.struct("rows", "label"))["label"].alias("main")
+    open_ = sizes.groupBy("key").agg(largest, F.count("*").alias("labels")).where("labels > 1").select("key", "main")
+    rows = written(now.join(open_, "key").select("main", "class", "label").distinct(), "open-members")
+    blocks = rows.groupBy("main").agg(
+        F.ceil(F.count_if(F.col("label") != F.col("main")) / OUTSIDE).cast("long").alias("outs"),
+        F.ceil(F.count("*") / MEMBERS).cast("long").alias("ins"),
     )
-    rows = written(now.join(open_, "key").join(signatures, "class"), "open-members")
+    rows = written(rows.join(blocks, "main").join(signatures, "class").join(sets, "class"), "open-sets")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     spread = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
-    columns = ["key", "class", "label", "signature"]
+    columns = ["main", "class", "label", "signature", "found"]
     outside = rows.where("label <> main").select(*columns, spread("outs").alias("out"), each("ins").alias("in"))
     members = rows.select(*columns, each("outs").alias("out"), spread("ins").alias("in"))
-    meet = ["key", "out", "in"]
-    return outside.groupBy(*meet).cogroup(members.groupBy(*meet)).applyInPandas(_across(least), "a long, b long")
+    meet = ["main", "out", "in"]
+    return outside.groupBy(*meet).cogroup(members.groupBy(*meet)).applyInPandas(across, "a long, b long")
 
 
 def link(
@@ -244,8 +258,9 @@ def link(
         links = new if links is None else links.unionByName(new)
         labels = components(links)
         members = met.select("class", "key")
-    left = written(_left_in_blocks(_labelled(members, labels), signatures, least).distinct(), "likely")
-    labels = components(links.unionByName(confirmed(left)))
+    across = _across(least, percent, rows)
+    left = written(_left_in_blocks(_labelled(members, labels), signatures, sets, across), "links")
+    labels = components(links.unionByName(left))
     named = _labelled(classes.select("class", "id"), labels)
     smallest = named.groupBy("label").agg(F.min("id").alias("component_id"))
     named = written(named.join(smallest, "label").select("class", "component_id"), "components")
