@@ -358,6 +358,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
     sql["w1_dedup_by_source"] = f"""WITH {DEDUPED} SELECT * FROM deduped"""
     sql["w2_rank_within"] = """SELECT event_id, event_type, row_number() OVER (
   PARTITION BY event_type ORDER BY ts DESC, event_id) AS rn FROM events"""
+    sql["w2_rank_by_samples"] = sql["w2_rank_within"]
     sql["w2_dedup_audit"] = f"""WITH {AUDIT}
 SELECT discount_id, discount_content_hash, last_updated_at_date, rn FROM audit"""
     sql["w3_dedup_by_content"] = f"""WITH {AUDIT}
@@ -380,6 +381,12 @@ SELECT discount_id, discount_content_hash, last_updated_at_date FROM audit WHERE
     sql["l2_page"] = f"""WITH {SERVING} SELECT discount_id, discount_rate, merchant_name FROM serving
 WHERE {_FOUND} AND issuer_name IN ('Banco BBVA', 'Banco Galicia', 'Naranja X') AND discount_is_active
 ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id LIMIT 20 OFFSET 20"""
+    sql["l2_next_pages"] = f"""WITH {SERVING}, found AS (SELECT discount_id, discount_rate, merchant_name,
+  row_number() OVER (ORDER BY discount_rate DESC NULLS LAST, merchant_name, discount_id) AS place,
+  count(*) OVER () AS total FROM serving
+WHERE {_FOUND} AND issuer_name IN ('Banco BBVA', 'Banco Galicia', 'Naranja X') AND discount_is_active)
+SELECT CAST(ceil(place / 20.0) AS INTEGER) AS page, discount_id, discount_rate, merchant_name, total
+FROM found WHERE place <= 60"""
     sql["l3_order_issuers"] = f"""WITH {FACT}, summary AS ({_SUMMARY})
 SELECT *, row_number() OVER (ORDER BY issuer_name) AS position FROM summary"""
 
@@ -396,12 +403,50 @@ SELECT * FROM target WHERE NOT EXISTS (SELECT 1 FROM incoming WHERE incoming.id
 UNION ALL SELECT * FROM incoming"""
     sql["m1_upsert"] = merged
     sql["m1_versions"] = merged
+    sql["m1_upsert_buckets"] = merged
 
     # Checks
     sql["t1_not_null"] = f"""{_check("not_null", "l_shipdate", "count(*) FILTER (WHERE l_shipdate IS NULL)", "lineitem")}
 UNION ALL {_check("not_null", "flag", "count(*) FILTER (WHERE l_returnflag = 'R')", "lineitem")}"""
     sql["t2_unique"] = f"""{_check("unique", "o_orderkey", "count(*) FILTER (WHERE n > 1)", "(SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1)", "sum(n)")}
 UNION ALL {_check("unique", "o_custkey", "count(*) FILTER (WHERE n > 1)", "(SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)", "sum(n)")}"""
+    sql["t2_unique_increments"] = """WITH dated AS (SELECT o_orderkey, o_custkey,
+  CASE WHEN year(o_orderdate) < 1997 THEN 0 WHEN year(o_orderdate) < 1999 THEN 1 ELSE 2 END AS increment FROM orders),
+keys AS (SELECT increment, 'o_orderkey' AS "column", o_orderkey AS k FROM dated
+  UNION ALL SELECT increment, 'o_custkey', o_custkey FROM dated),
+counted AS (SELECT increment, "column", k, count(*) AS n FROM keys GROUP BY ALL),
+met AS (SELECT *, row_number() OVER (PARTITION BY "column", k ORDER BY increment) > 1 AS before FROM counted),
+reported AS (SELECT increment, "column", count(*) FILTER (WHERE n > 1 OR before) AS failing,
+  CAST(sum(n) AS BIGINT) AS total FROM met GROUP BY ALL)
+SELECT CAST(increment AS INTEGER) AS increment, 'unique' AS "check", "column", failing, total, failing AS metric,
+  CASE WHEN failing > 0 THEN 'error' ELSE 'pass' END AS status FROM reported"""
+    row_checks = {
+        "not_null(flag)": "l_returnflag = 'R'",
+        "between(l_discount)": "l_discount < 0.02 OR l_discount > 0.09",
+        "is_true(gives)": "NOT (l_discount <> 0 OR l_tax <> 0)",
+        "elements_between(numbers)": "l_linenumber - 2 NOT BETWEEN 0 AND 6 OR l_linenumber NOT BETWEEN 0 AND 6",
+        "not_in(l_linestatus)": "l_linestatus IN ('F')",
+        "not_empty(methods)": "l_returnflag = 'A' AND l_linenumber > 1",
+    }
+    listed = [
+        f"""SELECT l_orderkey, l_linenumber, '{name.split("(")[0]}' AS "check",
+  '{name.split("(")[1][:-1]}' AS "column" FROM lineitem WHERE {condition}"""
+        for name, condition in row_checks.items()
+    ]
+    sql["t_quarantine"] = " UNION ALL ".join(listed)
+    sql["t_failing_rows"] = sql["t_quarantine"] + """ UNION ALL SELECT l_orderkey, l_linenumber, 'unique', 'l_orderkey'
+FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1)"""
+    elements = "CASE WHEN l_linenumber - 2 NOT BETWEEN 0 AND 6 THEN 1 ELSE 0 END + CASE WHEN l_linenumber NOT BETWEEN 0 AND 6 THEN 1 ELSE 0 END"
+    sql["t_quarantine_report"] = " UNION ALL ".join(
+        _check(
+            name.split("(")[0],
+            name.split("(")[1][:-1],
+            f"sum({elements})" if "numbers" in name else f"count(*) FILTER (WHERE {condition})",
+            "lineitem",
+            "count(*) FILTER (WHERE l_linenumber > 1)" if "methods" in name else "count(*)",
+        )
+        for name, condition in row_checks.items()
+    )
     sql["t3_between"] = f"""{_check("between", "l_discount", "count(*) FILTER (WHERE l_discount < 0.02 OR l_discount > 0.09)", "lineitem")}
 UNION ALL {_check("between", "l_tax", "count(*) FILTER (WHERE l_tax < 0)", "lineitem")}"""
     sql["t4_is_true"] = _check("is_true", "gives", "count(*) FILTER (WHERE NOT (l_discount <> 0 OR l_tax <> 0))", "lineitem")
@@ -469,6 +514,7 @@ UNION ALL SELECT DISTINCT 'payment_type', unnest(string_split({_TYPES}, ',')) FR
 SELECT DISTINCT 'merchant' AS facet, merchant_name AS value FROM narrow
 UNION ALL SELECT DISTINCT 'formato', {_FORMATO} FROM narrow
 UNION ALL SELECT DISTINCT 'payment_type', unnest(string_split({_TYPES}, ',')) FROM narrow"""
+    sql["q9_facets_one_scan"] = sql["q9_facets"]
     sql["q10_found_count"] = f"""WITH {SERVING}
 SELECT 'active' AS counted, count(*) FILTER (WHERE discount_is_active) AS discounts FROM serving WHERE {_FOUND}
 UNION ALL SELECT 'all', count(*) FROM serving WHERE {_FOUND}"""
@@ -541,6 +587,7 @@ FROM (SELECT *, CAST(split_part(days, ',', 1) AS INTEGER) AS a,
     sql["r2_histogram"] = """SELECT event_type AS spider, CASE WHEN value < 1 THEN 0
     ELSE CAST(len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) AS INTEGER) END AS bucket, count(*) AS n
 FROM events GROUP BY ALL"""
+    sql["r2_histogram_stream"] = sql["r2_histogram"]
     stats = sql["r1_run_stats"]
     sql["r2_run_histogram"] = f"""SELECT spider, metric, CASE WHEN value < 1 THEN 0
     ELSE CAST(len(list_filter(range(0, 65), lambda i: pow(2.0, i) <= value)) AS INTEGER) END AS bucket,
@@ -560,6 +607,7 @@ SELECT source_id, issuer_name, last_updated_at_date, seq, discount_rate, days, m
 QUALIFY row_number() OVER (
   PARTITION BY source_id, issuer_name ORDER BY last_updated_at_date DESC, seq DESC) = 1"""
     sql["r5_stream_fact"] = f"WITH {FACT} SELECT * FROM fact"
+    sql["r5_fact_upserts"] = sql["r5_stream_fact"]
     sql["b_build_fact"] = f"WITH {FACT} SELECT * FROM fact"
     # Both dedups prefer the newest day, so loading in two steps gives the same rows.
     sql["b_incremental_build"] = f"WITH {FACT} SELECT * FROM fact"

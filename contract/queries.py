@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ofertario.functions import display, jsonx, keys, scalars
 from ofertario.operators import category, conform, dedup, issuers, mapping, merge, metrics
-from ofertario.operators import normalize, quality, search, serving
+from ofertario.operators import normalize, quality, search, serving, uniqueness
 from ofertario.plans import build as plan
 from ofertario.session import fresh_folder, written
-from ofertario.sources import assemble, landing, seeds, tables
-from ofertario.streaming import alerts, landing_stream
+from ofertario.sources import assemble, keyed, landing, seeds, tables
+from ofertario.streaming import alerts, distributions, fact_stream, landing_stream
 
 from .order_offers import raw_orders_as, rendered_orders, table
 
@@ -708,6 +709,12 @@ def w2_rank_within(spark, sf):
     ).drop("ts")
 
 
+def w2_rank_by_samples(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    ranked = dedup.rank_by_samples(events, ["event_type"], [F.desc("ts"), F.asc("event_id")])
+    return ranked.drop("ts")
+
+
 def w2_dedup_audit(spark, sf):
     deduped = written(_deduped(spark, sf).drop("discount_metadata", "record_order"), "deduped")
     return dedup.dedup_audit(deduped).select(
@@ -775,6 +782,18 @@ def l2_page(spark, sf):
     return page.select("discount_id", "discount_rate", "merchant_name")
 
 
+def l2_next_pages(spark, sf):
+    """Three pages, each sought behind the last row of the one before, with the total."""
+    offers, last, pages = _published(spark, sf), None, []
+    total = search.result_total(offers, FOUND).scalar()
+    for number in range(1, 4):
+        page = search.search_after(offers, FOUND, last).withColumn("page", F.lit(number))
+        pages.append(page.withColumn("total", total))
+        last = search.last_of(page.collect(), FOUND) or last
+    rows = pages[0].unionByName(pages[1]).unionByName(pages[2])
+    return rows.select("page", "discount_id", "discount_rate", "merchant_name", "total")
+
+
 def l3_order_issuers(spark, sf):
     ordered = serving.issuer_summary(_fact(spark, sf)).orderBy("issuer_name")
     return _positions(ordered, ordered.columns)
@@ -808,6 +827,15 @@ def m1_versions(spark, sf):
     return tables.read_version(spark, path)
 
 
+def m1_upsert_buckets(spark, sf):
+    """A full load, then an increment that rewrites the buckets of its ids only."""
+    rows, path = _order_rows(spark, sf), fresh_folder(spark, "keyed")
+    keyed.upsert_keyed(_newest_orders(merge.up_to(rows, CUTOFF)), path, "id", 16)
+    target = keyed.read_keyed(spark, path, rows.schema, 16)
+    keyed.upsert_keyed(_newest_orders(merge.newer_than(rows, target)), path, "id", 16)
+    return keyed.read_keyed(spark, path, rows.schema, 16)
+
+
 # --- checks ----------------------------------------------------------------
 
 
@@ -901,6 +929,65 @@ def t9_null_payloads(spark, sf):
     )
 
 
+def _line_checks() -> tuple[list[quality.Check], Column]:
+    numbers = F.array(F.col("l_linenumber").cast("bigint") - 2, F.col("l_linenumber").cast("bigint"))
+    checks = [
+        quality.not_null("flag"),
+        quality.between("l_discount", 0.02, 0.09),
+        quality.is_true(_gives(), "gives"),
+        quality.elements_between("numbers"),
+        quality.not_in("l_linestatus", ["F"]),
+        quality.not_empty("methods", where=F.col("l_linenumber") > 1),
+    ]
+    return checks, numbers
+
+
+def _checked_lines(spark, sf) -> tuple[DataFrame, list[quality.Check]]:
+    checks, numbers = _line_checks()
+    flag = F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))
+    methods = F.when(F.col("l_returnflag") == "A", F.array().cast("array<string>")).otherwise(F.array("l_linestatus"))
+    lines = table(spark, sf, "lineitem").withColumns({"flag": flag, "numbers": numbers, "methods": methods})
+    return lines, checks
+
+
+def t_failing_rows(spark, sf):
+    """Every line once for each check that it fails."""
+    lines, checks = _checked_lines(spark, sf)
+    failing = quality.failing_rows(lines, [*checks, quality.unique("l_orderkey")])
+    return failing.select("l_orderkey", "l_linenumber", "check", "column")
+
+
+def t_quarantine(spark, sf):
+    """The lines that fail row checks, as the quarantine holds them."""
+    lines, checks = _checked_lines(spark, sf)
+    path = fresh_folder(spark, "quarantine")
+    quality.quarantine(lines, checks, path)
+    return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "check", "column")
+
+
+def t_quarantine_report(spark, sf):
+    """The counts that the quarantine's own pass gives."""
+    lines, checks = _checked_lines(spark, sf)
+    return quality.quarantine(lines, checks, fresh_folder(spark, "quarantine"))
+
+
+def t2_unique_increments(spark, sf):
+    """Three increments of orders, each held against the digests of those before."""
+    orders = table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate"))
+    name = f"key_index_{uuid.uuid4().hex}"
+    index = uniqueness.KeyIndex(spark, fresh_folder(spark, "digests"), name, 8)
+    reports = []
+    for number, (low, high) in enumerate([(None, 1997), (1997, 1999), (1999, None)]):
+        own = orders
+        if low is not None:
+            own = own.filter(F.year("day") >= low)
+        if high is not None:
+            own = own.filter(F.year("day") < high)
+        report = uniqueness.check_increment(own, ["o_orderkey", "o_custkey"], index, str(number))
+        reports.append(report.withColumn("increment", F.lit(number)))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
 def t10_reconcile(spark, sf):
     fact = _fact(spark, sf)
     return quality.reconcile(fact, serving.issuer_summary(fact)).select(
@@ -988,6 +1075,10 @@ def q9_facets_one_pass(spark, sf):
     return search.facet_values(_published(spark, sf), NARROW)
 
 
+def q9_facets_one_scan(spark, sf):
+    return search.all_facets(_published(spark, sf), NARROW)
+
+
 def q10_found_count(spark, sf):
     offers = _published(spark, sf)
     everything = search.Query(**{**vars(FOUND), "include_inactive": True})
@@ -1129,6 +1220,26 @@ def r2_run_histogram(spark, sf):
     return metrics.histogram(values, ["spider", "metric"])
 
 
+def r2_histogram_stream(spark, sf):
+    """The histogram merged from a stream's windows, in batches of files."""
+    events = table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("spider"), "value"
+    )
+    folder = fresh_folder(spark, "distribution")
+    events.repartition(4).write.parquet(f"{folder}/values")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/values")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+
+    counted = distributions.streaming_histogram(stream, ["spider"], lateness="3650 days", window="1 day")
+    query = counted.writeStream.outputMode("update").foreachBatch(keep).trigger(availableNow=True)
+    query.option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+    updates = spark.read.parquet(f"{folder}/counts")
+    final = dedup.latest_by(updates, ["window_start", "spider", "bucket"], [F.desc("batch")])
+    return distributions.merged_histogram(final, ["spider"])
+
+
 def _runs(events: DataFrame) -> DataFrame:
     failed = F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED")
     return events.select(
@@ -1205,6 +1316,16 @@ def r5_stream_fact(spark, sf):
     return _flat(tables.read_version(spark, f"{folder}/fact"))
 
 
+def r5_fact_upserts(spark, sf):
+    """The fact that the stream upserts batch by batch from keyed state."""
+    path, folder = _landed(spark, sf), fresh_folder(spark, "stream")
+    stream = landing_stream.read_landing_stream(spark, path, files_per_batch=200)
+    fact_stream.start_fact_stream(
+        stream, f"{folder}/tables", f"{folder}/checkpoint", TIE, *_category_seeds(spark), buckets=16
+    ).awaitTermination()
+    return _flat(fact_stream.read_fact(spark, f"{folder}/tables"))
+
+
 def _build_seeds(spark) -> dict[str, DataFrame]:
     overrides, categories = _category_seeds(spark)
     return {"merchant_overrides": overrides, "merchant_categories": categories}

@@ -6,7 +6,8 @@ row per task, not its rows.
 
 ``rank_within`` numbers every row of a key. There nothing can be thrown away,
 so the key is split by ordered parts: each part is numbered in its own task
-and starts after the rows counted in the parts before it.
+and starts after the rows counted in the parts before it. ``rank_by_samples``
+needs no parts: it sorts by samples of the order itself.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import content_hash, surrogate_key
+from ..session import written
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -66,6 +68,32 @@ def rank_within(
     )
 
 
+def rank_by_samples(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
+    """``row_number`` per key for groups of any size and any order.
+
+    A sample sort: Spark samples keys and order, cuts the whole range at the samples'
+    quantiles and sorts each piece, so a hot key is cut wherever its rows are dense. The
+    rows of one key in earlier pieces are then counted; only one number per key and piece
+    meets in a task. Rows that are equal in all of ``order`` are cut, too.
+
+    Pieces depend on the samples, so the sorted rows are written before they are counted.
+    """
+    group = F.struct(*keys)
+    placed = df.withColumn("_group", group).withColumn("_tie", F.monotonically_increasing_id())
+    by = [F.asc("_group"), *order, F.asc("_tie")]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_tie")
+    placed = placed.withColumn("_part", F.spark_partition_id())
+    placed = written(placed.withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_group", "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_at").alias("_first"))
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1
+    starts = starts.select("_group", "_part", start.alias("_start"))
+    return placed.join(starts, ["_group", "_part"]).select(
+        *[f"`{c}`" for c in df.columns], (F.col("_start") + F.col("_at")).alias(name)
+    )
+
+
 def with_record_order(df: DataFrame, tie_path: str | None = None) -> DataFrame:
     """Adds ``record_order``, which settles records of one id and day.
 

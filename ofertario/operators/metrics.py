@@ -67,6 +67,22 @@ def histogram(values: DataFrame, groups: list[str], value: str = "value", **buck
     )
 
 
+def windowed_histogram(
+    values: DataFrame, groups: list[str], time: str = "ts", window: str = "1 hour", value: str = "value", **buckets
+) -> DataFrame:
+    """``histogram`` for each window of event time; counts of windows add up to it.
+
+    The same plan serves a table and a stream; see ``streaming.distributions``.
+    """
+    return (
+        values.filter(F.col(value).isNotNull())
+        .withColumn("bucket", bucket_of(value, **buckets))
+        .groupBy(F.window(time, window), *groups, "bucket")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("window.start").alias("window_start"), *groups, "bucket", "n")
+    )
+
+
 def failure_alerts(
     runs: DataFrame,
     time: str = "ts",

@@ -1,11 +1,13 @@
 """Declarative checks over a DataFrame, with warn and error thresholds.
 
-All row and element checks of a frame are one aggregation; each uniqueness
-check is one more, counted per key before the shuffle.
+All row and element checks of a frame are one aggregation; its uniqueness checks
+together are one more, counted per key before the shuffle. The rows that fail can be
+listed, or written by check in the pass that counts them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -142,23 +144,76 @@ def tally_report(tallied: DataFrame, checks: list[Check]) -> DataFrame:
     return tallied.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _unique_report(df: DataFrame, check: Check) -> DataFrame:
+def _unique_reports(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Fails once per value that occurs again; NULLs are not compared."""
-    key = F.col(check.column)
-    counts = df.filter(key.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    tallied = counts.agg(
-        F.count_if(F.col("n") > 1).alias("f0"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-    )
-    return tally_report(tallied, [check])
+    at = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), key_digest(c.column).alias("key")) for i, c in enumerate(checks)]))
+    counts = df.select(at).filter("key IS NOT NULL").groupBy("i", "key").agg(F.count(F.lit(1)).alias("n"))
+    sums = []
+    for i in range(len(checks)):
+        own = F.when(F.col("i") == i, F.col("n"))
+        sums += [F.count_if(own > 1).alias(f"f{i}"), F.coalesce(F.sum(own), F.lit(0)).alias(f"n{i}")]
+    rows = [_report(check, f"f{i}", f"n{i}") for i, check in enumerate(checks)]
+    return counts.agg(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def key_digest(column: str) -> Column:
+    """A digest of a value's text, NULL for NULL; values of one column only compare."""
+    return F.unhex(F.md5(F.col(column).cast("string")))
+
+
+def violations(checks: Iterable[Check]) -> Column:
+    """(check, column) of every row check that a row fails, in their order."""
+    entries = []
+    for check in checks:
+        fails = check.failing > 0 if check.where is None else check.where & (check.failing > 0)
+        entry = F.struct(F.lit(check.kind).alias("check"), F.lit(check.column).alias("column"))
+        entries.append(F.when(fails, entry))
+    return F.array_compact(F.array(*entries))
+
+
+def failing_rows(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
+    """``df`` with check, column: every row once for each check that it fails.
+
+    The row checks are one pass. A uniqueness check lists all rows of a value that
+    occurs again.
+    """
+    checks = list(checks)
+    by_row = [c for c in checks if c.failing is not None]
+    found = []
+    if by_row:
+        held = df.withColumn("_violations", violations(by_row)).filter(F.size("_violations") > 0)
+        found.append(held.select(*[f"`{c}`" for c in df.columns], F.inline("_violations")))
+    for check in checks:
+        if check.failing is None:
+            key = F.col(f"`{check.column}`")
+            again = df.groupBy(key.alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+            held = df.join(again.select("_again"), key == F.col("_again"), "left_semi")
+            named = [F.lit(check.kind).alias("check"), F.lit(check.column).alias("column")]
+            found.append(held.select(*[f"`{c}`" for c in df.columns], *named))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def quarantine(df: DataFrame, checks: Iterable[Check], path: str) -> DataFrame:
+    """Writes the rows that fail row checks under ``path``, a folder for each check, and
+    gives the report of the same pass; the table's former rows are replaced."""
+    checks = [c for c in checks if c.failing is not None]
+    seen, observation = observed(df.withColumn("_violations", violations(checks)), checks, f"quarantine-{uuid.uuid4().hex}")
+    held = seen.filter(F.size("_violations") > 0)
+    held = held.select(*[f"`{c}`" for c in df.columns], F.inline("_violations"))
+    held.write.partitionBy("check").mode("overwrite").parquet(path)
+    return observed_report(df.sparkSession, observation, checks)
 
 
 def run_checks(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """check, column, failing, total, metric, status: one row per check."""
     checks = list(checks)
     by_row = [c for c in checks if c.failing is not None]
-    reports = [_unique_report(df, c) for c in checks if c.failing is None]
+    by_key = [c for c in checks if c.failing is None]
+    reports = []
     if by_row:
-        reports.insert(0, tally_report(df.agg(*tallies(by_row)), by_row))
+        reports.append(tally_report(df.agg(*tallies(by_row)), by_row))
+    if by_key:
+        reports.append(_unique_reports(df, by_key))
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 

@@ -105,6 +105,40 @@ def search(df: DataFrame, query: Query, limit: int | None = PAGE_SIZE, offset: i
     return found if limit is None else found.limit(limit)
 
 
+def result_total(df: DataFrame, query: Query) -> DataFrame:
+    """How many rows ``search`` gives over all its pages."""
+    found = refined(df, query)
+    counted = F.count(F.lit(1)) if query.include_inactive else F.count_if("discount_is_active")
+    return found.agg(counted.alias("discounts"))
+
+
+def _behind(df_column: str, value, descending: bool) -> tuple[Column, Column]:
+    """(comes later, is equal) in an order with unknown values last."""
+    column = F.col(df_column)
+    if value is None:
+        return F.lit(False), column.isNull()
+    later = column < F.lit(value) if descending else column > F.lit(value)
+    return F.coalesce(later, F.lit(True)), column.eqNullSafe(F.lit(value))
+
+
+def search_after(df: DataFrame, query: Query, last: tuple | None, limit: int = PAGE_SIZE) -> DataFrame:
+    """The page behind the row ``last`` (sort value, merchant_name, discount_id); None
+    starts. Unlike an offset it sorts no row of the pages before."""
+    if last is None:
+        return search(df, query, limit)
+    later, equal = F.lit(False), F.lit(True)
+    columns = [(ORDER_COLUMNS[query.order_by], True), ("merchant_name", False), ("discount_id", False)]
+    for (column, descending), value in zip(columns, last, strict=True):
+        behind, same = _behind(column, value, descending)
+        later, equal = later | (equal & behind), equal & same
+    return search(df.filter(later), query, limit)
+
+
+def last_of(page: list, query: Query) -> tuple | None:
+    """Where the next page starts; None after an empty page."""
+    return tuple(page[-1][c] for c in (ORDER_COLUMNS[query.order_by], "merchant_name", "discount_id")) if page else None
+
+
 def found_count(df: DataFrame, query: Query) -> DataFrame:
     """Rows the text and category find, active ones only unless asked."""
     counted = F.count(F.lit(1)) if query.include_inactive else F.count_if("discount_is_active")
@@ -158,3 +192,50 @@ def facet_values(df: DataFrame, query: Query) -> DataFrame:
         .distinct()
         .orderBy("facet", "value")
     )
+
+
+def _found(query: Query) -> Column:
+    """``prefiltered`` as a condition."""
+    if not query.text and not query.category:
+        return F.lit(False)
+    found = F.lit(True)
+    if query.text:
+        found = found & text_matches("merchant_name", query.text, query.literal)
+    if query.category:
+        found = found & F.coalesce(F.col("merchant_category_name") == query.category, F.lit(False))
+    return found
+
+
+def _narrowed(query: Query) -> Column:
+    """``by_issuer_and_day`` as a condition."""
+    if not query.issuers:
+        return F.lit(False)
+    narrowed = F.coalesce(F.col("issuer_name").isin(*query.issuers), F.lit(False))
+    if query.days:
+        chosen = F.array(*[F.lit(d).cast("bigint") for d in query.days])
+        narrowed = narrowed & F.coalesce(F.arrays_overlap("discount_valid_days_list", chosen), F.lit(False))
+    return narrowed
+
+
+def all_facets(df: DataFrame, query: Query) -> DataFrame:
+    """(facet, value) of all five facets in one scan, each under its own condition."""
+    shown = display.validity("discount_valid_online", "discount_valid_instore")
+    found, both = F.col("_found"), F.col("_found") & F.col("_narrowed")
+
+    def entry(facet: str, value: Column, condition: Column | None = None) -> Column:
+        pair = F.struct(F.lit(facet).alias("facet"), value.alias("value"))
+        return pair if condition is None else F.when(condition, pair)
+
+    types = F.transform(
+        display.payment_types("discount_payment_methods_list"),
+        lambda t: F.struct(F.lit("payment_type").alias("facet"), t.alias("value")),
+    )
+    single = F.array(
+        entry("category", F.col("merchant_category_name")),
+        entry("issuer", F.col("issuer_name"), found),
+        entry("merchant", F.col("merchant_name"), both),
+        entry("formato", shown, both),
+    )
+    entries = F.concat(single, F.coalesce(F.when(both, types), F.array().cast("array<struct<facet:string,value:string>>")))
+    flagged = df.withColumn("_found", _found(query)).withColumn("_narrowed", _narrowed(query))
+    return flagged.select(F.inline(entries)).filter(F.col("value").isNotNull()).distinct().orderBy("facet", "value")
