@@ -248,6 +248,10 @@ WHERE (o_orderstatus <> 'F' OR plan = 'uno') AND NOT (o_orderpriority = '5-LOW'
     sql["s5_new_files"] = """SELECT CASE o_orderkey % 3 WHEN 0 THEN 'bbva' WHEN 1 THEN 'galicia'
   ELSE 'naranjax' END AS spider, CAST(2 AS BIGINT) AS new_files, CAST(0 AS BIGINT) AS later_files
 FROM orders GROUP BY ALL"""
+    sql["s5_file_ledger"] = """WITH months AS (SELECT DISTINCT CASE o_orderkey % 3 WHEN 0 THEN 'bbva'
+  WHEN 1 THEN 'galicia' ELSE 'naranjax' END AS spider, CAST(date_trunc('month', o_orderdate) AS DATE) AS scraped_at_dt FROM orders)
+SELECT run, spider, scraped_at_dt, CAST(1 AS BIGINT) AS new_files FROM months, (VALUES (1), (2)) AS t(run)
+WHERE run = 1 OR scraped_at_dt >= DATE '2000-01-01'"""
     sql["s6_write_table"] = f"WITH {SERVING} SELECT * FROM serving"
     sql["s7_load_discounts"] = f"WITH {SERVING} SELECT * FROM serving"
     sql["s7_load_issuers"] = f"WITH {FACT} {_SUMMARY}"
@@ -256,6 +260,8 @@ FROM orders GROUP BY ALL"""
     sql["j1_json_value"] = """SELECT event_id, json_extract_string(props, '$.k') AS k,
   CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS whole,
   event_type AS label, CAST(NULL AS VARCHAR) AS inner_object, '{user}' AS bracketed FROM events"""
+    sql["j1_stored_payloads"] = f"""WITH {FACTS}
+SELECT ['bbva', 'galicia', 'naranjax'][source_no + 1] AS spider, scraped_at_dt, seq FROM facts"""
     sql["j2_json_query"] = """SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || '}' AS subtree,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
     sql["j3_json_array"] = f"""WITH {FACTS}
@@ -490,6 +496,7 @@ FROM lineitem GROUP BY 1"""
 
     # Search
     sql["q1_text"] = f"WITH {SERVING} SELECT discount_id, merchant_name FROM serving WHERE {_FOUND}"
+    sql["q1_text_indexed"] = sql["q1_text"]
     sql["q1_text_literal"] = """SELECT p_partkey, p_name, contains(lower(p_name), 'red w') AS literal,
   regexp_matches(p_name, '(?i)^(red|old) .*e') AS pattern FROM part"""
     sql["q2_category"] = f"""WITH {SERVING} SELECT discount_id FROM serving

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ofertario.functions import display, jsonx, keys, scalars
 from ofertario.operators import category, conform, dedup, issuers, mapping, merge, metrics
-from ofertario.operators import normalize, quality, search, serving, uniqueness
+from ofertario.operators import name_index, normalize, quality, search, serving, uniqueness
 from ofertario.plans import build as plan
 from ofertario.session import fresh_folder, written
 from ofertario.sources import assemble, keyed, landing, seeds, tables
@@ -299,6 +299,21 @@ def s5_new_files(spark, sf):
     )
 
 
+def s5_file_ledger(spark, sf):
+    """One file a source and month; then one more for months from 2000 on. The second
+    call lists those months only and takes what the first did not."""
+    path, ledger = fresh_folder(spark, "arrivals"), fresh_folder(spark, "ledger")
+    rows = rendered_orders(spark, sf)
+    months = [r[0] for r in rows.select("scraped_at_dt").distinct().collect()]
+    late = [m for m in months if m >= dt.date(2000, 1, 1)]
+    landing.write_landing(rows.coalesce(1), path)
+    first = landing.take_new_files(spark, path, ledger, months)
+    landing.write_landing(rows.filter(F.col("scraped_at_dt").isin(late)).coalesce(1), path)
+    second = landing.take_new_files(spark, path, ledger, late)
+    runs = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return runs.select("run", "spider", "scraped_at_dt", "new_files")
+
+
 def s6_write_table(spark, sf):
     """A reader keeps its version while the next one is staged, and sees only what is committed."""
     path = fresh_folder(spark, "serving")
@@ -349,6 +364,14 @@ def j1_json_value(spark, sf):
     )
 
 
+def j1_stored_payloads(spark, sf):
+    """Typed paths of all landed records, from shredded payloads."""
+    path = _once(spark, sf, "payloads", lambda folder: landing.store_payloads(_raw(spark, sf), folder))
+    stored = landing.read_payloads(spark, path)
+    seq = F.try_variant_get("raw_payload", TIE, "bigint")
+    return stored.select("spider", "scraped_at_dt", seq.alias("seq"))
+
+
 def j2_json_query(spark, sf):
     return _props(spark, sf).select(
         "event_id",
@@ -1013,6 +1036,19 @@ def q1_text(spark, sf):
     return search.prefiltered(_published(spark, sf), FOUND).select("discount_id", "merchant_name")
 
 
+def q1_text_indexed(spark, sf):
+    """The same rows by way of the name index, from files in the order of names."""
+
+    def publish(path: str) -> None:
+        by_name = _published(spark, sf).repartitionByRange("merchant_name", "discount_id")
+        by_name.sortWithinPartitions("merchant_name", "discount_id").write.parquet(f"{path}/offers")
+        name_index.write_name_index(_published(spark, sf), f"{path}/index")
+
+    path = _once(spark, sf, "by-name", publish)
+    offers = spark.read.parquet(f"{path}/offers")
+    return name_index.by_name(offers, f"{path}/index", FOUND).select("discount_id", "merchant_name")
+
+
 def q1_text_literal(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey",

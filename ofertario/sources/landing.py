@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,6 +36,20 @@ def read_landing(
     return raw
 
 
+def store_payloads(raw: DataFrame, path: str) -> None:
+    """Raw records as parquet, by source and day; the table's former records are replaced.
+
+    Spark shreds the payloads: fields that records share become columns of their own, so
+    that a typed path (``variant_get``) is read from its own column and no other. Text
+    lines cannot be read that way; store what is read more than once.
+    """
+    raw.write.partitionBy(*PARTITIONS).mode("overwrite").parquet(path)
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
 def usable(raw: DataFrame) -> DataFrame:
     return raw.filter(has_content("raw_payload"))
 
@@ -80,6 +95,40 @@ def new_files(spark: SparkSession, path: str, since: dt.datetime) -> DataFrame:
     )
 
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def take_new_files(spark: SparkSession, path: str, ledger: str, days: list[dt.date]) -> DataFrame:
+    """spider, scraped_at_dt, new_files: files of these days that no earlier call took.
+
+    The ledger is the file source's own log, kept at ``ledger``. Only folders of ``days``
+    are listed, so the listing does not grow with the zone; a file of another day is taken
+    when its day is asked for. Lines are not read. One call at a time.
+    """
+    named = ",".join(sorted({day.isoformat() for day in days}))
+    counts = f"{ledger}/counts/run={uuid.uuid4().hex}"
+    spark.createDataFrame([], _COUNTS).write.parquet(f"{counts}/batch=none")
+
+    def count(batch: DataFrame, number: int) -> None:
+        parts = [
+            F.regexp_extract("path", r"/spider=([^/]*)/", 1).alias("spider"),
+            F.regexp_extract("path", r"/scraped_at_dt=([^/]*)/", 1).cast("date").alias("scraped_at_dt"),
+        ]
+        counted = batch.groupBy(*parts).agg(F.count(F.lit(1)).alias("new_files"))
+        counted.write.mode("overwrite").parquet(f"{counts}/batch={number}")
+
+    if named:
+        files = spark.readStream.format("binaryFile").schema(_FILES).load(f"{path}/spider=*/scraped_at_dt={{{named}}}")
+        files.select("path").writeStream.foreachBatch(count).option(
+            "checkpointLocation", f"{ledger}/checkpoint"
+        ).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(_COUNTS).parquet(counts)
+    return found.groupBy("spider", "scraped_at_dt").agg(F.sum("new_files").alias("new_files"))
+
+
+_COUNTS = "spider string, scraped_at_dt date, new_files bigint"
+
+
 class NothingNew(RuntimeError):
     """No file arrived since the run began."""
 
