@@ -4,7 +4,9 @@ Every text becomes its words; the rolling hashes of k following words are joined
 with the positions that the templates have them at. A hit votes for the diagonal
 text position - template position. Votes are summed by diagonal, neighbouring
 diagonals are merged (a word put in or left out shifts the diagonal by one), and a
-merged span counts if the template's words are covered well enough.
+merged span counts if the template's words are covered well enough. Where repeated words
+chain diagonals to more than a notice's width, each diagonal is a span of its own.
+Templates have any length.
 
 Words: A-Z lower-cased, runs without ASCII marks and white space. Base phrases must
 stand consecutively, which is a full diagonal; their labels are always kept.
@@ -62,8 +64,8 @@ def template_grams(spark: SparkSession, base: list, notices: list, k: int) -> Da
     for number, (phrase, label) in enumerate([*base, *notices]):
         words = phrase.split()
         grams = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
-        if not 0 < len(grams) < 64:
-            raise ValueError(f"a template needs {k} to {62 + k} words: {phrase}")
+        if not grams:
+            raise ValueError(f"a template needs {k} words: {phrase}")
         rows += [(number, label, number < len(base), len(grams), i, g) for i, g in enumerate(grams)]
     kinds = "template int, label string, is_base boolean, grams int, place int, template_gram string"
     return spark.createDataFrame(rows, kinds)
@@ -96,24 +98,26 @@ def scan(
     hits = rolled.withColumn("hash", F.xxhash64("gram")).join(templates, "hash")
     hits = hits.where(F.col("gram") == F.col("template_gram"))
     doc, template = ["doc_id", "text_hash"], ["template", "label", "is_base", "grams"]
-    bit = F.expr("shiftleft(1L, place)")
     diagonals = hits.groupBy(*doc, *template, (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.bit_or(bit).alias("covered"), F.min("at").alias("start"), F.max("at").alias("last")
+        F.collect_set("place").alias("covered"), F.min("at").alias("start"), F.max("at").alias("last")
     )
-    diagonals = diagonals.where(~F.col("is_base") | (F.bit_count("covered") == F.col("grams")))
+    diagonals = diagonals.where(~F.col("is_base") | (F.size("covered") == F.col("grams")))
     in_order = Window.partitionBy(*doc, *template).orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(in_order)
     alone = F.col("is_base") | F.coalesce(apart > slack, F.lit(True))
     merged = diagonals.withColumn("alone", alone.cast("int")).withColumn("span", F.sum("alone").over(in_order))
-    spans = merged.groupBy(*doc, *template, "span").agg(
-        F.bit_or("covered").alias("covered"),
+    together = Window.partitionBy(*doc, *template, "span")
+    wide = F.max("last").over(together) + k - F.min("start").over(together) > 2 * (F.col("grams") + k)
+    merged = merged.withColumn("piece", F.when(wide, F.col("diagonal")))
+    spans = merged.groupBy(*doc, *template, "span", "piece").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"),
         F.min("start").cast("long").alias("start"),
         (F.max("last") + k).cast("long").alias("end"),
     )
-    score = F.bit_count("covered") / F.col("grams")
+    score = F.col("covered") / F.col("grams")
     return (
         spans.withColumn("score", score)
-        .where((F.col("score") >= cover) & (F.col("end") - F.col("start") <= 2 * (F.col("grams") + k)))
+        .where(F.col("score") >= cover)
         .select(*doc, "label", "is_base", "start", "end", "score")
     )
 
