@@ -64,6 +64,16 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of a task hold each n-gram's place."""
+    letters, docs = letters_table(), np.zeros(DIM, np.int64)
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            docs[counts(text, letters)[0]] += 1
+    places = np.flatnonzero(docs)
+    yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(docs[places])], ["place", "docs"])
+
+
 def held_out(doc_id: Column, of: int, rest: int) -> Column:
     """Whether crc32(doc_id as text) mod ``of`` is ``rest``; no doc_id: as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % of == rest
@@ -106,12 +116,14 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> Centroids | None:
-    """Centroids from labelled rows. A centroid accepts cosines down to ``leniency``
-    times the least one among its sample rows."""
+    """Centroids from labelled rows; None where there are none. Document frequencies are
+    counted over all of these rows; centroids are fitted on ``per_language`` of each
+    language in expectation. A centroid accepts cosines down to ``leniency`` times the
+    least one among its sample rows."""
     rows = only(docs, doc_id=id_col, text=text_col, lang=lang_col)
     rows = rows.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     sizes = rows.groupBy("lang").count()
-    chance = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
+    chance = F.xxhash64("doc_id", "text") / F.lit(2.0**64) + 0.5
     sample = (
         rows.join(F.broadcast(sizes), "lang")
         .where(chance * F.col("count") < per_language)
@@ -122,10 +134,11 @@ def fit(
     got = sample.mapInArrow(_sparse, schema).orderBy("lang", "doc_id").collect()
     if not got:
         return None
-    in_docs = np.zeros(DIM)
-    for row in got:
-        in_docs[row["places"]] += 1
-    model = Centroids(np.log((1 + len(got)) / (1 + in_docs)) + 0.1, np.zeros((0, DIM)), [], np.zeros(0))
+    in_docs, total = np.zeros(DIM), sum(r["count"] for r in sizes.collect())
+    holding = rows.select("text").mapInArrow(_holding, "place int, docs long").groupBy("place")
+    for row in holding.agg(F.sum("docs").alias("docs")).collect():  # a row for each of DIM places
+        in_docs[row["place"]] = row["docs"]
+    model = Centroids(np.log((1 + total) / (1 + in_docs)) + 0.1, np.zeros((0, DIM)), [], np.zeros(0))
     centres, langs, least = [], [], []
     for lang in sorted({r["lang"] for r in got}):
         own = [r for r in got if r["lang"] == lang]
@@ -175,7 +188,10 @@ def predict(docs: DataFrame, model: Centroids | None, id_col: str = "doc_id", te
 
 
 def keep_known(docs: DataFrame, model: Centroids | None, text_col: str = "text") -> DataFrame:
-    """The rows that are not rejected, with all their columns: one pass, no join."""
+    """The rows that are not rejected, with all their columns: one pass, no join. Without a
+    model nothing is known of any language, and all rows stay."""
+    if model is None:
+        return docs
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
