@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ofertario.llm.common import buckets_for, hash_bucket, only, sum_before
 from ofertario.session import written
 
-SIZES = "doc_id {id_type}, source {source_type}, row long, size long"
+SIZES = "doc_id {id_type}, source {source_type}, row long, shuffle long, size long"
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size = [len(t.encode().split()) if t else 0 for t in batch.column("text").to_pylist()]
-        names = ["doc_id", "source", "row"]
+        names = ["doc_id", "source", "row", "shuffle"]
         columns = [*map(batch.column, names), pa.array(size, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, [*names, "size"])
 
@@ -81,13 +81,11 @@ def plan(
     input, or its unique number in ``row_col``."""
     row = docs[f"`{row_col}`"] if row_col else F.monotonically_increasing_id()
     cols = only(docs.withColumn("__row", row), doc_id=id_col, source=source_col, text=text_col, row="__row")
+    # By id and text, so that rows of one id, or of none, are not one place in the shuffle.
+    cols = cols.withColumn("shuffle", F.xxhash64(F.lit(seed), "doc_id", "text"))
     kinds = {f.name: f.dataType.simpleString() for f in cols.schema.fields}
     schema = SIZES.format(id_type=kinds["doc_id"], source_type=kinds["source"])
-    sized = written(
-        cols.mapInArrow(_sizes, schema)
-        .withColumn("shuffle", F.xxhash64(F.lit(seed), F.col("doc_id"))),
-        "sizes",
-    )
+    sized = written(cols.mapInArrow(_sizes, schema), "sizes")
     sources = written(
         source_targets(
             sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_repeats
