@@ -16,6 +16,7 @@ empty table gives no pieces; repeated rows are documents of their own.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,10 @@ WINDOW = 4096
 END = 2
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
     """Token ids of a chunk without white space, as little-endian 32-bit integers.
 
@@ -54,16 +59,32 @@ class WordIds(dict):
     def piece(self, text: str) -> bytes:
         found = self.pieces.get(text)
         if found is None:
-            shown = text.encode().decode("latin-1").translate(self.bytes_shown)
+            shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.bytes_shown)
             ids = [t.id for t in self.model.tokenize(shown)]
             if len(self.pieces) >= self.most:
                 self.pieces.clear()
-            found = self.pieces[text] = np.array(ids, "<u4").tobytes()
+            found = self.pieces[text] = packed_ids(ids)
         return found
 
     def __missing__(self, chunk: bytes) -> bytes:
+        # Letters of ASCII, with a point or comma behind them or not: nothing to look into.
+        if chunk.isalpha():
+            ids = self.piece(chunk.lower().decode())
+        elif chunk[-1:] in (b",", b".") and chunk[:-1].isalpha():
+            ids = self.piece(chunk[:-1].lower().decode()) + self.piece(chunk[-1:].decode())
+        else:
+            ids = self.of_any(chunk)
+        if len(self) >= self.most:
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+    def of_any(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         low = text.lower()
+        body, mark = (low[:-1], low[-1]) if text[-1] in ".," else (low, "")
+        if body.isalpha() and len(low) == len(text) and "Σ" not in text and unicodedata.is_normalized("NFC", text):
+            return self.piece(body) + self.piece(mark) if mark else self.piece(body)
         parts = self.plain.findall(low)
         simple = (
             sum(map(len, parts)) == len(low)
@@ -73,13 +94,8 @@ class WordIds(dict):
             and (text.isascii() or (len(low) == len(text) and "Σ" not in text and unicodedata.is_normalized("NFC", text)))
         )
         if simple:
-            ids = b"".join(map(self.piece, parts))
-        else:
-            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        self[chunk] = ids
-        return ids
+            return b"".join(map(self.piece, parts))
+        return packed_ids(self.whole.encode(text, add_special_tokens=False).ids)
 
 
 #: White space between chunks; other white space is left to the tokenizer.
@@ -93,7 +109,7 @@ def encoder(path: str):
     def encode(text: str) -> bytes:
         raw = text.encode()
         chunks = raw.split() if not OTHER_SPACE.search(raw) else SPACES.split(raw)
-        return b"".join([known[c] for c in chunks])
+        return b"".join(map(known.__getitem__, chunks))
 
     return encode
 
