@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ofertario.session import scratch, written
+from ofertario.sources.tables import remove
+
 #: The bytes that end a word: space and 0x09 to 0x0D, as bytes.split() has them.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,6 +54,35 @@ def sum_before(
     )
 
 
+@contextmanager
+def kept_last():
+    """Gives a function that writes a frame; of all that is written meanwhile only what went
+    through it stays, the other intermediates are removed at the end."""
+    folders: list[str] = []
+    stays: list[DataFrame] = []
+
+    def last(df: DataFrame) -> DataFrame:
+        stays.append(df.sparkSession)
+        kept = written(df, "result")
+        stays.append(folders.pop())
+        return kept
+
+    with scratch(folders):
+        yield last
+    for folder in folders if stays else []:
+        remove(stays[0], folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of frames that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which may be long after a large
+    shuffle has been written out and is of no use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under plain names; other columns cannot clash."""
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in columns.items()])

@@ -21,8 +21,10 @@ a task are cut into blocks; blocks of documents outside the largest component me
 block once.
 
 Defined results: null and empty texts have no shingles and link with nothing; texts of
-fewer words than a shingle are one shingle; rows that repeat a doc_id are one document;
-rows without doc_id get no component and link nothing; an empty table gives no rows.
+fewer words than a shingle are one shingle; rows that repeat a doc_id, with any texts, are
+rows of their own; rows without doc_id get no component and link nothing; an empty table
+gives no rows. Components go to their fixed point, in rounds that halve paths; after 60
+rounds, more than any table of long paths can need, an error stops them.
 """
 
 from __future__ import annotations
@@ -34,10 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ofertario.llm.common import only
+from ofertario.llm.common import kept_last, only, release
 from ofertario.llm.components import components
 from ofertario.session import written
 
@@ -126,47 +129,60 @@ class Fragments:
         return out
 
 
-POINTS = "size long, one long, two long, fragments array<long>, in_band int, spares array<int>"
+POINTS = "doc_id long, digest long, size long, one long, two long"
+KEYED = "one long, fragment long, later boolean, spare int"
 
 
-def _points(n: int, percent: int, spare: int):
+def _names(found: np.ndarray) -> list[int]:
+    """Two sums of a set's hashes; equal sets have equal ones."""
+    return [int(mixed(found + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2)]
+
+
+def _points(n: int):
     def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fragments = Fragments(percent, spare)
-        names = ["doc_id", "size", "one", "two", "fragments", "in_band", "spares"]
         for batch in batches:
-            size, one, two, keys, in_band, spares = [], [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                found = shingles(text, n)
-                size.append(len(found))
-                sums = [int(mixed(found + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2)]
-                one.append(sums[0])
-                two.append(sums[1])
-                own, later = [*(fragments.of(found) if len(found) else []), ([], 0), ([], 0)][:2]
-                keys.append(own[0] + later[0])
-                in_band.append(len(own[0]))
-                spares.append([own[1], later[1]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(size, pa.int64()),
-                    pa.array(one, pa.int64()),
-                    pa.array(two, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(in_band, pa.int32()),
-                    pa.array(spares, pa.list_(pa.int32())),
-                ],
-                names,
-            )
+            sets = [shingles(text, n) for text in batch.column("text").to_pylist()]
+            sums = [_names(found) for found in sets]
+            columns = [[len(found) for found in sets], [x[0] for x in sums], [x[1] for x in sums]]
+            arrays = [batch.column("doc_id"), batch.column("digest"), *[pa.array(c, pa.int64()) for c in columns]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "digest", "size", "one", "two"])
 
     return points
 
 
+def _keyed(n: int, percent: int, spare: int):
+    """A row for each fragment of a set; a set that a task has met is not cut again."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fragments, met = Fragments(percent, spare), set()
+        for batch in batches:
+            one, keys, later, spares = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = shingles(text, n)
+                name = _names(found)[0]
+                if not len(found) or name in met:
+                    continue
+                met.add(name)
+                for place, (own, spared) in enumerate(fragments.of(found)):
+                    one.append(np.full(len(own), name, np.int64))
+                    keys.append(np.array(own, np.int64))
+                    later.append(np.full(len(own), place > 0))
+                    spares.append(np.full(len(own), spared, np.int32))
+            if one:
+                columns = [pa.array(np.concatenate(c)) for c in (one, keys, later, spares)]
+                yield pa.RecordBatch.from_arrays(columns, ["one", "fragment", "later", "spare"])
+
+    return keyed
+
+
 def _sets(n: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t, n).tobytes() for t in batch.column("text").to_pylist()]
-            columns = [batch.column("doc_id"), batch.column("gid"), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "gid", "found"])
+            found = [shingles(t, n) for t in batch.column("text").to_pylist()]
+            names = pa.array([_names(x)[0] for x in found], pa.int64())
+            columns = [names, batch.column("gid"), pa.array([x.tobytes() for x in found], pa.binary())]
+            same = pa.compute.equal(names, batch.column("one"))
+            yield pa.RecordBatch.from_arrays(columns, ["id", "gid", "found"]).filter(same)
 
     return sets
 
@@ -294,117 +310,174 @@ def _join_blocks(percent: int):
     return join
 
 
-def _hot_links(sets: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """Links of groups that are too large for a task."""
+def _hot_links(sets: DataFrame, hot: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """Links of groups that are too large for a task.
+
+    ``keys`` (one, fragment) tells which documents may link: a block of documents outside
+    the largest component gets, of another block, those that share a fragment with some of
+    them, and only blocks that do meet.
+    """
     # Sizes of groups that hold TASK_SHINGLES shingles and more: few against documents.
     sets = sets.join(hot.select("gid", "blocks"), "gid")
-    sets = written(
-        sets.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks"), "hot-sets"
-    )
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks")
     # One pivot for each group: the document of the smallest hash meets every block.
     first = sets.groupBy("gid").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("p"))
     pivots = sets.join(first.select("gid", F.col("p.id").alias("id")), ["gid", "id"]).select("gid", "id", "found")
     spread = pivots.join(hot.select("gid", "blocks"), "gid").select(
         "gid", "id", "found", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     )
-    keys = ["gid", "block"]
+    near = ["gid", "block"]
     spread = written(spread, "hot-pivots")
-    inner = spread.groupBy(*keys).cogroup(sets.groupBy(*keys)).applyInPandas(_join_blocks(percent), EDGES)
+    inner = spread.groupBy(*near).cogroup(sets.groupBy(*near)).applyInPandas(_join_blocks(percent), EDGES)
     inner = written(inner, "hot-inner")
     found = components(inner).withColumnRenamed("component", "part")
-    labelled = sets.select("gid", "id").join(found, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    labelled = sets.select("gid", "id", "block").join(found, "id", "left").withColumn("part", F.coalesce("part", "id"))
     labelled = written(labelled, "hot-parts")
     most = labelled.groupBy("gid", "part").count().groupBy("gid")
     most = most.agg(F.max(F.struct("count", "part"))["part"].alias("largest"))
-    outside = sets.join(
-        labelled.join(most, "gid").where("part <> largest").select("gid", "id"), ["gid", "id"], "left_semi"
-    )
+    outside = labelled.join(most, "gid").where("part <> largest").select("gid", "id", F.col("block").alias("outer"))
     outside = written(outside, "hot-outside")
+    keyed = keys.withColumnRenamed("one", "id")
+    asking = written(keyed.join(outside, "id"), "hot-asking")
+    asked = written(keyed.join(labelled.select("gid", "id", "block"), "id"), "hot-asked")
     meet = ["gid", "block", "outer"]
-    outer = outside.join(hot.select("gid", "blocks"), "gid").select(
-        "gid",
-        "id",
-        "found",
-        F.col("block").alias("outer"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-    )
-    outer = written(outer, "hot-outer")
-    outers = outer.select(F.col("gid").alias("of"), F.col("outer").alias("meets")).distinct()
-    blocks = sets.join(outers, F.col("gid") == F.col("of"))
-    blocks = blocks.select("gid", "id", "found", "block", F.col("meets").alias("outer"))
-    across = outer.groupBy(*meet).cogroup(blocks.groupBy(*meet)).applyInPandas(_join_blocks(percent), EDGES)
+    blocks = asked.select("gid", "fragment", "block").distinct()
+    outer = asking.join(blocks, ["gid", "fragment"]).select("id", *meet).distinct()
+    outers = asking.select("gid", "fragment", "outer").distinct()
+    member = asked.join(outers, ["gid", "fragment"]).select("id", *meet).distinct()
+    texts = lambda: sets.select(F.col("id").alias("id"), F.col("found").alias("found"))
+    sides = (written(outer, "hot-outer"), written(member, "hot-members"))
+    one, other = (side.join(texts(), "id").select(*meet, "id", "found").groupBy(*meet) for side in sides)
+    across = one.cogroup(other).applyInPandas(_join_blocks(percent), EDGES)
     return inner.unionByName(across)
 
 
-def link(
-    docs: DataFrame,
-    words: int = 3,
-    percent: int = 90,
-    task_shingles: int = TASK_SHINGLES,
-    spare: int = 0,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach).
+def _shared(
+    cols: DataFrame, classes: DataFrame, words: int, percent: int, spare: int
+) -> tuple[DataFrame, DataFrame]:
+    """(a, b): each set and the smallest set that it has a telling fragment in common with;
+    and (one, fragment), the telling fragments.
 
-    With ``spare`` there are so many classes more that linked sets have ``spare`` + 1 equal
-    fragments; each document then leaves out its ``spare`` most frequent ones. All
-    documents rank fragments alike, so the rarest that two have in common stays in both.
-    That keeps widespread passages from chaining documents of little similarity, which
-    matters where fragments are small, as at low similarities.
+    Fragments are dealt out once; where they lie together they are counted, and only
+    fragments of two sets or more go on.
     """
-    cols = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    points = written(
-        cols.mapInArrow(_points(words, percent, spare), f"doc_id long, {POINTS}"), "points"
-    )
-    same = ["one", "two", "size"]
-    firsts = [F.first(c).alias(c) for c in ("fragments", "in_band", "spares")]
-    classes = points.where("size > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), *firsts)
-    classes = written(classes.where("id IS NOT NULL"), "classes")
-    keyed = classes.select("id", F.explode("fragments").alias("fragment"))
+    parts = int(cols.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = cols.select("text").mapInArrow(_keyed(words, percent, spare), KEYED).repartition(4 * parts, "fragment")
+    # Sets that several tasks have met; and sets without a document of an id.
+    keyed = keyed.dropDuplicates(["fragment", "one"])
+    together = Window.partitionBy("fragment")
+    many = keyed.withColumn("docs", F.count("*").over(together)).withColumn("head", F.min("one").over(together))
+    many = written(many.where("docs > 1"), "fragments").join(classes.select(F.col("id").alias("one")), "one", "left_semi")
     if spare:
-        counts = keyed.groupBy("fragment").agg(F.count("*").alias("docs")).where("docs > 1")
-        placed = classes.select("id", "in_band", "spares", F.posexplode("fragments").alias("at", "fragment"))
-        later = (F.col("at") >= F.col("in_band")).cast("int")
-        often = placed.select("id", "fragment", later.alias("later"), F.col("spares")[later].alias("spare"))
-        most = Window.partitionBy("id", "later").orderBy(F.col("docs").desc(), "fragment")
-        ranked = often.join(written(counts, "counts"), "fragment").withColumn("place", F.row_number().over(most))
-        keyed = written(ranked.where("place > spare").select("id", "fragment"), "rarer")
-    regions = keyed.groupBy("fragment").agg(F.min("id").alias("head"), F.count("*").alias("docs"))
-    regions = written(regions.where("docs > 1").select("fragment", "head"), "regions")
-    maybe = keyed.join(regions, "fragment").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    # Each document keeps the edge to its smallest head, which its other heads then have too.
-    heads = maybe.distinct().withColumn("least", F.min("b").over(Window.partitionBy("a")))
+        most = Window.partitionBy("one", "later").orderBy(F.col("docs").desc(), "fragment")
+        many = many.withColumn("place", F.row_number().over(most)).where("place > spare").select("one", "fragment")
+        many = written(many, "rarer")
+        heads = many.groupBy("fragment").agg(F.min("one").alias("head"), F.count("*").alias("docs"))
+        many = many.join(heads.where("docs > 1").select("fragment", "head"), "fragment")
+    many = written(many.select("one", "fragment", "head"), "shared")
+    maybe = many.where("one <> head").select(F.col("one").alias("a"), F.col("head").alias("b"))
+    return written(maybe.distinct(), "maybe"), many.select("one", "fragment")
+
+
+def _linked(cols: DataFrame, words: int, percent: int, task_shingles: int, spare: int) -> DataFrame:
+    """``cols`` (doc_id, text) as doc_id, digest, n_shingles, component_id, stays: whether the
+    row's set and id are those that its component is named by."""
+    cols = cols.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("digest", F.xxhash64("text"))
+    points = written(cols.mapInArrow(_points(words), POINTS), "points")
+    classes = points.where("size > 0").groupBy(F.col("one").alias("id"), "two", "size").agg(F.min("doc_id").alias("doc"))
+    classes = written(classes.where("doc IS NOT NULL"), "classes")
+    maybe, keys = _shared(cols, classes, words, percent, spare)
+    release(cols.sparkSession)
+    # Each set keeps the edge to its smallest head, which its other heads then have too.
+    heads = maybe.withColumn("least", F.min("b").over(Window.partitionBy("a")))
     to_least = heads.select("a", F.col("least").alias("b"))
     between = heads.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     stars = to_least.unionByName(between).distinct()
     groups = written(components(stars).withColumnRenamed("component", "gid"), "groups")
-    sized = classes.select("id", "size").join(groups, "id")
+    sized = classes.select("id", "size", "doc").join(groups, "id")
     totals = written(sized.groupBy("gid").agg(F.sum("size").alias("total")), "totals")
     hot = totals.where(F.col("total") > task_shingles)
-    blocks = F.ceil(F.col("total") * 4 / task_shingles).cast("long")
+    blocks = F.ceil(F.col("total") * 2 / task_shingles).cast("long")
     hot = written(hot.select("gid", blocks.alias("blocks")), "hot-groups")
     # Texts are long: neither side is broadcast at one size and shuffled at another, nor
     # are texts sorted.
-    texts = cols.join(groups.withColumnRenamed("id", "doc_id").hint("shuffle_hash"), "doc_id")
-    sets = texts.select("doc_id", "gid", "text").mapInArrow(_sets(words), "id long, gid long, found binary")
+    wanted = sized.select(F.col("doc").alias("doc_id"), F.col("id").alias("one"), "gid").hint("shuffle_hash")
+    texts = cols.select("doc_id", "text").join(wanted, "doc_id")
+    sets = texts.select("one", "gid", "text").mapInArrow(_sets(words), "id long, gid long, found binary")
     sets = written(sets, "sets")
     cold = sets.join(hot, "gid", "left_anti")
     links = cold.groupBy("gid").applyInPandas(_join_group(percent), EDGES)
     links = written(links, "links")
     if not hot.isEmpty():
-        links = links.unionByName(_hot_links(sets, hot, percent))
+        links = links.unionByName(_hot_links(sets, hot, keys, percent))
     found = components(links).withColumnRenamed("id", "__id")
-    named = classes.select(*same, "id").join(found, F.col("id") == F.col("__id"), "left")
-    named = written(named.select(*same, F.coalesce("component", "id").alias("component_id")), "components")
-    return points.join(named, same, "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    named = classes.select("id", "doc").join(found, F.col("id") == F.col("__id"), "left")
+    named = named.select("id", "doc", F.coalesce("component", "id").alias("component"))
+    first = named.groupBy("component").agg(F.min(F.struct("doc", "id")).alias("first"))
+    named = named.join(first, "component").select(
+        F.col("id").alias("one"),
+        F.col("first.doc").alias("component_id"),
+        F.when(F.col("first.id") == F.col("id"), F.col("doc")).alias("named_by"),
+    )
+    has_id = F.col("doc_id").isNotNull()
+    return points.join(written(named, "components"), "one", "left").select(
+        "doc_id",
+        "digest",
+        F.col("size").alias("n_shingles"),
+        F.when(has_id, F.coalesce("component_id", "doc_id")).alias("component_id"),
+        (~has_id | (F.col("size") == 0) | F.coalesce(F.col("named_by") == F.col("doc_id"), F.lit(False))).alias("stays"),
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows whose doc_id names their component, with all their columns. Of rows
-    without doc_id all stay."""
-    linked = written(link(docs, id_col=id_col, **options), "linked")
-    gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(written(gone, "gone"), docs[f"`{id_col}`"].cast("long") == F.col("__id"), "left_anti")
+def link(
+    docs: DataFrame,
+    words: int = 3,
+    percent: int = 90,
+    task_shingles: int = TASK_SHINGLES,
+    spare: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach).
+
+    With ``spare`` there are so many classes more that linked sets have ``spare`` + 1 equal
+    fragments; each document then leaves out its ``spare`` most frequent ones. All
+    documents rank fragments alike, so the rarest that two have in common stays in both.
+    That keeps widespread passages from chaining documents of little similarity, which
+    matters where fragments are small, as at low similarities.
+    """
+    cols = only(docs, doc_id=id_col, text=text_col)
+    with kept_last() as last:
+        return last(_linked(cols, words, percent, task_shingles, spare).select("doc_id", "n_shingles", "component_id"))
+
+
+def one_of_each(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    task_shingles: int = TASK_SHINGLES,
+    spare: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, whole, of which each component keeps one: that of its smallest
+    doc_id. Rows go by id and text together, so another text of a copy's id stays. Rows
+    without doc_id, and texts without words, all stay; of rows that repeat both the id and
+    the text that stays, one does.
+    """
+    cols = only(docs, doc_id=id_col, text=text_col)
+    key = [docs[f"`{id_col}`"].cast("long").alias("__id"), F.xxhash64(docs[f"`{text_col}`"]).alias("__text")]
+    with kept_last() as last:
+        linked = written(_linked(cols, words, percent, task_shingles, spare), "linked")
+        # The same id and text in several rows: they stay or go together, and then one stays.
+        pairs = linked.where("doc_id IS NOT NULL AND n_shingles > 0")
+        pairs = pairs.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__text"))
+        pairs = pairs.agg(F.first("stays").alias("stays"), F.count("*").alias("rows"))
+        odd = last(pairs.where("NOT stays OR rows > 1"))
+    keyed = docs.select("*", *key)
+    single = keyed.join(odd, ["__id", "__text"], "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    again = odd.where("stays")
+    if again.isEmpty():
+        return single
+    doubled = keyed.join(again, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"])
+    return single.unionByName(doubled.drop("__id", "__text"))

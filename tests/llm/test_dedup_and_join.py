@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ofertario.llm import exact_dedup, jaccard
 from ofertario.llm.components import components
-from ofertario.session import fresh_folder
+from ofertario.session import fresh_folder, shared_folder
 
 from llm_helpers import text_of
 
@@ -147,6 +148,29 @@ def test_one_of_each(docs):
     assert kept.where("doc_id = 9009").isEmpty()
 
 
+def test_a_text_goes_by_its_own_links(spark):
+    """Rows that share an id with a copy stay; null ids take no part; repeated rows are one."""
+    base = " ".join(f"w{i}" for i in range(60))
+    other, third = " ".join(f"o{i}" for i in range(30)), "x y z x y w"
+    rows = [(3, base, 1), (7, base + " end", 2), (7, other, 3), (9, third, 4), (9, third, 5), (None, base, 6)]
+    rows += [(None, other, 7), (5, None, 8), (5, "", 9), (8, base + " end", 10), (3, third + " v", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark int")
+    kept = sorted(r.mark for r in jaccard.one_of_each(docs, words=5, percent=80, spare=12).collect())
+    assert kept[:4] == [1, 3, 4, 6] or kept[:4] == [1, 3, 5, 6]
+    assert kept[4:] == [7, 8, 9, 11]
+    got = sorted(((r.doc_id or 0), r.n_shingles, r.component_id or 0) for r in jaccard.link(docs, words=5, percent=80).collect())
+    assert got == sorted(
+        [(3, 56, 3), (7, 57, 3), (7, 26, 7), (9, 2, 9), (9, 2, 9), (0, 56, 0), (0, 26, 0), (5, 0, 5), (5, 0, 5), (8, 57, 3), (3, 3, 3)]
+    )
+
+
+def test_intermediates_are_removed(spark, docs):
+    folder = Path(shared_folder(spark))
+    before = set(folder.iterdir())
+    assert jaccard.link(docs).count() > 0
+    assert len(set(folder.iterdir()) - before) == 1
+
+
 def test_jaccard_of_nothing(empty):
     assert jaccard.link(empty).count() == 0
 

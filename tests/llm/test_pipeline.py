@@ -7,10 +7,12 @@ import pytest
 
 import corpus_pipeline
 from ofertario.llm import language, mixing, queries
+from pyspark.sql import functions as F
+
+from llm_helpers import text_of
 from test_dedup_and_join import brute_components
 
 SF = "/root/testdata/sf0.001"
-from llm_helpers import text_of
 
 NAMES = ["language", "exact_dedup", "near_dedup", "mix", "pack"]
 
@@ -50,10 +52,43 @@ def test_each_stage_equals_its_brute_force(stages, spark):
     assert Counter(whole) == Counter(stages["mix"].doc_id)
 
 
+def test_stages_on_edge_rows(docs, rows, spark, tmp_path):
+    """Null and repeated ids, null and empty texts, extra columns of inner names."""
+    known = corpus_pipeline.known_languages(spark, docs, SF)
+    unique = corpus_pipeline.exact_copies(spark, docs, SF)
+    assert known.columns == unique.columns == docs.columns
+    assert Counter(text_of(r.text) for r in unique.select("text").collect()) == dict.fromkeys(map(text_of, rows.text), 1)
+    unique.write.parquet(f"{tmp_path}/unique")
+    apart = corpus_pipeline.near_copies(spark, spark.read.parquet(f"{tmp_path}/unique"), SF)
+    assert apart.columns == docs.columns
+    own = {r.doc_id: text_of(r.text) for r in unique.where("doc_id IS NOT NULL").select("doc_id", "text").collect()}
+    components, sizes = brute_components(own, 5, 80)
+    stay = {d for d, c in components.items() if d == c or not sizes[d]} | {None}
+    got = [r.doc_id for r in apart.select("doc_id").collect()]
+    assert sorted(got, key=str) == sorted(stay, key=str)
+    mixed = corpus_pipeline.source_mix(spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.where("doc_id IS NULL").count() <= 2
+    packed = corpus_pipeline.packed(spark, docs, SF)
+    assert packed.where("start = 0").count() == len(rows)
+
+
+def test_stages_on_an_empty_table(docs, spark, tmp_path):
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, SF)
+        assert out.count() == 0
+        assert name == "pack" or out.columns == docs.columns
+
+
+def test_without_labels_no_language_is_rejected(docs, rows, spark):
+    kept = corpus_pipeline.known_languages(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert kept.columns == docs.columns and kept.count() == len(rows)
+
+
 def test_pipeline_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert language.UNKNOWN == "und"
