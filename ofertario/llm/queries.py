@@ -125,8 +125,8 @@ def oracle_sql() -> dict[str, str]:
             WITH usable AS (
                 SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
                 WHERE embedding IS NOT NULL
-                  AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-                  AND len(list_filter(embedding, x -> x <> 0)) > 0),
+                  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+                  AND len([x FOR x IN embedding IF x <> 0]) > 0),
             pairs AS (
                 SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v) AS score
                 FROM usable q JOIN usable r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
