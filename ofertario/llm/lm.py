@@ -1,40 +1,37 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its UTF-8 bytes with A-Z lower-cased and an end mark, cut into units: a
-word with the white space after it. Each byte is a path of binary choices in a
-Huffman tree over the corpus's byte counts. For every choice hashed contexts (the
-last two and the last four bytes within the unit; the unit so far, or its last five
-bytes beyond ``HEAD``; the unit so far after the word before, or the last three bytes
-beyond ``AFTER``) each look up a bit predictor: how often that choice went
-which way after that context. A gated mixer adds their stretched probabilities with
-weights chosen by the tree node and by how sure a predictor is, and an adaptive map
-refines the sum by what followed such sums. The score is the log10 probability of
-all choices.
-
-The word before counts if it has at most ``SHORT`` bytes, and only for the first
-``AFTER`` bytes of a unit. So a unit is a head, its first bytes with the word before,
-and a tail, what follows given the unit; each different head and tail of the corpus is
-worked on once, with its count.
-
-Predictors are as many as there are different contexts and nodes in all training
-texts. They are partitioned by a 63-bit hash: heads and tails are dealt to blocks, a
-block sends its keys with their counts to the buckets of the hash, and each bucket adds
-them up and answers every block. Weights and the map are learned from all
-choices of all blocks, each one being predicted from every other time it came up in the
-corpus: the blocks' slopes and curvatures are added up for each of ``STEPS`` Newton
-steps of the weights, then their counts for the map. A text's score depends on the
-text alone.
-
-Scoring looks up the costs of at most ``COMMON`` frequent heads and tails in a
-broadcast; the others are joined, and those that training did not see are priced by
-asking the buckets once more.
+A text is its UTF-8 bytes with A-Z lower-cased, cut into tokens: words, and white space
+other than the single space between two words, and an end mark. A token is a path of
+binary choices: frequent ones (at most ``COMMON``) are leaves of one Huffman tree;
+the others are its escape leaf and then their bytes, leaves of a second tree. For each
+choice several contexts look up a bit predictor, how often that choice went which way:
+
+- tokens: no context, a hash of the ending of the token before, and the token before
+  itself (of a rare token its ending again);
+- bytes of rare tokens: none, and hashes of the last one to four bytes, counted over
+  different tokens.
+
+A gated mixer adds the stretched probabilities with weights chosen by how much the longer
+contexts have seen and by the place in the path; an adaptive map refines the sum by
+what followed such sums. The score is the log10 probability of all choices.
+
+The counts of (token before, token) are gathered from all training texts, so they grow
+with the corpus; they are partitioned by the token before, of which each has at most
+``COMMON`` rows. A predictor is a sum over a stretch of such rows, as rows are sorted by their
+code in the tree. Weights learn online: each task reads its choices once, mini-batch by
+mini-batch, each predicted from every other time it came up in the corpus, and corrects its
+weights after each batch; weights of the tasks are averaged by how much they saw, the
+counts of the map added up. A text's score depends on the text and the model alone.
+
+Scoring prices the different pairs of the texts; at most ``PRICED`` frequent ones are
+broadcast, the others joined. Byte contexts are hashed to 2^20 predictors for each length.
 
 The base score is a unigram model with add-one counts over words. Counts of words
-that make up more than 1 / ``COMMON`` of the corpus, at most ``COMMON`` words, are
-broadcast; the others are joined.
+that are not frequent are joined.
 
-Defined results: null and empty texts are the end mark alone; without training texts
-all counts are 0 and predictors say one half; an empty table gives no rows.
+Defined results: null is empty and scored for its end mark; rows that repeat a doc_id are
+documents of their own; without training texts all choices start even, and base scores
+are 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,626 +39,658 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from operator import add
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ofertario.llm.common import only
 from ofertario.session import written
 
-CONTEXTS = 4
-COMMON = 1 << 18
-#: Bits of a predictor's key, bytes of entries in a block, keys asked of a bucket (about).
-KEY_BITS, BLOCK, BUCKET = 63, 1 << 17, 1 << 22
-#: Kinds of counted things.
-WORD, BYTE, HEADS, TAILS = range(4)
-#: Rows that the mixer's sums are cut into.
-PIECES = 16
-#: Longest word before that counts; longest unit; bytes worked on at once.
-SHORT, LONGEST = 3, 256
-HEAD, AFTER = 6, 4
-CHUNK = 1 << 15
-#: Bytes of text whose units are listed at once, and units remembered.
-PART, REMEMBERED = 1 << 20, 200_000
-MAP_STEPS = 33
-#: Steps of the weights, each over all blocks.
-STEPS = 2
-#: Pairs of contexts.
-PAIRS = [(i, j) for i in range(CONTEXTS) for j in range(i, CONTEXTS)]
-UNIT = re.compile(rb"[^ \t-\r\xff]{0,%d}[ \t-\r\xff]{0,%d}" % (LONGEST, LONGEST))
+#: Most leaves of the token tree; classes of endings; most pairs whose price is broadcast.
+COMMON, CLASSES, PRICED = 1 << 17, 32, 1 << 20
+#: Bits of a token in the key of a pair.
+SHIFT = 18
+#: Bytes of text cut into tokens at once; pairs and bytes worked on at once; words remembered.
+PART, PAIRS, BYTES, REMEMBERED = 1 << 20, 1 << 13, 1 << 16, 1 << 18
+#: Orders of the byte contexts and bits of their hashes.
+ORDERS, SLOT_BITS = 4, 20
+#: Orders whose counts choose the gate.
+GATED = (2, 3, 4)
+#: Weights that learning starts from, by order.
+START = [0.05, 0.05, 0.15, 0.3, 0.45]
+#: Leaf of the end of a spelled token; what stands before its first byte.
+STOP, BEFORE = 256, 257
+MAP_STEPS, RATE, PRIOR = 33, 0.02, 0.4
+TOKEN = re.compile(rb"[^ \t-\r]+|[ \t-\r]{2,}|[\t-\r]|\A | \Z")
+BLANK = re.compile(rb"[ \t-\r]")
+
+
+def parts(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``PART`` bytes; a single space between words is left out."""
+    start = 0
+    while len(raw) - start > 2 * PART:
+        cut = raw.find(b" ", start + PART)
+        while 0 < cut < len(raw) - 1 and (BLANK.match(raw, cut - 1) or BLANK.match(raw, cut + 1)):
+            cut = raw.find(b" ", cut + 1)
+        if not 0 < cut < len(raw) - 1:
+            break
+        yield raw[start:cut]
+        start = cut + 1
+    yield raw[start:]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (b'' for the end), bytes, heads and tails; all but bytes leave in parts."""
+def tokens_of(text: str | None) -> Iterator[list[bytes]]:
+    """The tokens of a text in pieces; its end mark is not among them."""
+    for part in parts((text or "").encode().lower()):
+        yield TOKEN.findall(part)
 
-    def rows(found: dict[int, Counter]) -> pa.RecordBatch:
-        kinds = [kind for kind, of in found.items() for _ in of]
-        keys, n = [k for of in found.values() for k in of], [v for of in found.values() for v in of.values()]
-        columns = [pa.array(kinds, pa.int32()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "token", "n"])
 
-    found, seen = {k: Counter() for k in (WORD, HEADS, TAILS)}, np.zeros(256, np.int64)
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
-            found[WORD].update((text or "").encode().lower().split())
-            for part in parts_of(text):
-                heads, tails = units_of(part)
-                found[HEADS].update(heads)
-                found[TAILS].update(tails)
-                seen += np.bincount(np.frombuffer(part, np.uint8), minlength=256)
-                if sum(map(len, found.values())) > 2 * REMEMBERED:
-                    yield rows(found)
-                    found = {k: Counter() for k in found}
-            found[WORD][b""] += 1
-    yield rows({**found, BYTE: Counter({bytes([b]): n for b, n in enumerate(seen.tolist())})})
-
-
-class Paths:
-    """The binary choices that make up each byte: a Huffman tree."""
-
-    def __init__(self, seen: np.ndarray):
-        heap = [(int(n) + 1, b, b) for b, n in enumerate(seen)]
-        heapq.heapify(heap)
-        children, nodes = {}, 256
-        while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            children[nodes] = (a[2], b[2])
-            heapq.heappush(heap, (a[0] + b[0], nodes, nodes))
-            nodes += 1
-        steps: list[list[tuple[int, int]]] = [[] for _ in range(256)]
-        todo = [(heap[0][2], [])]
-        while todo:
-            node, path = todo.pop()
-            if node < 256:
-                steps[node] = path
-            else:
-                for bit, child in enumerate(children[node]):
-                    todo.append((child, [*path, (node - 256, bit)]))
-        self.length = np.array([len(s) for s in steps], np.int32)
-        self.start = np.r_[0, np.cumsum(self.length)[:-1]].astype(np.int32)
-        self.node = np.array([n for s in steps for n, _ in s], np.int32)
-        self.bit = np.array([b for s in steps for _, b in s], np.int32)
-
-
-class Hashes:
-    """Context hashes of every byte of a buffer."""
-
-    def __init__(self):
-        draw = np.random.default_rng(5)
-        odd = lambda: int(draw.integers(2**62, dtype=np.uint64)) * 2 + 1
-        self.letter = draw.integers(2**64, size=256, dtype=np.uint64)
-        self.up = np.cumprod(np.full(2 * LONGEST, odd(), np.uint64), dtype=np.uint64)
-        self.mix = [np.uint64(odd()) for _ in range(CONTEXTS + 1)]
-        self.nodes = draw.integers(2**64, size=255, dtype=np.uint64)
-
-    def of(self, data: np.ndarray, first: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
-        """``first``: where the byte's unit starts; ``before``: hash of the word before it."""
-        n = len(data)
-        inside = np.arange(n) - first
-        sums = np.r_[np.uint64(0), np.cumsum(self.letter[data] * self.up[inside], dtype=np.uint64)]
-        so_far = sums[:-1] - sums[first]
-        last = np.zeros((5, n), np.uint64)
-        for back in range(1, 6):
-            last[back - 1, back:] = data[:-back]
-            last[back - 1, inside < back] = 255
-        two = last[0] | last[1] << np.uint64(8)
-        four = two | last[2] << np.uint64(16) | last[3] << np.uint64(24)
-        three, five = two | last[2] << np.uint64(16), four | last[4] << np.uint64(32)
-        head = np.where(inside < HEAD, so_far, five)
-        after = np.where(inside < AFTER, so_far + before * self.mix[CONTEXTS], three)
-        keys = [two, four, head, after]
-        out = []
-        for key, odd in zip(keys, self.mix, strict=False):
-            mixed = (key ^ (key >> np.uint64(31))) * odd
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * self.mix[CONTEXTS]
-            out.append(mixed ^ (mixed >> np.uint64(32)))
-        return out
-
-
-def parts_of(text: str | None) -> Iterator[bytes]:
-    """The bytes of a text with its end mark, cut after white space about every ``PART``."""
-    low = (text or "").encode().lower() + b"\xff"
-    start = 0
-    while start < len(low):
-        end = start + PART
-        if end < len(low):
-            space = low.rfind(b" ", start, end)
-            end = space + 1 if space >= 0 else end
-        yield low[start:end]
-        start = end
-
-
-def units_of(part: bytes) -> tuple[list[bytes], list[bytes]]:
-    """Heads and tails of all units of a part. A head is the unit before, if its word is
-    short, and the first bytes; a tail is the whole unit, if it has more bytes."""
-    units = UNIT.findall(part)
-    units.pop()  # the empty match at the end
-    befores = [b"", *[u if len(u) <= SHORT + 1 else b"" for u in units]]
-    return list(map(add, befores, [u[:AFTER] for u in units])), [u for u in units if len(u) > AFTER]
-
-
-def chunks(heads: list[bytes], tails: list[bytes]) -> Iterator[tuple]:
-    """Buffers of whole entries, heads first: bytes, first byte of the unit of each, hash of
-    the unit before, whether to score, and the entries' sizes."""
-    befores = []
-    for at, head in enumerate(heads):
-        units = UNIT.findall(head)
-        befores.append(units[0] if len(units) == 3 else b"")
-        heads[at] = units[-2]
-    units, codes = heads + tails, np.zeros(len(heads) + len(tails), np.uint64)
-    codes[: len(heads)] = [int.from_bytes(b, "little") + 1 if b else 0 for b in befores]
-    sizes = np.fromiter(map(len, units), np.int64, len(units))
-    cuts = np.searchsorted(np.cumsum(sizes), np.arange(CHUNK, sizes.sum() + CHUNK, CHUNK)) + 1
-    for start, end in zip([0, *cuts], [*cuts, len(units)], strict=False):
-        end = min(end, len(units))
-        if start >= end:
-            continue
-        n = sizes[start:end]
-        first = np.repeat(np.cumsum(n) - n, n)
-        tail = np.repeat(np.arange(start, end) >= len(heads), n)
-        scored = ~tail | (np.arange(len(first)) - first >= AFTER)
-        data = np.frombuffer(b"".join(units[start:end]), np.uint8)
-        yield data, first, np.repeat(codes[start:end], n), scored, n
+def ending(token: bytes) -> int:
+    return zlib.crc32(token[-2:]) % CLASSES
 
 
-def choices(paths: Paths, hashes: Hashes, data, first, before, scored, bits: int):
-    """Keys of each context, nodes, bits, choices per byte, none for bytes not scored."""
-    lengths = paths.length[data] * scored
-    ends = np.cumsum(lengths, dtype=np.int32)
-    step = np.repeat(paths.start[data] - ends + lengths, lengths)
-    step += np.arange(len(step), dtype=np.int32)
-    node, bit = paths.node.take(step), paths.bit.take(step)
-    by_node = hashes.nodes.take(node)
-    shift = np.uint64(64 - bits)
-    hashed = hashes.of(data, first, before)
-    slots = [((np.repeat(h, lengths) ^ by_node) >> shift).astype(np.int64) for h in hashed]
-    return slots, node, bit, lengths
+def code_lengths(weights: np.ndarray) -> np.ndarray:
+    """Depths of a Huffman tree's leaves."""
+    floor = max(1, int(weights.sum()) >> 26)
+    heap = [(max(int(w), floor), i) for i, w in enumerate(weights)]
+    heapq.heapify(heap)
+    parent, nodes = {}, len(weights)
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        parent[a[1]] = parent[b[1]] = nodes
+        heapq.heappush(heap, (a[0] + b[0], nodes))
+        nodes += 1
+    depth = np.zeros(nodes, np.int64)
+    for node in range(nodes - 2, -1, -1):
+        depth[node] = depth[parent[node]] + 1
+    return depth[: len(weights)]
 
 
-def stretch_table(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Stretched probabilities of a one from counts."""
-    return np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))).astype(np.float32)
+class Tree:
+    """A Huffman tree with leaves in the order of their codes.
 
+    At depth d the path of leaf r goes through a node with the leaves lo[d, r] to
+    hi[d, r]; those from mid[d, r] are behind its branch 1."""
 
-def levels(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """0 for a predictor never seen, then one more for each doubling, up to 5."""
-    return np.minimum(np.frexp((zeros + ones + 1).astype(np.float32))[1] - 1, 5).astype(np.uint8)
+    def __init__(self, weights: np.ndarray):
+        lengths = code_lengths(weights)
+        self.order = np.lexsort((np.arange(len(lengths)), lengths))
+        self.length = lengths[self.order]
+        self.deep = deep = int(self.length.max(initial=0))
+        width = np.int64(1) << (deep - self.length)
+        self.code = np.cumsum(width) - width
+        leaves = np.arange(len(lengths))
+        shape = (deep, len(lengths))
+        self.lo, self.mid, self.hi = (np.zeros(shape, np.int32) for _ in range(3))
+        for d in range(deep):
+            prefix = self.code >> (deep - d)
+            starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+            ends = np.r_[starts[1:], len(leaves)]
+            zeros = np.add.reduceat(1 - (self.code >> (deep - d - 1) & 1), starts)
+            run = np.repeat(np.arange(len(starts)), ends - starts)
+            self.lo[d], self.hi[d] = starts[run], ends[run]
+            self.mid[d] = (starts + zeros)[run]
 
 
-class Mixer:
-    """Weights by gate, and the map by node that refines what they give.
+def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((ones + PRIOR) / (zeros + PRIOR))
 
-    The gate is the tree node, how often the predictor of the unit so far was seen,
-    and, more coarsely, that of the last four bytes.
-    """
 
-    GATES = 255 * 6 * 3
+def level(n: np.ndarray, most: int) -> np.ndarray:
+    return np.minimum(np.frexp(np.maximum(n, 0).astype(float))[1], most)
 
-    def __init__(self, weights: np.ndarray, seen: np.ndarray):
-        self.weights, self.seen = weights, seen  # (contexts, gates); (nodes, steps, 2)
-        share = (seen[:, :, 1] + 1.0 / (1 + np.exp(-self.centre()))) / (seen.sum(axis=2) + 1.0)
-        # Half of the refined value, as half of the mixed one is taken.
-        self.refined = (np.log(share / (1 - share)) / 2).astype(np.float32).ravel()
 
-    @staticmethod
-    def new() -> Mixer:
-        return Mixer(np.full((CONTEXTS, Mixer.GATES), 0.4, np.float32), np.zeros((255, MAP_STEPS, 2)))
+class Mixer:
+    """Weights by gate, and a map by level from sums to what followed them."""
 
-    @staticmethod
-    def centre() -> np.ndarray:
-        return (np.arange(MAP_STEPS) - MAP_STEPS // 2) / 2.0
+    def __init__(self, gates: int, start: list[float], levels: int):
+        self.weights = np.tile(np.array(start), (gates, 1))
+        self.squares = np.full(self.weights.shape, 1e-4)
+        self.mass = np.zeros(gates)
+        self.seen = np.zeros((levels, MAP_STEPS, 2))
 
     @staticmethod
-    def cell(node, mixed):
-        at = np.clip(mixed, -8, 8)
-        at *= np.float32(2)
-        at += np.float32(MAP_STEPS // 2 + 0.5)
-        return at.astype(np.int32) + node * np.int32(MAP_STEPS)
+    def bins(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = (np.clip(total, -8, 7.999) + 8) * ((MAP_STEPS - 1) / 16)
+        low = at.astype(np.int64)
+        return low, at - low
+
+    def sums(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        return np.clip(np.einsum("ki,ik->i", inputs, self.weights[gate]), -20, 20)
+
+    def learn(self, inputs, gate, lev, bit, times) -> None:
+        """One mini-batch: predicted first, then learned from."""
+        total = self.sums(inputs, gate)
+        wrong = (bit - 1 / (1 + np.exp(-total))) * times
+        gates = len(self.weights)
+        mass = np.bincount(gate, times, gates)
+        scale = 1 / np.sqrt(np.maximum(mass, 1))
+        for k, x in enumerate(inputs):
+            slope = np.bincount(gate, wrong * x, gates) * scale
+            self.squares[:, k] += slope * slope
+            self.weights[:, k] += RATE * slope / np.sqrt(self.squares[:, k])
+        self.mass += mass
+        low, part = self.bins(total)
+        flat = self.seen.reshape(-1)
+        at = (lev * MAP_STEPS + low) * 2 + bit
+        flat += np.bincount(at, times * (1 - part), flat.size) + np.bincount(at + 2, times * part, flat.size)
+
+    def cost(self, inputs, gate, lev, bit) -> np.ndarray:
+        """Nats of choices."""
+        total = self.sums(inputs, gate)
+        p = 1 / (1 + np.exp(-total))
+        centre = 1 / (1 + np.exp(8 - np.arange(MAP_STEPS) * (16 / (MAP_STEPS - 1))))
+        refined = (self.seen[..., 1] + 20 * centre) / (self.seen.sum(axis=2) + 20)
+        low, part = self.bins(total)
+        p = 0.5 * p + 0.5 * (refined[lev, low] * (1 - part) + refined[lev, low + 1] * part)
+        p = np.clip(p, 1e-9, 1 - 1e-9)
+        return -np.log(np.where(bit == 1, p, 1 - p))
+
+    def state(self) -> np.ndarray:
+        return np.concatenate([(self.weights * self.mass[:, None]).ravel(), self.mass, self.seen.ravel()])
+
+    def put(self, state: np.ndarray) -> None:
+        """The state of all tasks added up: averaged weights, all counts of the map."""
+        n, gates = self.weights.size, len(self.mass)
+        self.mass, sums = state[n : n + gates], state[:n].reshape(self.weights.shape)
+        met = self.mass > 0
+        self.weights[met] = sums[met] / self.mass[met, None]
+        self.seen = state[n + gates :].reshape(self.seen.shape)
+
+
+class Vocabulary:
+    """The frequent tokens and the tree over them; END and ESCAPE are leaves, too."""
+
+    def __init__(self, counts: dict[bytes, int], rare: int):
+        names = [b"", None, *sorted(t for t in counts if t)]
+        weights = np.array([counts.get(b"", 0) + 1, rare + 1, *[counts[t] for t in names[2:]]], np.int64)
+        self.tree = Tree(weights)
+        names = [names[i] for i in self.tree.order]
+        self.end, self.escape = names.index(b""), names.index(None)
+        self.leaf = {t: i for i, t in enumerate(names) if t}
+        self.counts = weights[self.tree.order]
+        #: What training counted, one more; leaves that are words or the end.
+        self.given = np.array([counts.get(t, 0) + 1 for t in names])
+        self.is_word = np.array([t is not None and not BLANK.match(t) for t in names])
+        #: The ending of each token before; contexts beyond the leaves are endings.
+        self.kind = np.array([*[ending(t or b"") for t in names], *range(CLASSES)], np.int64)
+
+    def pairs(self, found: list[bytes], before: int) -> tuple[np.ndarray, np.ndarray, list[bytes], int]:
+        """Keys of (token before, token), leaves, rare tokens, and the last context."""
+        leaves = np.fromiter(map(self.leaf.get, found, repeat(-1)), np.int64, len(found))
+        places = np.flatnonzero(leaves < 0)
+        rare = [found[i] for i in places]
+        contexts = leaves.copy()
+        contexts[places] = [len(self.counts) + ending(t) for t in rare]
+        leaves[places] = self.escape
+        keys = np.r_[before, contexts[:-1]][: len(found)] << SHIFT | leaves
+        return keys, leaves, rare, int(contexts[-1]) if len(found) else before
+
+
+class Tokens:
+    """Predictors and mixer of tokens after tokens."""
+
+    GATES, LEVELS = 8 * 3 * 4, 8
+
+    def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray):
+        self.vocabulary = vocabulary
+        tree = vocabulary.tree
+        zero = np.zeros((len(by_class), 1), np.int64)
+        self.sums = np.c_[zero, np.cumsum(by_class, axis=1)]
+        whole = np.r_[0, np.cumsum(by_class.sum(axis=0))]
+        zeros, ones = whole[tree.mid] - whole[tree.lo], whole[tree.hi] - whole[tree.mid]
+        self.plain = stretched(zeros, ones).astype(np.float32)
+        self.mixer = Mixer(self.GATES, [0.3, 0.2, 0.6], self.LEVELS)
+
+    def steps(self, keys: np.ndarray, seen: np.ndarray, apart: int):
+        """Choices of a sorted block of whole contexts, depth by depth: rows, inputs,
+        gates, levels, bits. ``apart`` is taken from each choice's own counts."""
+        tree = self.vocabulary.tree
+        leaf, context = keys & ((1 << SHIFT) - 1), keys >> SHIFT
+        kind, code = self.vocabulary.kind[context], tree.code[leaf]
+        differ = np.frexp((code[1:] ^ code[:-1]).astype(float))[1]
+        shared = np.r_[-1, np.where(context[1:] == context[:-1], tree.deep - differ, -1)]
+        rows = np.arange(len(keys))
+        for d in range(tree.deep):
+            rows = rows[tree.length[leaf[rows]] > d]
+            if not len(rows):
+                return
+            at, n = leaf[rows], seen[rows]
+            lo, mid, hi = tree.lo[d, at], tree.mid[d, at], tree.hi[d, at]
+            bit = (at >= mid).astype(np.int64)
+            first = shared[rows] < d
+            starts, run = np.flatnonzero(first), np.cumsum(first) - 1
+            both = np.add.reduceat(n, starts)[run]
+            ones = np.add.reduceat(n * bit, starts)[run]
+            own = np.minimum(apart, n)
+            up, down = own * bit, own * (1 - bit)
+            k = kind[rows]
+            middle = self.sums[k, mid]
+            class_zeros = np.maximum(middle - self.sums[k, lo] - down, 0)
+            class_ones = np.maximum(self.sums[k, hi] - middle - up, 0)
+            inputs = np.stack(
+                [self.plain[d, at], stretched(class_zeros, class_ones), stretched(both - ones - down, ones - up)]
+            )
+            lev = level(both - own, 7)
+            sure = (ones - up == 0) | (both - ones - down == 0)
+            gate = (lev * 3 + np.where(sure, 2, np.abs(inputs[2]) > 2)) * 4 + min(d // 4, 3)
+            yield rows, inputs, gate, lev, bit
 
-    @staticmethod
-    def gate(node, head_level, four_level) -> np.ndarray:
-        return (node * np.int32(6) + head_level) * np.int32(3) + np.minimum(four_level, 2)
-
-    def mixed(self, stretched: list[np.ndarray], gate) -> np.ndarray:
-        total = stretched[0] * self.weights[0].take(gate)
-        for s, w in zip(stretched[1:], self.weights[1:], strict=True):
-            total += s * w.take(gate)
-        return total
-
-    def cost(self, stretched: list[np.ndarray], gate, node, bit) -> np.ndarray:
-        """Natural-log costs of the bits."""
-        mixed = self.mixed(stretched, gate)
-        logit = np.clip(mixed, -12, 12)
-        logit *= np.float32(0.5)
-        logit += self.refined.take(self.cell(node, mixed))
-        logit *= np.float32(1) - 2 * bit.astype(np.float32)
-        np.exp(logit, out=logit)
-        logit += np.float32(1)
-        return np.log(logit, out=logit)
-
-    def sums_on(self, stretched: list[np.ndarray], gate, bit, times) -> np.ndarray:
-        """Slopes (contexts, gates) and curvatures (pairs of contexts, gates) of the
-        likelihood; ``times``: how often each choice came up. Those of all blocks are added up."""
-        p = 1 / (1 + np.exp(-np.clip(self.mixed(stretched, gate), -12, 12)))
-        miss, slope = (bit - p) * times, p * (1 - p) * times
-        rows = [np.bincount(gate, miss * s, self.GATES) for s in stretched]
-        for i, j in PAIRS:
-            rows.append(np.bincount(gate, slope * stretched[i] * stretched[j], self.GATES))
-        return np.array(rows)
-
-    def step(self, sums: np.ndarray) -> Mixer:
-        """One Newton step of the weights of every gate, none longer than 1/2."""
-        curve = np.zeros((self.GATES, CONTEXTS, CONTEXTS))
-        for (i, j), row in zip(PAIRS, sums[CONTEXTS:], strict=True):
-            curve[:, i, j] = curve[:, j, i] = row
-        curve += np.eye(CONTEXTS)
-        change = np.linalg.solve(curve, sums[:CONTEXTS].T[:, :, None])[:, :, 0].T
-        return Mixer((self.weights + np.clip(change, -0.5, 0.5)).astype(np.float32), self.seen)
-
-    def map_on(self, stretched: list[np.ndarray], gate, node, bit, times) -> None:
-        mixed = self.mixed(stretched, gate)
-        at = self.cell(node, mixed) * 2 + bit
-        self.seen += np.bincount(at, times, minlength=self.seen.size).reshape(self.seen.shape)
-
-
-def entries_of(group: pa.Table) -> tuple[list[bytes], list[bytes], np.ndarray]:
-    """Heads and tails of a block in their order, and their counts."""
-    rows = sorted(zip(*[group.column(c).to_pylist() for c in ("kind", "token", "n")], strict=True))
-    heads = [token for kind, token, _ in rows if kind == HEADS]
-    tails = [token for kind, token, _ in rows if kind == TAILS]
-    return heads, tails, np.array([n for _, _, n in rows], np.float64)
-
-
-class Block:
-    """The choices of a block's entries and the different keys they ask for, in order."""
-
-    def __init__(self, paths: Paths, heads: list[bytes], tails: list[bytes]):
-        hashes, parts, of, done = Hashes(), [], [], 0
-        for data, first, before, scored, sizes in chunks(heads.copy(), tails):
-            slots, node, bit, lengths = choices(paths, hashes, data, first, before, scored, KEY_BITS)
-            owner = np.repeat(np.repeat(np.arange(done, done + len(sizes), dtype=np.int32), sizes), lengths)
-            parts.append((*slots, node, bit, owner))
-            done += len(sizes)
-        *slots, self.node, self.bit, self.owner = map(np.concatenate, zip(*parts, strict=True))
-        # The entry of each choice is ``owner``; ``at`` is where its keys are.
-        self.keys, at = np.unique(np.concatenate(slots), return_inverse=True)
-        self.at = at.astype(np.int32).reshape(CONTEXTS, -1)
-
-    def counts(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """Zeros and ones of each key from the buckets' answers."""
-        rows = zip(*[answers.column(c).to_pylist() for c in ("bucket", "zeros", "ones")], strict=True)
-        _, zeros, ones = zip(*sorted(rows), strict=True)
-        return np.concatenate([*map(unplanes, zeros)]), np.concatenate([*map(unplanes, ones)])
-
-
-def _ask(paths: Paths, bucket_bits: int):
-    """What the keys of a block's entries saw there, a row for each bucket."""
-
-    def ask(group: pa.Table) -> pa.Table:
-        heads, tails, times = entries_of(group)
-        block = Block(paths, heads, tails)
-        n = times[block.owner]
-        both = np.zeros((2, len(block.keys)))
-        for at in block.at:
-            for value in (0, 1):
-                both[value] += np.bincount(at, n * (block.bit == value), len(block.keys))
-        inner = np.arange(1, 1 << bucket_bits, dtype=np.int64) << (KEY_BITS - bucket_bits)
-        cuts = [0, *np.searchsorted(block.keys, inner).tolist(), len(block.keys)]
-        number = group.column("block")[0].as_py()
-        rows = [
-            (number, bucket, block.keys[a:b], both[0, a:b], both[1, a:b])
-            for bucket, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))
-            if a < b
-        ]
-        return told(rows)
-
-    return ask
-
-
-ASKED = pa.schema(
-    [("block", pa.int64()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("keys", "zeros", "ones")]]
-)
-ASKED_SQL = "block long, bucket int, keys binary, zeros binary, ones binary"
-
-
-def planes(values: np.ndarray) -> bytes:
-    """First bytes of all values, then second ones: zeros stand together and compress."""
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def unplanes(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
-
-
-def parsed(group: pa.Table) -> list[tuple]:
-    """block, bucket, keys, zeros, ones as arrays."""
-    rows = zip(*[group.column(c).to_pylist() for c in ASKED.names], strict=True)
-    return [(block, bucket, np.cumsum(unplanes(k)), unplanes(z), unplanes(o)) for block, bucket, k, z, o in rows]
-
-
-def told(rows: list[tuple]) -> pa.Table:
-    """The same as a table; keys, in order, as differences."""
-    out = [(block, bucket, planes(np.diff(keys, prepend=0)), planes(z), planes(o)) for block, bucket, keys, z, o in rows]
-    columns = zip(*out, strict=True) if out else [[]] * len(ASKED.names)
-    return pa.table(dict(zip(ASKED.names, columns, strict=True)), ASKED)
-
-
-def _add_up(group: pa.Table) -> pa.Table:
-    """A bucket's predictors as block -1, and the answer to each block, without keys."""
-    rows = parsed(group)
-    keys, at = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
-    zeros = np.bincount(at, np.concatenate([r[3] for r in rows]), len(keys))
-    ones = np.bincount(at, np.concatenate([r[4] for r in rows]), len(keys))
-    out, start = [(-1, rows[0][1], keys, zeros, ones)], 0
-    for block, bucket, asked, _, _ in rows:
-        own = at[start : start + len(asked)]
-        out.append((block, bucket, keys[:0], zeros[own], ones[own]))
-        start += len(asked)
-    return told(out)
-
-
-def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Answers to blocks that were not learned from."""
-    found = parsed(known)
-    if found:
-        _, _, keys, zeros, ones = found[0]
-    else:
-        keys = zeros = ones = np.zeros(0, "<i8")
-    out = []
-    for block, bucket, wanted, _, _ in parsed(asked):
-        out.append((block, bucket, keys[:0], look_up(keys, zeros, wanted), look_up(keys, ones, wanted)))
-    return told(out)
-
-
-def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The values of the wanted keys, 0 for those that are not there."""
-    at = np.searchsorted(keys, wanted)
-    there = np.r_[keys, -1].take(at) == wanted
-    return np.where(there, np.r_[values, np.zeros(1, values.dtype)].take(at), values.dtype.type(0))
-
-
-def _learn(paths: Paths, mixer: Mixer, last: bool):
-    """A block's sums for a step of the weights, or the last time for the map, in pieces."""
-
-    def learn(entries: pa.Table, answers: pa.Table) -> pa.Table:
-        heads, tails, times = entries_of(entries)
-        block = Block(paths, heads, tails)
-        zeros, ones = block.counts(answers)
-        n, node, bit = times[block.owner].astype(np.float32), block.node, block.bit
-        # Predicted from every other time that the choice came up.
-        others = [(zeros.take(at) - (bit == 0), ones.take(at) - (bit == 1)) for at in block.at]
-        stretched = [stretch_table(z.astype(np.float32), o.astype(np.float32)) for z, o in others]
-        gate = Mixer.gate(node, levels(*others[2]), levels(*others[1]))
-        if last:
-            found = Mixer(mixer.weights, np.zeros_like(mixer.seen))
-            found.map_on(stretched, gate, node, bit, n)
-            sums = found.seen
-        else:
-            sums = mixer.sums_on(stretched, gate, bit, n)
-        parts = np.array_split(sums.ravel(), PIECES)
-        return pa.table({"piece": range(PIECES), "data": [p.astype("<f8").tobytes() for p in parts]}, SUMS)
+    def learn(self, keys: np.ndarray, seen: np.ndarray) -> None:
+        for rows, inputs, gate, lev, bit in self.steps(keys, seen, 1):
+            self.mixer.learn(inputs, gate, lev, bit, seen[rows].astype(float))
 
-    return learn
+    def price(self, keys: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        nats = np.zeros(len(keys))
+        for rows, *choices in self.steps(keys, seen, 0):
+            nats[rows] += self.mixer.cost(*choices)
+        return nats
 
 
-SUMS = pa.schema([("piece", pa.int32()), ("data", pa.binary())])
+class Letters:
+    """Predictors and mixer of the bytes of rare tokens."""
 
+    GATES, LEVELS = 4**3 * 3, 12
 
-def _sum_pieces(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(d.as_py(), "<f8") for d in group.column("data"))
-    return pa.table({"piece": group.column("piece")[:1].to_pylist(), "data": [total.tobytes()]}, SUMS)
+    def __init__(self, byte_counts: np.ndarray):
+        self.tree = Tree(byte_counts + 1)
+        self.leaf = np.argsort(self.tree.order)
+        draw = np.random.default_rng(5)
+        self.odd = [np.uint64(int(x) * 2 + 1) for x in draw.integers(2**62, size=ORDERS + 1)]
+        self.counts = np.zeros((ORDERS + 1, 2, 1 << SLOT_BITS), np.int32)
+        self.mixer = Mixer(self.GATES, START, self.LEVELS)
+
+    def steps(self, spelled: list[bytes]):
+        """Choices depth by depth: the token of each, its slots and bits."""
+        sizes = np.array([len(t) + 1 for t in spelled])
+        owner = np.repeat(np.arange(len(spelled)), sizes)
+        text = np.full(len(owner) + ORDERS, BEFORE, np.uint64)
+        ends = np.cumsum(sizes) - 1
+        inside = np.ones(len(owner), bool)
+        inside[ends] = False
+        text[ORDERS:][inside] = np.frombuffer(b"".join(spelled), np.uint8)
+        text[ORDERS:][ends] = STOP
+        place = np.arange(len(owner)) - np.r_[0, ends[:-1] + 1][owner]
+        hashes, h = [], np.zeros(len(owner), np.uint64)
+        for k in range(ORDERS + 1):
+            if k:
+                before = np.where(place >= k, text[ORDERS - k : len(text) - k], BEFORE).astype(np.uint64)
+                h = (h ^ (before + np.uint64(k << 10))) * self.odd[k]
+                h ^= h >> np.uint64(29)
+            hashes.append(h)
+        leaf = self.leaf[text[ORDERS:].astype(np.int64)]
+        rows = np.arange(len(owner))
+        for d in range(self.tree.deep):
+            rows = rows[self.tree.length[leaf[rows]] > d]
+            if not len(rows):
+                return
+            at = leaf[rows]
+            node = (self.tree.lo[d, at].astype(np.uint64) << np.uint64(10)) + self.tree.hi[d, at].astype(np.uint64)
+            slots = [
+                (((x[rows] + node) * self.odd[0]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for x in hashes
+            ]
+            yield d, owner[rows], slots, (at >= self.tree.mid[d, at]).astype(np.int64)
+
+    def count(self, spelled: list[bytes], into: np.ndarray) -> None:
+        for _, _, slots, bit in self.steps(spelled):
+            for k, s in enumerate(slots):
+                for b in (0, 1):
+                    np.add.at(into[k, b], s[bit == b], 1)
+
+    def seen(self, d, slots, bit, own):
+        """Inputs, gates and levels; ``own`` is taken from each choice's counts."""
+        inputs, totals = [], []
+        for k, s in enumerate(slots):
+            zeros = np.maximum(self.counts[k, 0][s] - own * (1 - bit), 0)
+            ones = np.maximum(self.counts[k, 1][s] - own * bit, 0)
+            inputs.append(stretched(zeros, ones))
+            totals.append(zeros + ones)
+        levels = [level(totals[k], 6) // 2 for k in GATED]
+        gate = ((levels[2] * 4 + levels[1]) * 4 + levels[0]) * 3 + min(d // 2, 2)
+        return np.stack(inputs), gate, levels[2] * 3 + min(d // 2, 2)
+
+    def learn(self, spelled: list[bytes], times: np.ndarray) -> None:
+        for d, owner, slots, bit in self.steps(spelled):
+            own = (times[owner] == 1).astype(np.int64)
+            inputs, gate, lev = self.seen(d, slots, bit, own)
+            self.mixer.learn(inputs, gate, lev, bit, times[owner].astype(float))
+
+    def price(self, spelled: list[bytes]) -> np.ndarray:
+        nats = np.zeros(len(spelled))
+        for d, owner, slots, bit in self.steps(spelled):
+            inputs, gate, lev = self.seen(d, slots, bit, 0)
+            nats += np.bincount(owner, self.mixer.cost(inputs, gate, lev, bit), len(nats))
+        return nats
+
+
+def in_bytes(spelled: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Stretches of a list with about ``BYTES`` bytes."""
+    start = size = 0
+    for i, t in enumerate(spelled):
+        size += len(t) + 1
+        if size >= BYTES:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(spelled):
+        yield start, len(spelled)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def _price(paths: Paths, mixer: Mixer):
-    """Natural-log costs of a block's entries."""
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of tokens, b'' for the end; they leave in parts."""
 
-    def price(entries: pa.Table, answers: pa.Table) -> pa.Table:
-        heads, tails, _ = entries_of(entries)
-        block = Block(paths, heads, tails)
-        zeros, ones = block.counts(answers)
-        stretched, level = stretch_table(zeros, ones), levels(zeros, ones)
-        gate = Mixer.gate(block.node, level.take(block.at[2]), level.take(block.at[1]))
-        cost = mixer.cost([stretched.take(at) for at in block.at], gate, block.node, block.bit)
-        nats = np.bincount(block.owner, cost, len(heads) + len(tails))
-        kinds = [HEADS] * len(heads) + [TAILS] * len(tails)
-        return pa.table({"kind": kinds, "token": heads + tails, "nats": nats}, PRICES)
+    def rows(found: Counter) -> pa.RecordBatch:
+        return _batch(token=pa.array(found.keys(), pa.binary()), n=pa.array(found.values(), pa.int64()))
 
-    return price
+    found: Counter = Counter()
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            for piece in tokens_of(text):
+                found.update(piece)
+            found[b""] += 1
+            if len(found) > REMEMBERED:
+                yield rows(found)
+                found = Counter()
+    yield rows(found)
+
+
+def _pairs(shared):
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of (token before, token), added up within stretches of a task."""
+        vocabulary = shared.value
+        held: list[np.ndarray] = []
+        size = 0
+
+        def rows() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+            return _batch(key=pa.array(keys, pa.int64()), n=pa.array(n, pa.int64()))
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                before = vocabulary.end
+                for piece in tokens_of(text):
+                    keys, _, _, before = vocabulary.pairs(piece, before)
+                    held.append(keys)
+                    size += len(keys)
+                held.append(np.array([before << SHIFT | vocabulary.end]))
+                if size > 1 << 22:
+                    yield rows()
+                    held, size = [], 0
+        yield rows()
+
+    return pairs
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by key, in blocks of whole contexts of about ``PAIRS`` rows."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held.append(columns)
+        size += len(columns[0])
+        if size < PAIRS:
+            continue
+        whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+        context = whole[0] >> SHIFT
+        starts = np.r_[0, np.flatnonzero(context[1:] != context[:-1]) + 1]
+        begin = 0
+        for start in starts[1:]:
+            if start - begin >= PAIRS:
+                yield [c[begin:start] for c in whole]
+                begin = start
+        if begin == 0 and len(starts) > 1:
+            begin = starts[-1]
+            yield [c[:begin] for c in whole]
+        held = [[c[begin:] for c in whole]]
+        size = len(held[0][0])
+    if size:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _state(mixer: Mixer) -> pa.RecordBatch:
+    state = mixer.state()
+    at = np.flatnonzero(state)
+    return _batch(slot=pa.array(at, pa.int32()), value=pa.array(state[at], pa.float64()))
+
+
+def _learn_tokens(shared):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = shared.value
+        tokens.mixer = Mixer(tokens.GATES, [0.3, 0.2, 0.6], tokens.LEVELS)
+        for keys, seen in blocks(batches):
+            tokens.learn(keys, seen)
+        yield _state(tokens.mixer)
 
+    return learn
 
-PRICES = pa.schema([("kind", pa.int32()), ("token", pa.binary()), ("nats", pa.float64())])
-PRICES_SQL = "kind int, token binary, nats double"
 
+def _price_tokens(shared):
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, seen, asked in blocks(batches):
+            wanted = asked > 0
+            yield _batch(
+                key=pa.array(keys[wanted], pa.int64()),
+                asked=pa.array(asked[wanted], pa.int64()),
+                nats=pa.array(shared.value.price(keys, seen)[wanted].astype(np.float32), pa.float32()),
+            )
 
-def in_blocks(entries: DataFrame, n: Column) -> tuple[DataFrame, int]:
-    """block, kind, token, n; and the bits of a bucket's number for so many entries."""
-    size = entries.agg(F.coalesce(F.sum(F.length("token")), F.lit(0))).first()[0]
-    block = F.pmod(F.xxhash64("kind", "token"), F.lit(max(1, size // BLOCK)))
-    asked = size * 4 * CONTEXTS
-    return entries.select(block.alias("block"), "kind", "token", n.alias("n")), math.ceil(math.log2(1 + asked / BUCKET))
+    return price
 
 
-class Tables(list):
-    """One lookup for each context."""
+def _count_letters(shared):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        into = np.zeros(shared.value.counts.shape, np.int32)
+        for batch in batches:
+            spelled = batch.column("token").to_pylist()
+            for a, b in in_bytes(spelled):
+                shared.value.count(spelled[a:b], into)
+        flat = into.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(flat[at], pa.int64()))
 
-    def astype(self, kind) -> Tables:
-        return self
+    return count
 
 
-class Lookup:
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
+def _learn_letters(shared):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = shared.value
+        letters.mixer = Mixer(letters.GATES, START, letters.LEVELS)
+        for batch in batches:
+            spelled, times = batch.column("token").to_pylist(), batch.column("n").to_numpy()
+            for a, b in in_bytes(spelled):
+                letters.learn(spelled[a:b], times[a:b])
+        yield _state(letters.mixer)
+
+    return learn
 
-    def take(self, wanted: np.ndarray) -> np.ndarray:
-        return look_up(self.keys, self.values, wanted)
+
+def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = np.zeros(STOP + 1, np.int64)
+    for batch in batches:
+        spelled = batch.column("token").to_pylist()
+        seen[:STOP] += np.bincount(np.frombuffer(b"".join(spelled), np.uint8), minlength=STOP)
+        seen[STOP] += len(spelled)
+    yield _batch(slot=pa.array(range(STOP + 1), pa.int32()), n=pa.array(seen, pa.int64()))
+
+
+def array_of(rows: DataFrame, size: int, kind) -> np.ndarray:
+    """Sums of values by slot; there are ``size`` slots at most."""
+    slot, value = rows.columns
+    table = rows.groupBy(slot).agg(F.sum(value).alias(value)).toArrow()
+    out = np.zeros(size, kind)
+    out[table.column(0).to_numpy()] = table.column(1).to_numpy()
+    return out
+
+
+def least(rows: DataFrame, count: str, most: int) -> int:
+    """The smallest count that at most ``most`` rows reach."""
+    step = F.floor(F.log2(count) * 16)
+    lowest, left = math.inf, most
+    for _, n, low in sorted(map(tuple, rows.groupBy(step).agg(F.count("*"), F.min(count)).collect()), reverse=True):
+        left -= n
+        if left < 0:
+            break
+        lowest = low
+    return int(min(lowest, 2**62))
 
 
 class Model:
-    """What scoring needs. Predictors and prices stay in files; the frequent words and
-    entries, at most ``COMMON`` each, are broadcast."""
+    """What scoring needs. ``pairs`` stay in files; the rest is of bounded size."""
 
-    bits = KEY_BITS
+    def __init__(self, tokens: Tokens, letters: Letters, pairs: DataFrame, total: int, distinct: int):
+        self.tokens, self.letters, self.pairs = tokens, letters, pairs
+        self.total, self.distinct = total, distinct
 
-    def __init__(self, paths, bucket_bits, predictors, mixer, prices, costs, common, tokens, distinct):
-        self.paths, self.bucket_bits, self.mixer = paths, bucket_bits, mixer
-        self.predictors, self.prices, self.costs = predictors, prices, costs
-        self.tokens, self.distinct, self.common = tokens, distinct, common
 
-    @property
-    def tables(self) -> tuple[Tables, Tables]:
-        """Stretched probabilities and levels by key, all brought here: to look into small models."""
-        rows = parsed(self.predictors.orderBy("bucket").toArrow())
-        keys, zeros, ones = [np.concatenate([np.zeros(0, "<i8"), *[r[i] for r in rows]]) for i in (2, 3, 4)]
-        both = Lookup(keys, stretch_table(zeros, ones)), Lookup(keys, levels(zeros, ones))
-        return Tables([both[0]] * CONTEXTS), Tables([both[1]] * CONTEXTS)
+def sorted_pairs(pairs: DataFrame) -> DataFrame:
+    """All rows of a token before together, at most ``COMMON``, in the order of the codes."""
+    return pairs.repartition(F.shiftright("key", SHIFT)).sortWithinPartitions("key")
 
 
 def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the counts of all training words (token, n)."""
+    context = docs.sparkSession.sparkContext
     texts = only(docs, text=text_col)
-    counted = texts.mapInArrow(_count, "kind int, token binary, n long")
-    counted = written(counted.groupBy("kind", "token").agg(F.sum("n").alias("n")).where("n > 0"), "tokens")
-    words = counted.where(F.col("kind") == WORD).select("token", "n")
-    facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tokens, distinct = int(facts[0]), int(facts[1])
-    seen = np.zeros(256, np.int64)
-    for row in counted.where(F.col("kind") == BYTE).collect():
-        seen[row["token"][0]] = row["n"]
-    common = words.where((F.col("n") * COMMON > tokens) | (F.length("token") == 0)).collect()
-    paths = Paths(seen)
-    entries, bucket_bits = in_blocks(counted.where(F.col("kind") >= HEADS), F.col("n"))
-    asked = entries.groupBy("block").applyInArrow(_ask(paths, bucket_bits), ASKED_SQL)
-    learnt = written(asked.groupBy("bucket").applyInArrow(_add_up, ASKED_SQL), "predictors")
-    predictors, answers = learnt.where("block < 0"), learnt.where("block >= 0")
-    met = entries.groupBy("block").cogroup(answers.groupBy("block"))
-    mixer = Mixer.new()
-    for number in range(STEPS + 1):
-        last = number == STEPS
-        sums = met.applyInArrow(_learn(paths, mixer, last), "piece int, data binary")
-        sums = sums.groupBy("piece").applyInArrow(_sum_pieces, "piece int, data binary").collect()
-        if sums:
-            total = np.concatenate([np.frombuffer(r["data"], "<f8") for r in sorted(sums)])
-            mixer = Mixer(mixer.weights, total.reshape(mixer.seen.shape)) if last else mixer.step(total.reshape(-1, Mixer.GATES))
-    prices = written(met.applyInArrow(_price(paths, mixer), PRICES_SQL), "prices")
-    step = F.floor(F.log2("n") * 8)
-    often, left = 1 << 62, COMMON
-    for at, n in sorted(map(tuple, entries.groupBy(step).count().collect()), reverse=True):
-        left -= n
-        if left < 0:
-            break
-        often = at
-    costs = entries.where(step >= often).join(prices, ["kind", "token"]).select("kind", "token", "nats").collect()
-    costs = {(r["kind"], bytes(r["token"])): r["nats"] for r in costs}
-    common = {bytes(r["token"]): r["n"] for r in common}
-    return Model(paths, bucket_bits, predictors, mixer, prices, costs, common, tokens, distinct), words
+    counted = texts.mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = written(counted, "tokens")
+    is_word = ~F.substring("token", 1, 1).isin(*[bytes([b]) for b in (32, *range(9, 14))])
+    words = counted.where(is_word)
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    often = max(2, least(counted, "n", COMMON - 2))
+    is_common = (F.col("n") >= often) | (F.length("token") == 0)
+    common = {bytes(r["token"]): r["n"] for r in counted.where(is_common).collect()}
+    rare = counted.where(~is_common)
+    seen = array_of(rare.mapInArrow(_count_bytes, "slot int, n long"), STOP + 1, np.int64)
+    vocabulary = Vocabulary(common, rare.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+    pairs = texts.mapInArrow(_pairs(context.broadcast(vocabulary)), "key long, n long")
+    pairs = written(pairs.groupBy("key").agg(F.sum("n").alias("n")), "pairs")
+    tokens = Tokens(vocabulary, class_counts(pairs, vocabulary))
+    learned = sorted_pairs(pairs).mapInArrow(_learn_tokens(context.broadcast(tokens)), "slot int, value double")
+    tokens.mixer.put(array_of(learned, len(tokens.mixer.state()), float))
+
+    letters = Letters(seen)
+    slots = rare.mapInArrow(_count_letters(context.broadcast(letters)), "slot int, n long")
+    letters.counts = array_of(slots, letters.counts.size, np.int32).reshape(letters.counts.shape)
+    learned = rare.mapInArrow(_learn_letters(context.broadcast(letters)), "slot int, value double")
+    letters.mixer.put(array_of(learned, len(letters.mixer.state()), float))
+    return Model(tokens, letters, pairs, int(total), int(distinct)), words
+
+
+def class_counts(pairs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+    """Counts of tokens after each ending."""
+    leaves = len(vocabulary.counts)
+
+    def add(shared):
+        def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            into = np.zeros(CLASSES * leaves, np.int64)
+            for batch in batches:
+                keys, n = (c.to_numpy() for c in batch.columns)
+                at = shared.value.kind[keys >> SHIFT] * leaves + (keys & ((1 << SHIFT) - 1))
+                np.add.at(into, at, n)
+            at = np.flatnonzero(into)
+            yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(into[at], pa.int64()))
+
+        return by_class
+
+    shared = pairs.sparkSession.sparkContext.broadcast(vocabulary)
+    found = pairs.mapInArrow(add(shared), "slot int, n long")
+    return array_of(found, CLASSES * leaves, np.int64).reshape(CLASSES, leaves)
 
 
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, costs, tokens, distinct = shared.value
-        floor = tokens + distinct + 1
-        logs = {t: math.log10((n + 1) / floor) for t, n in common.items()}
-        priced = {k: {t: c for (kind, t), c in costs.items() if kind == k} for k in (HEADS, TAILS)}
-
-        def spent(text: str | None, left: list) -> float:
-            """Nats of a text's frequent heads and tails; the others are added to ``left``."""
-            heads, tails = Counter(), Counter()
-            for part in parts_of(text):
-                some_heads, some_tails = units_of(part)
-                heads.update(some_heads)
-                tails.update(some_tails)
-            nats = 0.0
-            for kind, found in ((HEADS, heads), (TAILS, tails)):
-                known = priced[kind]
-                nats += math.fsum(n * known[t] for t, n in found.items() if t in known)
-                left += [(kind, t, n) for t, n in found.items() if t not in known]
-            return nats
-
+        vocabulary, letters, keys, prices, total, distinct = shared.value
+        logs = np.log10(vocabulary.given / (total + distinct + 1))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            size = [len((t or "").encode()) + 1 for t in texts]
-            n_tokens, n_known, base, nats, ends, rare = [], [], [], [], [0], []
-            for text in texts:
-                words = Counter((text or "").encode().lower().split())
-                words[b""] += 1
-                known = words.keys() & logs.keys()
-                n_tokens.append(words.total())
-                n_known.append(sum(words[t] for t in known) if tokens else 0)
-                base.append(math.fsum(words[t] * logs[t] for t in known))
-                rare += [(WORD, t, words[t]) for t in words.keys() - known]
-                nats.append(spent(text, rare))
-                ends.append(len(rare))
-            kinds, keys, times = zip(*rare, strict=True) if rare else ([], [], [])
-            pairs = pa.StructArray.from_arrays(
-                [pa.array(kinds, pa.int32()), pa.array(keys, pa.binary()), pa.array(times, pa.int64())],
-                ["kind", "token", "n"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(size, pa.int64()),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(nats, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
-                ],
-                ["doc_id", "size", "n_tokens", "n_common", "base_common", "nats_common", "rare"],
+            rows, left, rare = [], [], []
+            for text in batch.column("text").to_pylist():
+                n, base, nats, before, rare_here, left_here = 0, 0.0, 0.0, vocabulary.end, [], []
+                for piece in [*tokens_of(text), None]:
+                    if piece is None:
+                        asked, leaves, some = np.array([before << SHIFT | vocabulary.end]), np.array([vocabulary.end]), []
+                    else:
+                        asked, leaves, some, before = vocabulary.pairs(piece, before)
+                    spoken = leaves[vocabulary.is_word[leaves]]
+                    base += float(logs[spoken].sum())
+                    n += len(spoken)
+                    rare_here += some
+                    at = np.minimum(np.searchsorted(keys, asked), max(0, len(keys) - 1))
+                    hit = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
+                    nats += float(prices[at[hit]].sum(dtype=float)) if hit.any() else 0.0
+                    left_here.append(asked[~hit])
+                rows.append((len((text or "").encode()) + 1, n, base, nats))
+                left.append(np.concatenate(left_here))
+                rare.append(rare_here)
+            spelled = [t for some in rare for t in some]
+            different = list(dict.fromkeys(spelled))
+            spent = np.concatenate([np.zeros(0), *[letters.price(different[a:b]) for a, b in in_bytes(different)]])
+            spent = dict(zip(different, spent.tolist(), strict=True))
+            nats = [r[3] + math.fsum(map(spent.get, some)) for r, some in zip(rows, rare, strict=True)]
+            named = [[t for t in some if not BLANK.match(t)] for some in rare]
+            ends = lambda lists: pa.array(np.r_[0, np.cumsum([len(x) for x in lists])], pa.int32())
+            yield _batch(
+                doc_id=batch.column("doc_id"),
+                size=pa.array([r[0] for r in rows], pa.int64()),
+                n_common=pa.array([r[1] if total else 0 for r in rows], pa.int64()),
+                n_tokens=pa.array([r[1] + len(some) for r, some in zip(rows, named, strict=True)], pa.int64()),
+                base_common=pa.array([r[2] for r in rows], pa.float64()),
+                nats_common=pa.array(nats, pa.float64()),
+                keys=pa.ListArray.from_arrays(ends(left), pa.array(np.concatenate([np.zeros(0, np.int64), *left]), pa.int64())),
+                rare=pa.ListArray.from_arrays(ends(named), pa.array([t for some in named for t in some], pa.binary())),
             )
 
     return score
 
 
-def unseen_prices(entries: DataFrame, model: Model) -> DataFrame:
-    """kind, token, nats of entries that training did not see."""
-    blocks, _ = in_blocks(entries, F.lit(0).cast("long"))
-    asked = blocks.groupBy("block").applyInArrow(_ask(model.paths, model.bucket_bits), ASKED_SQL)
-    met = asked.groupBy("bucket").cogroup(model.predictors.groupBy("bucket"))
-    answers = met.applyInArrow(_answer, ASKED_SQL)
-    met = blocks.groupBy("block").cogroup(answers.groupBy("block"))
-    return met.applyInArrow(_price(model.paths, model.mixer), PRICES_SQL)
-
-
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+    context = docs.sparkSession.sparkContext
+    vocabulary = model.tokens.vocabulary
     cols = only(docs, doc_id=id_col, text=text_col)
     kind = cols.schema["doc_id"].dataType.simpleString()
+    asked = cols.select("text").mapInArrow(_pairs(context.broadcast(vocabulary)), "key long, n long")
+    both = model.pairs.select("key", "n", F.lit(0).cast("long").alias("asked")).unionByName(
+        asked.select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("asked"))
+    )
+    both = both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
+    schema = "key long, asked long, nats float"
+    prices = written(sorted_pairs(both).mapInArrow(_price_tokens(context.broadcast(model.tokens)), schema), "prices")
+    often = least(prices, "asked", PRICED)
+    frequent = prices.where(F.col("asked") >= often).select("key", "nats").toArrow()
+    keys, nats = frequent.column(0).to_numpy(), frequent.column(1).to_numpy()
+    order = np.argsort(keys)
+    shared = (vocabulary, model.letters, keys[order], nats[order], model.total, model.distinct)
     schema = (
-        f"doc_id {kind}, size long, n_tokens long, n_common long, base_common double, nats_common double,"
-        " rare array<struct<kind: int, token: binary, n: long>>"
+        f"doc_id {kind}, size long, n_common long, n_tokens long, base_common double, nats_common double,"
+        " keys array<long>, rare array<binary>"
     )
-    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.costs, model.tokens, model.distinct))
-    scored = cols.mapInArrow(_score(shared), schema).withColumn("row", F.monotonically_increasing_id())
-    scored = written(scored, "scored")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.kind", "r.token", F.col("r.n").alias("in_doc"))
-    entries = rare.where(F.col("kind") >= HEADS).select("kind", "token").distinct()
-    unseen = written(entries.join(model.prices, ["kind", "token"], "left_anti"), "unseen")
-    floor = float(model.tokens + model.distinct + 1)
-    known = words.where(~F.col("token").isin(b"")).select(F.lit(WORD).alias("kind"), "token", "n")
-    known = known.withColumn("nats", F.lit(None).cast("double"))
-    for prices in (model.prices, unseen_prices(unseen, model)):
-        known = known.unionByName(prices.withColumn("n", F.lit(None).cast("long")))
-    count, is_word = F.coalesce("n", F.lit(0)), F.col("kind") == WORD
-    by_row = (
-        rare.join(known, ["kind", "token"], "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(is_word & (count > 0), F.col("in_doc")).otherwise(0)).alias("n_rare"),
-            F.sum(F.when(is_word, F.col("in_doc") * F.log10((count + 1) / F.lit(floor)))).alias("base_rare"),
-            F.sum(F.col("in_doc") * F.col("nats")).alias("nats_rare"),
-        )
+    scored = cols.mapInArrow(_score(context.broadcast(shared)), schema)
+    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    floor = float(model.total + model.distinct + 1)
+    count, zero = F.coalesce("n", F.lit(0)), F.lit(0.0)
+    spelled = scored.select("row", F.explode("rare").alias("token")).join(words, "token", "left")
+    spelled = spelled.groupBy("row").agg(
+        F.sum((count > 0).cast("long")).alias("n_rare"), F.sum(F.log10((count + 1) / F.lit(floor))).alias("base_rare")
     )
-    nats = F.col("nats_common") + F.coalesce("nats_rare", F.lit(0.0))
-    return scored.join(by_row, "row", "left").select(
+    priced = scored.select("row", F.explode("keys").alias("key")).join(prices.where(F.col("asked") < often), "key")
+    priced = priced.groupBy("row").agg(F.sum(F.col("nats").cast("double")).alias("nats_rare"))
+    spent = F.col("nats_common") + F.coalesce("nats_rare", zero)
+    return scored.join(spelled, "row", "left").join(priced, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_common") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"),
-        (-nats / math.log(10)).alias("score"),
-        (nats / math.log(2) / F.col("size")).alias("bits_per_byte"),
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        (F.col("base_common") + F.coalesce("base_rare", zero)).alias("base_score"),
+        (-spent / math.log(10)).alias("score"),
+        (spent / math.log(2) / F.col("size")).alias("bits_per_byte"),
     )

@@ -7,21 +7,38 @@ import numpy as np
 from ofertario.llm import lm
 
 
-def test_lm_has_a_predictor_for_each_context_and_learns_from_every_choice(spark):
+def test_lm_counts_each_pair_and_learns_from_every_choice(spark):
     draw = np.random.default_rng(2)
-    texts = [" ".join(map(str, draw.integers(10**12, size=150))) for _ in range(40)]
-    model, _ = lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    heads, tails = Counter(), Counter()
+    texts = [" ".join(map(str, draw.integers(300, size=150))) + "\n \t" for _ in range(40)]
+    model, words = lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    vocabulary = model.tokens.vocabulary
+    expected: Counter = Counter()
     for text in texts:
-        for part in lm.parts_of(text):
-            some_heads, some_tails = lm.units_of(part)
-            heads.update(some_heads)
-            tails.update(some_tails)
-    block = lm.Block(model.paths, list(heads), list(tails))
-    keys = [k for row in lm.parsed(model.predictors.toArrow()) for k in row[2].tolist()]
-    assert sorted(keys) == block.keys.tolist()
-    new = lm.Block(model.paths, [], [b"zzzzzzzzzzzz"])
-    unit = new.at[2][new.owner == 0]
-    assert (model.tables[1][2].take(new.keys[unit]) == 0).mean() > 0.9
-    times = np.array([*heads.values(), *tails.values()])
-    assert model.mixer.seen.sum() == times[block.owner].sum()
+        found = [t.encode() for t in text.split()] + [b"\n \t"]
+        for before, token in zip([b"", *found], [*found, b""], strict=True):
+            leaf = {**vocabulary.leaf, b"": vocabulary.end}
+            context = leaf.get(before, len(vocabulary.counts) + lm.ending(before))
+            expected[context << lm.SHIFT | leaf.get(token, vocabulary.escape)] += 1
+    assert {r.key: r.n for r in model.pairs.collect()} == expected
+    assert words.agg({"n": "sum"}).first()[0] == 40 * 151
+    choices = sum(n * vocabulary.tree.length[k & ((1 << lm.SHIFT) - 1)] for k, n in expected.items())
+    assert round(model.tokens.mixer.mass.sum()) == choices
+    assert round(model.tokens.mixer.seen.sum()) == choices
+
+
+def test_tokens_give_the_text_back():
+    for text in ("", " ", "a b", " a b ", "a  b\n\nc \t d", "\n", "x " * 10, "é Ü\u3000z"):
+        found = [t for piece in lm.tokens_of(text) for t in piece]
+        back = b""
+        for i, t in enumerate(found):
+            both = i and not lm.BLANK.match(t) and not lm.BLANK.match(found[i - 1])
+            back += b" " + t if both else t
+        assert back == text.encode().lower()
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    text = " ".join(f"w{i}" + "\n  " * (i % 7 == 0) for i in range(2000))
+    whole = [t for piece in lm.tokens_of(text) for t in piece]
+    monkeypatch.setattr(lm, "PART", 100)
+    pieces = list(lm.tokens_of(text))
+    assert len(pieces) > 20 and [t for piece in pieces for t in piece] == whole
