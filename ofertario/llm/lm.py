@@ -24,7 +24,7 @@ weights after each batch; weights of the tasks are averaged by how much they saw
 counts of the map added up. A text's score depends on the text and the model alone.
 
 Scoring prices the different pairs of the texts; at most ``PRICED`` frequent ones are
-broadcast, the others joined. Byte contexts are hashed to 2^20 predictors for each length.
+broadcast, the others joined. Byte contexts are hashed to 2^20 predictors.
 
 The base score is a unigram model with add-one counts over words. Counts of words
 that are not frequent are joined.
@@ -42,6 +42,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import repeat
 
 import numpy as np
@@ -117,8 +118,8 @@ class Tree:
     At depth d the path of leaf r goes through a node with the leaves lo[d, r] to
     hi[d, r]; those from mid[d, r] are behind its branch 1."""
 
-    def __init__(self, weights: np.ndarray):
-        lengths = code_lengths(weights)
+    def __init__(self, lengths: np.ndarray):
+        self.given = lengths
         self.order = np.lexsort((np.arange(len(lengths)), lengths))
         self.length = lengths[self.order]
         self.deep = deep = int(self.length.max(initial=0))
@@ -136,6 +137,9 @@ class Tree:
             self.lo[d], self.hi[d] = starts[run], ends[run]
             self.mid[d] = (starts + zeros)[run]
 
+    def __reduce__(self):
+        return Tree, (self.given,)
+
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((ones + PRIOR) / (zeros + PRIOR))
@@ -206,10 +210,11 @@ class Mixer:
 class Vocabulary:
     """The frequent tokens and the tree over them; END and ESCAPE are leaves, too."""
 
-    def __init__(self, counts: dict[bytes, int], rare: int):
+    def __init__(self, counts: dict[bytes, int], rare: int, tree: Tree | None = None):
+        self.made_of = counts, rare
         names = [b"", None, *sorted(t for t in counts if t)]
         weights = np.array([counts.get(b"", 0) + 1, rare + 1, *[counts[t] for t in names[2:]]], np.int64)
-        self.tree = Tree(weights)
+        self.tree = tree or Tree(code_lengths(weights))
         names = [names[i] for i in self.tree.order]
         self.end, self.escape = names.index(b""), names.index(None)
         self.leaf = {t: i for i, t in enumerate(names) if t}
@@ -220,6 +225,9 @@ class Vocabulary:
         #: The ending of each token before; contexts beyond the leaves are endings.
         self.kind = np.array([*[ending(t or b"") for t in names], *range(CLASSES)], np.int64)
 
+    def __reduce__(self):
+        return Vocabulary, (*self.made_of, self.tree)
+
     def pairs(self, found: list[bytes], before: int) -> tuple[np.ndarray, np.ndarray, list[bytes], int]:
         """Keys of (token before, token), leaves, rare tokens, and the last context."""
         leaves = np.fromiter(map(self.leaf.get, found, repeat(-1)), np.int64, len(found))
@@ -232,20 +240,40 @@ class Vocabulary:
         return keys, leaves, rare, int(contexts[-1]) if len(found) else before
 
 
+def packed(counts: np.ndarray) -> tuple[bytes, str, tuple[int, ...]]:
+    """Counts to be sent: most are small or 0."""
+    return zlib.compress(counts.tobytes(), 1), counts.dtype.str, counts.shape
+
+
+def unpacked(data: bytes, kind: str, shape: tuple[int, ...]) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind).reshape(shape)
+
+
+def _tokens(vocabulary: Vocabulary, by_class, mixer: Mixer) -> Tokens:
+    return Tokens(vocabulary, unpacked(*by_class), mixer)
+
+
+def _letters(tree: Tree, counts, mixer: Mixer) -> Letters:
+    return Letters(tree, unpacked(*counts), mixer)
+
+
 class Tokens:
     """Predictors and mixer of tokens after tokens."""
 
     GATES, LEVELS = 8 * 3 * 4, 8
 
-    def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray, mixer: Mixer | None = None):
+        self.vocabulary, self.by_class = vocabulary, by_class
         tree = vocabulary.tree
         zero = np.zeros((len(by_class), 1), np.int64)
         self.sums = np.c_[zero, np.cumsum(by_class, axis=1)]
         whole = np.r_[0, np.cumsum(by_class.sum(axis=0))]
         zeros, ones = whole[tree.mid] - whole[tree.lo], whole[tree.hi] - whole[tree.mid]
         self.plain = stretched(zeros, ones).astype(np.float32)
-        self.mixer = Mixer(self.GATES, [0.3, 0.2, 0.6], self.LEVELS)
+        self.mixer = mixer or Mixer(self.GATES, [0.3, 0.2, 0.6], self.LEVELS)
+
+    def __reduce__(self):
+        return _tokens, (self.vocabulary, packed(self.by_class), self.mixer)
 
     def steps(self, keys: np.ndarray, seen: np.ndarray, apart: int):
         """Choices of a sorted block of whole contexts, depth by depth: rows, inputs,
@@ -297,13 +325,16 @@ class Letters:
 
     GATES, LEVELS = 4**3 * 3, 12
 
-    def __init__(self, byte_counts: np.ndarray):
-        self.tree = Tree(byte_counts + 1)
+    def __init__(self, tree: Tree, counts: np.ndarray | None = None, mixer: Mixer | None = None):
+        self.tree = tree
         self.leaf = np.argsort(self.tree.order)
         draw = np.random.default_rng(5)
         self.odd = [np.uint64(int(x) * 2 + 1) for x in draw.integers(2**62, size=ORDERS + 1)]
-        self.counts = np.zeros((ORDERS + 1, 2, 1 << SLOT_BITS), np.int32)
-        self.mixer = Mixer(self.GATES, START, self.LEVELS)
+        self.counts = np.zeros((2, 1 << SLOT_BITS), np.int64) if counts is None else counts
+        self.mixer = mixer or Mixer(self.GATES, START, self.LEVELS)
+
+    def __reduce__(self):
+        return _letters, (self.tree, packed(self.counts), self.mixer)
 
     def steps(self, spelled: list[bytes]):
         """Choices depth by depth: the token of each, its slots and bits."""
@@ -338,16 +369,16 @@ class Letters:
 
     def count(self, spelled: list[bytes], into: np.ndarray) -> None:
         for _, _, slots, bit in self.steps(spelled):
-            for k, s in enumerate(slots):
+            for s in slots:
                 for b in (0, 1):
-                    np.add.at(into[k, b], s[bit == b], 1)
+                    np.add.at(into[b], s[bit == b], 1)
 
     def seen(self, d, slots, bit, own):
         """Inputs, gates and levels; ``own`` is taken from each choice's counts."""
         inputs, totals = [], []
-        for k, s in enumerate(slots):
-            zeros = np.maximum(self.counts[k, 0][s] - own * (1 - bit), 0)
-            ones = np.maximum(self.counts[k, 1][s] - own * bit, 0)
+        for s in slots:
+            zeros = np.maximum(self.counts[0][s] - own * (1 - bit), 0)
+            ones = np.maximum(self.counts[1][s] - own * bit, 0)
             inputs.append(stretched(zeros, ones))
             totals.append(zeros + ones)
         levels = [level(totals[k], 6) // 2 for k in GATED]
@@ -488,7 +519,7 @@ def _price_tokens(shared):
 
 def _count_letters(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        into = np.zeros(shared.value.counts.shape, np.int32)
+        into = np.zeros(shared.value.counts.shape, np.int64)
         for batch in batches:
             spelled = batch.column("token").to_pylist()
             for a, b in in_bytes(spelled):
@@ -543,6 +574,14 @@ def least(rows: DataFrame, count: str, most: int) -> int:
     return int(min(lowest, 2**62))
 
 
+@contextmanager
+def shared_out(df: DataFrame, value):
+    """A broadcast that goes as soon as what needs it is written or collected."""
+    out = df.sparkSession.sparkContext.broadcast(value)
+    yield out
+    out.destroy()
+
+
 class Model:
     """What scoring needs. ``pairs`` stay in files; the rest is of bounded size."""
 
@@ -558,7 +597,6 @@ def sorted_pairs(pairs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the counts of all training words (token, n)."""
-    context = docs.sparkSession.sparkContext
     texts = only(docs, text=text_col)
     counted = texts.mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = written(counted, "tokens")
@@ -572,38 +610,37 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     seen = array_of(rare.mapInArrow(_count_bytes, "slot int, n long"), STOP + 1, np.int64)
     vocabulary = Vocabulary(common, rare.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
-    pairs = texts.mapInArrow(_pairs(context.broadcast(vocabulary)), "key long, n long")
-    pairs = written(pairs.groupBy("key").agg(F.sum("n").alias("n")), "pairs")
-    tokens = Tokens(vocabulary, class_counts(pairs, vocabulary))
-    learned = sorted_pairs(pairs).mapInArrow(_learn_tokens(context.broadcast(tokens)), "slot int, value double")
-    tokens.mixer.put(array_of(learned, len(tokens.mixer.state()), float))
-
-    letters = Letters(seen)
-    slots = rare.mapInArrow(_count_letters(context.broadcast(letters)), "slot int, n long")
-    letters.counts = array_of(slots, letters.counts.size, np.int32).reshape(letters.counts.shape)
-    learned = rare.mapInArrow(_learn_letters(context.broadcast(letters)), "slot int, value double")
-    letters.mixer.put(array_of(learned, len(letters.mixer.state()), float))
+    with shared_out(docs, vocabulary) as shared:
+        pairs = texts.mapInArrow(_pairs(shared), "key long, n long")
+        pairs = written(pairs.groupBy("key").agg(F.sum("n").alias("n")), "pairs")
+        tokens = Tokens(vocabulary, class_counts(pairs, vocabulary, shared))
+    with shared_out(docs, tokens) as shared:
+        learned = sorted_pairs(pairs).mapInArrow(_learn_tokens(shared), "slot int, value double")
+        tokens.mixer.put(array_of(learned, len(tokens.mixer.state()), float))
+
+    letters = Letters(Tree(code_lengths(seen + 1)))
+    with shared_out(docs, letters) as shared:
+        slots = rare.mapInArrow(_count_letters(shared), "slot int, n long")
+        letters.counts = array_of(slots, letters.counts.size, np.int64).reshape(letters.counts.shape)
+    with shared_out(docs, letters) as shared:
+        learned = rare.mapInArrow(_learn_letters(shared), "slot int, value double")
+        letters.mixer.put(array_of(learned, len(letters.mixer.state()), float))
     return Model(tokens, letters, pairs, int(total), int(distinct)), words
 
 
-def class_counts(pairs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+def class_counts(pairs: DataFrame, vocabulary: Vocabulary, shared) -> np.ndarray:
     """Counts of tokens after each ending."""
     leaves = len(vocabulary.counts)
 
-    def add(shared):
-        def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            into = np.zeros(CLASSES * leaves, np.int64)
-            for batch in batches:
-                keys, n = (c.to_numpy() for c in batch.columns)
-                at = shared.value.kind[keys >> SHIFT] * leaves + (keys & ((1 << SHIFT) - 1))
-                np.add.at(into, at, n)
-            at = np.flatnonzero(into)
-            yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(into[at], pa.int64()))
-
-        return by_class
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        into = np.zeros(CLASSES * leaves, np.int64)
+        for batch in batches:
+            keys, n = (c.to_numpy() for c in batch.columns)
+            np.add.at(into, shared.value.kind[keys >> SHIFT] * leaves + (keys & ((1 << SHIFT) - 1)), n)
+        at = np.flatnonzero(into)
+        yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(into[at], pa.int64()))
 
-    shared = pairs.sparkSession.sparkContext.broadcast(vocabulary)
-    found = pairs.mapInArrow(add(shared), "slot int, n long")
+    found = pairs.mapInArrow(add, "slot int, n long")
     return array_of(found, CLASSES * leaves, np.int64).reshape(CLASSES, leaves)
 
 
@@ -652,30 +689,35 @@ def _score(shared):
     return score
 
 
+def _prices(texts: DataFrame, model: Model, known, shared) -> DataFrame:
+    """key, asked, nats of the different pairs of all texts."""
+    asked = texts.select("text").mapInArrow(_pairs(known), "key long, n long")
+    both = model.pairs.select("key", "n", F.lit(0).cast("long").alias("asked")).unionByName(
+        asked.select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("asked"))
+    )
+    both = both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
+    priced = sorted_pairs(both).mapInArrow(_price_tokens(shared), "key long, asked long, nats float")
+    return written(priced, "prices")
+
+
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
-    context = docs.sparkSession.sparkContext
     vocabulary = model.tokens.vocabulary
     cols = only(docs, doc_id=id_col, text=text_col)
     kind = cols.schema["doc_id"].dataType.simpleString()
-    asked = cols.select("text").mapInArrow(_pairs(context.broadcast(vocabulary)), "key long, n long")
-    both = model.pairs.select("key", "n", F.lit(0).cast("long").alias("asked")).unionByName(
-        asked.select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("asked"))
-    )
-    both = both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked"))
-    schema = "key long, asked long, nats float"
-    prices = written(sorted_pairs(both).mapInArrow(_price_tokens(context.broadcast(model.tokens)), schema), "prices")
+    with shared_out(docs, vocabulary) as known, shared_out(docs, model.tokens) as shared:
+        prices = _prices(cols, model, known, shared)
     often = least(prices, "asked", PRICED)
     frequent = prices.where(F.col("asked") >= often).select("key", "nats").toArrow()
     keys, nats = frequent.column(0).to_numpy(), frequent.column(1).to_numpy()
     order = np.argsort(keys)
-    shared = (vocabulary, model.letters, keys[order], nats[order], model.total, model.distinct)
     schema = (
         f"doc_id {kind}, size long, n_common long, n_tokens long, base_common double, nats_common double,"
         " keys array<long>, rare array<binary>"
     )
-    scored = cols.mapInArrow(_score(context.broadcast(shared)), schema)
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    with shared_out(docs, (vocabulary, model.letters, keys[order], nats[order], model.total, model.distinct)) as shared:
+        scored = cols.mapInArrow(_score(shared), schema)
+        scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     floor = float(model.total + model.distinct + 1)
     count, zero = F.coalesce("n", F.lit(0)), F.lit(0.0)
     spelled = scored.select("row", F.explode("rare").alias("token")).join(words, "token", "left")
