@@ -142,11 +142,12 @@ class Tree:
 
 
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return np.log((ones + PRIOR) / (zeros + PRIOR))
+    up, down = ones.astype(np.float32), zeros.astype(np.float32)
+    return np.log((up + np.float32(PRIOR)) / (down + np.float32(PRIOR)))
 
 
 def level(n: np.ndarray, most: int) -> np.ndarray:
-    return np.minimum(np.frexp(np.maximum(n, 0).astype(float))[1], most)
+    return np.minimum(np.frexp(n.astype(np.float32))[1], most)
 
 
 class Mixer:
@@ -160,12 +161,13 @@ class Mixer:
 
     @staticmethod
     def bins(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = (np.clip(total, -8, 7.999) + 8) * ((MAP_STEPS - 1) / 16)
-        low = at.astype(np.int64)
+        at = (np.minimum(np.maximum(total, -8), 7.999) + 8) * ((MAP_STEPS - 1) / 16)
+        low = at.astype(np.int32)
         return low, at - low
 
     def sums(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ki,ik->i", inputs, self.weights[gate]), -20, 20)
+        total = sum(x * w.take(gate) for x, w in zip(inputs, self.weights.T.astype(np.float32), strict=True))
+        return np.minimum(np.maximum(total, -20), 20)
 
     def learn(self, inputs, gate, lev, bit, times) -> None:
         """One mini-batch: predicted first, then learned from."""
@@ -187,13 +189,15 @@ class Mixer:
     def cost(self, inputs, gate, lev, bit) -> np.ndarray:
         """Nats of choices."""
         total = self.sums(inputs, gate)
-        p = 1 / (1 + np.exp(-total))
+        toward = np.where(bit == 1, total, -total).astype(float)
+        p = 1 / (1 + np.exp(-toward))
         centre = 1 / (1 + np.exp(8 - np.arange(MAP_STEPS) * (16 / (MAP_STEPS - 1))))
-        refined = (self.seen[..., 1] + 20 * centre) / (self.seen.sum(axis=2) + 20)
+        refined = ((self.seen[..., 1] + 20 * centre) / (self.seen.sum(axis=2) + 20)).ravel()
         low, part = self.bins(total)
-        p = 0.5 * p + 0.5 * (refined[lev, low] * (1 - part) + refined[lev, low + 1] * part)
-        p = np.clip(p, 1e-9, 1 - 1e-9)
-        return -np.log(np.where(bit == 1, p, 1 - p))
+        at = lev * MAP_STEPS + low
+        mapped = refined.take(at) * (1 - part) + refined.take(at + 1) * part
+        p = 0.5 * p + 0.5 * np.where(bit == 1, mapped, 1 - mapped)
+        return -np.log(np.maximum(p, 1e-7))
 
     def state(self) -> np.ndarray:
         return np.concatenate([(self.weights * self.mass[:, None]).ravel(), self.mass, self.seen.ravel()])
@@ -284,30 +288,36 @@ class Tokens:
         differ = np.frexp((code[1:] ^ code[:-1]).astype(float))[1]
         shared = np.r_[-1, np.where(context[1:] == context[:-1], tree.deep - differ, -1)]
         rows = np.arange(len(keys))
+        leaf, held = leaf.astype(np.int32), (leaf, seen, kind * self.sums.shape[1], shared)
+        sums, length = self.sums.ravel(), tree.length
         for d in range(tree.deep):
-            rows = rows[tree.length[leaf[rows]] > d]
+            more = np.flatnonzero(length.take(held[0]) > d)
+            if len(more) < len(rows):
+                rows, held = rows.take(more), tuple(x.take(more) for x in held)
             if not len(rows):
                 return
-            at, n = leaf[rows], seen[rows]
-            lo, mid, hi = tree.lo[d, at], tree.mid[d, at], tree.hi[d, at]
-            bit = (at >= mid).astype(np.int64)
-            first = shared[rows] < d
+            at, n, row, alike = held
+            mid = tree.mid[d].take(at)
+            bit = (at >= mid).astype(np.int32)
+            first = alike < d
             starts, run = np.flatnonzero(first), np.cumsum(first) - 1
-            both = np.add.reduceat(n, starts)[run]
-            ones = np.add.reduceat(n * bit, starts)[run]
-            own = np.minimum(apart, n)
-            up, down = own * bit, own * (1 - bit)
-            k = kind[rows]
-            middle = self.sums[k, mid]
-            class_zeros = np.maximum(middle - self.sums[k, lo] - down, 0)
-            class_ones = np.maximum(self.sums[k, hi] - middle - up, 0)
-            inputs = np.stack(
-                [self.plain[d, at], stretched(class_zeros, class_ones), stretched(both - ones - down, ones - up)]
-            )
-            lev = level(both - own, 7)
-            sure = (ones - up == 0) | (both - ones - down == 0)
-            gate = (lev * 3 + np.where(sure, 2, np.abs(inputs[2]) > 2)) * 4 + min(d // 4, 3)
-            yield rows, inputs, gate, lev, bit
+            up = np.where(bit == 1, n, 0)
+            ones = np.add.reduceat(up, starts).take(run)
+            zeros = np.add.reduceat(n - up, starts).take(run)
+            middle = sums.take(row + mid)
+            class_zeros = middle - sums.take(row + tree.lo[d].take(at))
+            class_ones = sums.take(row + tree.hi[d].take(at)) - middle
+            if apart:
+                own = np.minimum(n, apart)
+                own_up = own * bit
+                own_down = own - own_up
+                ones, zeros = ones - own_up, zeros - own_down
+                class_ones, class_zeros = class_ones - own_up, class_zeros - own_down
+            last = stretched(zeros, ones)
+            inputs = (self.plain[d].take(at), stretched(class_zeros, class_ones), last)
+            lev = level(zeros + ones, 7)
+            sure = np.where((ones == 0) | (zeros == 0), 2, np.abs(last) > 2)
+            yield rows, inputs, (lev * 3 + sure) * 4 + min(d // 4, 3), lev, bit
 
     def learn(self, keys: np.ndarray, seen: np.ndarray) -> None:
         for rows, inputs, gate, lev, bit in self.steps(keys, seen, 1):
@@ -331,6 +341,7 @@ class Letters:
         draw = np.random.default_rng(5)
         self.odd = [np.uint64(int(x) * 2 + 1) for x in draw.integers(2**62, size=ORDERS + 1)]
         self.counts = np.zeros((2, 1 << SLOT_BITS), np.int64) if counts is None else counts
+        self.both = None
         self.mixer = mixer or Mixer(self.GATES, START, self.LEVELS)
 
     def __reduce__(self):
@@ -361,11 +372,12 @@ class Letters:
             if not len(rows):
                 return
             at = leaf[rows]
-            node = (self.tree.lo[d, at].astype(np.uint64) << np.uint64(10)) + self.tree.hi[d, at].astype(np.uint64)
+            nodes = (self.tree.lo[d].astype(np.uint64) << np.uint64(10)) + self.tree.hi[d].astype(np.uint64)
+            node = nodes.take(at)
             slots = [
                 (((x[rows] + node) * self.odd[0]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64) for x in hashes
             ]
-            yield d, owner[rows], slots, (at >= self.tree.mid[d, at]).astype(np.int64)
+            yield d, owner[rows], slots, (at >= self.tree.mid[d].take(at)).astype(np.int32)
 
     def count(self, spelled: list[bytes], into: np.ndarray) -> None:
         for _, _, slots, bit in self.steps(spelled):
@@ -375,15 +387,20 @@ class Letters:
 
     def seen(self, d, slots, bit, own):
         """Inputs, gates and levels; ``own`` is taken from each choice's counts."""
+        if self.both is None:
+            # Both counts of a slot side by side.
+            self.both = (self.counts[0] + 1j * self.counts[1]).astype(np.complex64)
         inputs, totals = [], []
         for s in slots:
-            zeros = np.maximum(self.counts[0][s] - own * (1 - bit), 0)
-            ones = np.maximum(self.counts[1][s] - own * bit, 0)
+            found = self.both.take(s)
+            zeros, ones = found.real, found.imag
+            if own is not None:
+                zeros, ones = np.maximum(zeros - own * (1 - bit), 0), np.maximum(ones - own * bit, 0)
             inputs.append(stretched(zeros, ones))
             totals.append(zeros + ones)
         levels = [level(totals[k], 6) // 2 for k in GATED]
         gate = ((levels[2] * 4 + levels[1]) * 4 + levels[0]) * 3 + min(d // 2, 2)
-        return np.stack(inputs), gate, levels[2] * 3 + min(d // 2, 2)
+        return inputs, gate, levels[2] * 3 + min(d // 2, 2)
 
     def learn(self, spelled: list[bytes], times: np.ndarray) -> None:
         for d, owner, slots, bit in self.steps(spelled):
@@ -394,7 +411,7 @@ class Letters:
     def price(self, spelled: list[bytes]) -> np.ndarray:
         nats = np.zeros(len(spelled))
         for d, owner, slots, bit in self.steps(spelled):
-            inputs, gate, lev = self.seen(d, slots, bit, 0)
+            inputs, gate, lev = self.seen(d, slots, bit, None)
             nats += np.bincount(owner, self.mixer.cost(inputs, gate, lev, bit), len(nats))
         return nats
 

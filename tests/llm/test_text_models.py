@@ -214,7 +214,7 @@ def stops_of(letters, spelled):
         last = np.r_[owner[1:] != owner[:-1], True]
         deep = letters.tree.length[letters.leaf[lm.STOP]]
         if d < deep:
-            inputs, gate, lev = letters.seen(d, slots, bit, 0)
+            inputs, gate, lev = letters.seen(d, slots, bit, None)
             out[owner[last]] += letters.mixer.cost(inputs, gate, lev, bit)[last]
     return out
 
