@@ -16,9 +16,11 @@ Each document belongs to the Voronoi region of its nearest pivot and is replicat
 the region of any pivot that is at most twice the reach farther: by the triangle
 inequality no link is lost. Regions recurse until they no longer shrink; there the
 documents outside the largest component are compared, by their rarest shingles, with
-those whose distances to all pivots lie within reach of theirs. 4. Groups too large for
-a task are cut into blocks; blocks of documents outside the largest component meet every
-block once.
+those whose distances to all pivots lie within reach of theirs. 4. In groups too large
+for a task, documents of which too few shingles occur in any other document there can link
+with nothing and leave; the others are grouped anew by the fragments they share. Groups
+that are too large then, too, are cut into blocks; blocks of documents outside the
+largest component meet every block once.
 
 Defined results: null and empty texts have no shingles and link with nothing; texts of
 fewer words than a shingle are one shingle; rows that repeat a doc_id, with any texts, are
@@ -310,6 +312,103 @@ def _join_blocks(percent: int):
     return join
 
 
+PIECES = "range long, id long, several boolean, shared long, piece binary"
+
+
+def _pieces(ranges: int, chunk: int):
+    """Sets cut by hash range, a chunk of them at a time.
+
+    What several sets of a chunk hold is counted at once and goes on once, for no set, so
+    that a shingle of all documents makes one entry a chunk.
+    """
+
+    def cut(ids: list, found: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = [len(x) for x in found]
+        flat, owner = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        times = np.diff(np.r_[starts, len(flat)])
+        many = np.repeat(times > 1, times)
+        shared = np.bincount(owner[many], minlength=len(found))
+        # One entry for each shingle: its only owner, or no one's.
+        flat, owner = flat[starts], np.where(times > 1, -1, owner[starts])
+        of = (((flat >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((owner, of))
+        flat, owner, of = flat[order], owner[order], of[order]
+        starts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (owner[1:] != owner[:-1])])
+        ends = np.r_[starts[1:], len(flat)]
+        columns = [
+            [*of[starts].tolist(), *[i % ranges for i in ids]],
+            [*[0 if o < 0 else ids[o] for o in owner[starts]], *ids],
+            [*(owner[starts] < 0).tolist(), *[False] * len(ids)],
+            [*[0] * len(starts), *shared.tolist()],
+            [*[flat[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], *[b""] * len(ids)],
+        ]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["range", "id", "several", "shared", "piece"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, found, held = [], [], 0
+        for batch in batches:
+            for name, blob in zip(batch.column("id").to_pylist(), batch.column("found").to_pylist(), strict=True):
+                ids.append(name)
+                found.append(np.frombuffer(blob, np.uint64))
+                held += len(found[-1])
+                if held >= chunk:
+                    yield cut(ids, found)
+                    ids, found, held = [], [], 0
+        if ids:
+            yield cut(ids, found)
+
+    return pieces
+
+
+def _count_shared(pieces: pd.DataFrame) -> pd.DataFrame:
+    """How many shingles of a range each set shares with others."""
+    parts = [np.frombuffer(b, np.uint64) for b in pieces["piece"]]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    flat = np.concatenate(parts)
+    _, shingle = np.unique(flat, return_inverse=True)
+    # An entry for no set stands for two of them at least.
+    weight = np.repeat(np.where(pieces["several"], 2, 1), sizes)
+    many = np.bincount(shingle, weights=weight)[shingle] > 1 if len(flat) else np.zeros(0, bool)
+    shared = np.bincount(np.repeat(np.arange(len(parts)), sizes), weights=many, minlength=len(parts))
+    out = pd.DataFrame({"id": pieces["id"], "shared": pieces["shared"] + shared.astype(np.int64)})
+    return out[~pieces["several"]]
+
+
+def _regrouped(
+    sets: DataFrame, hot: DataFrame, keys: DataFrame, sized: DataFrame, percent: int, task_shingles: int
+) -> tuple[DataFrame, DataFrame]:
+    """(id, size, gid): the documents of groups too large for a task that may link at all, in
+    groups of their own; and (one, fragment), their fragments that two of them share.
+
+    Linked sets hold ``percent`` of their shingles in common, so a set of which fewer occur
+    in another set links with nothing, and chains no others.
+    """
+    inside = sets.join(hot.select("gid"), "gid", "left_semi").select("id", "found")
+    total = hot.agg(F.sum("blocks")).first()[0]
+    pieces = inside.mapInArrow(_pieces(total, task_shingles // 2), PIECES)
+    counted = pieces.groupBy("range").applyInPandas(_count_shared, "id long, shared long")
+    counted = written(counted, "shared-counts").groupBy("id").agg(F.sum("shared").alias("shared"))
+    left = sized.select("id", "size").join(counted, "id").where(F.col("shared") * 100 >= F.col("size") * percent)
+    left = written(left.select("id", "size"), "sharing")
+    own = written(keys.join(left.select(F.col("id").alias("one")), "one", "left_semi"), "sharing-keys")
+    heads = own.groupBy("fragment").agg(F.min("one").alias("head"), F.count("*").alias("docs"))
+    own = written(own.join(heads.where("docs > 1").drop("docs"), "fragment"), "sharing-heads")
+    edges = own.where("one <> head").select(F.col("one").alias("a"), F.col("head").alias("b")).distinct()
+    groups = components(written(edges, "sharing-edges")).withColumnRenamed("component", "gid")
+    return written(left.join(groups, "id"), "regrouped"), own.select("one", "fragment")
+
+
+def _too_large(sized: DataFrame, task_shingles: int) -> DataFrame:
+    """(gid, blocks) of the groups (id, size, gid) that are too large for a task."""
+    totals = sized.groupBy("gid").agg(F.sum("size").alias("total")).where(F.col("total") > task_shingles)
+    return written(totals.select("gid", F.ceil(F.col("total") * 2 / task_shingles).cast("long").alias("blocks")), "hot-groups")
+
+
 def _hot_links(sets: DataFrame, hot: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
     """Links of groups that are too large for a task.
 
@@ -395,21 +494,23 @@ def _linked(cols: DataFrame, words: int, percent: int, task_shingles: int, spare
     stars = to_least.unionByName(between).distinct()
     groups = written(components(stars).withColumnRenamed("component", "gid"), "groups")
     sized = classes.select("id", "size", "doc").join(groups, "id")
-    totals = written(sized.groupBy("gid").agg(F.sum("size").alias("total")), "totals")
-    hot = totals.where(F.col("total") > task_shingles)
-    blocks = F.ceil(F.col("total") * 2 / task_shingles).cast("long")
-    hot = written(hot.select("gid", blocks.alias("blocks")), "hot-groups")
+    hot = _too_large(sized, task_shingles)
     # Texts are long: neither side is broadcast at one size and shuffled at another, nor
     # are texts sorted.
     wanted = sized.select(F.col("doc").alias("doc_id"), F.col("id").alias("one"), "gid").hint("shuffle_hash")
     texts = cols.select("doc_id", "text").join(wanted, "doc_id")
     sets = texts.select("one", "gid", "text").mapInArrow(_sets(words), "id long, gid long, found binary")
     sets = written(sets, "sets")
-    cold = sets.join(hot, "gid", "left_anti")
-    links = cold.groupBy("gid").applyInPandas(_join_group(percent), EDGES)
-    links = written(links, "links")
+    in_groups = lambda few: few.groupBy("gid").applyInPandas(_join_group(percent), EDGES)
+    links = written(in_groups(sets.join(hot, "gid", "left_anti")), "links")
     if not hot.isEmpty():
-        links = links.unionByName(_hot_links(sets, hot, keys, percent))
+        regrouped, keys = _regrouped(sets, hot, keys, sized, percent, task_shingles)
+        release(cols.sparkSession)
+        hot = _too_large(regrouped, task_shingles)
+        sets = sets.drop("gid").join(regrouped.select("id", "gid"), "id")
+        links = links.unionByName(written(in_groups(sets.join(hot, "gid", "left_anti")), "regrouped-links"))
+        if not hot.isEmpty():
+            links = links.unionByName(_hot_links(sets, hot, keys, percent))
     found = components(links).withColumnRenamed("id", "__id")
     named = classes.select("id", "doc").join(found, F.col("id") == F.col("__id"), "left")
     named = named.select("id", "doc", F.coalesce("component", "id").alias("component"))
