@@ -11,9 +11,9 @@ them.
 Weights maximise the likelihood (forward and backward sums over all segmentations) of
 at most ``max_zones`` different zones of all texts: for each labelled kind a tenth of that
 number, those of the smallest text hash, and half of it without labels. Labels are the
-base spans and quoted secrets after a cue; each zone is learned a second time with
-its surface changed (no plus sign and country, at-sign written out) under the same
-labels, so that such writings are found too.
+base spans and quoted secrets after a cue; each zone is learned again with its surface
+changed in several ways (numbers in national forms, at-sign and dots written out) under
+the same labels, so that such writings are found too.
 
 Defined results: null is empty and has no spans; rows that repeat a doc_id are
 documents of their own; an empty table gives no rows and learns nothing.
@@ -44,8 +44,14 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 SECRET = re.compile(r"(?i)\b(?:token|password|passwd|secret|api[_-]?key)\s*[=:]\s*[\"']?([0-9A-Za-z+/_-]{16,})")
-TOKEN = re.compile(r"[^\W_]+|\s+|.", re.S)
-TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]")
+#: An at-sign or dot written out is one token, a space on either side included.
+AT, DOT = re.compile(r"\s?[\[(]at[\])]\s?"), re.compile(r"\s?[\[(]dot[\])]\s?")
+TOKEN = re.compile(r"\s?[\[(](?:at|dot)[\])]\s?|[^\W_]+|\s+|.", re.S)
+TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
+#: What follows where an address could be longer.
+GOES_ON = re.compile(r"\s?[\[(]dot[\])]\s?[A-Za-z0-9]|\.?[A-Za-z0-9-]")
+RUN = re.compile(r"[^\W_]*")
+NATIONAL = re.compile(r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}")
 #: Words that announce a kind.
 CUES = {
     **dict.fromkeys(["mail", "email"], 1),
@@ -55,9 +61,9 @@ CUES = {
     **dict.fromkeys(["token", "password", "passwd", "secret", "key"], 5),
 }
 #: Tokens of the longest segment.
-LONGEST = 16
+LONGEST = 24
 #: Numbers of values of each feature, in the order of ``features``.
-WIDTHS = [21, 3, 3, 4, 6, 18, 16, 8, 6, LONGEST + 1, 3]
+WIDTHS = [21, 3, 3, 4, 7, 18, 16, 8, 6, LONGEST + 1, 4]
 OFFSETS = np.r_[0, np.cumsum(WIDTHS)[:-1]]
 SIZE = int(np.sum(WIDTHS))
 
@@ -112,14 +118,18 @@ def zones(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of text around triggers, wide enough for any segment with one."""
     start = end = None
     for m in TRIGGER.finditer(text):
+        if end is not None and m.end() + 40 <= end:
+            continue
+        # A zone ends where a word does.
+        after = RUN.match(text, min(len(text), m.end() + 40)).end()
         if end is not None and m.start() <= end:
-            end = max(end, m.end() + 40)
+            end = after
             continue
         if end is not None:
-            yield max(0, start), min(len(text), end)
-        start, end = m.start() - 60 if end is None else max(end, m.start() - 60), m.end() + 40
+            yield max(0, start), end
+        start, end = m.start() - 60 if end is None else max(end, m.start() - 60), after
     if end is not None:
-        yield max(0, start), min(len(text), end)
+        yield max(0, start), end
 
 
 def features(s: str, tokens: int, left: str, right: str, cue: int) -> list[int]:
@@ -137,15 +147,20 @@ def features(s: str, tokens: int, left: str, right: str, cue: int) -> list[int]:
     phone = 0
     if not set(s) - set("+ ().0123456789-"):
         phone = 1 + 2 * (s[0] == "+") + (9 <= digits <= 15) + (digits == 10 and s[0] != "+") * 4
-        phone = min(phone, 5)
+        phone = 6 if NATIONAL.fullmatch(s) else min(phone, 5)
     first = 0 if s[0].isdigit() else 1 if s[0].isalpha() else 2 if s[0] == "+" else 3 if s[0] == "(" else 4
     last = 0 if s[-1].isdigit() else 1 if s[-1].isalpha() else 2
     side = lambda c: 0 if not c else 1 if c.isspace() else 2 if c.isalnum() else 3
     code = 0
     if plain.isalnum() and plain.isascii() and tokens == 1:
         code = 1 + (len(s) >= 16) + (len(s) >= 32) + 3 * (0 < digits < len(s))
-    spelled = (1 + bool(re.search(r"[\[(](?:dot|punto)[\])]|\.", s))) if re.search(r"[\[(]at[\])]", s) else 0
-    values = [min(digits, 20), mail, ip, card, phone, first * 3 + last, side(left) * 4 + side(right), code, cue, tokens, spelled]
+    spelled = 0
+    if AT.search(s):
+        local, _, domain = DOT.sub(".", AT.sub("@", s)).partition("@")
+        spelled = 1
+        if LOCAL.fullmatch(local) and DOMAIN.fullmatch(domain):
+            spelled = 2 if left and LOCAL.match(left) or GOES_ON.match(right) else 3
+    values = [min(digits, 20), mail, ip, card, phone, first * 3 + last, side(left) * 4 + side(right[:1]), code, cue, tokens, spelled]
     return (OFFSETS + values).tolist()
 
 
@@ -176,7 +191,7 @@ class Zone:
                 if space[j - 1] or many[j] == many[i]:
                     continue
                 a, b = found[i][0], found[j - 1][1]
-                rows.append(features(text[a:b], j - i, text[a - 1 : a], text[b : b + 1], cues[i]))
+                rows.append(features(text[a:b], j - i, text[a - 1 : a], text[b : b + 8], cues[i]))
                 self.segments.append((i, j))
         self.rows = np.array(rows, np.int64).reshape(-1, len(WIDTHS))
         self.by_end: list[list[int]] = [[] for _ in range(len(found) + 1)]
@@ -248,20 +263,37 @@ def labelled(text: str) -> list[Span]:
     return [s for s in spans if not (s[0] == "secret" and any(a < s[2] and s[1] < b for k, a, b in spans if k != "secret"))]
 
 
-def changed(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+def rewritten(kind: str, s: str, way: int) -> str:
+    """A span in another writing, of ``WAYS``."""
+    if kind == "email":
+        at, dot = [("[at]", "[dot]"), ("(at)", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) ")][way % 4]
+        local, _, domain = s.partition("@")
+        if way in (1, 2, 4):
+            # Names of letters, and two labels of the domain.
+            local = re.sub("[0-9]+", "", local).strip(".") or "name"
+            domain = ".".join(domain.split(".")[-2:])
+        return local + at + domain.replace(".", dot)
+    digits = "".join(c for c in s if c.isdigit())
+    if kind == "phone" and len(digits) >= 10:
+        a, b, c = digits[-10:-7], digits[-7:-4], digits[-4:]
+        return [re.sub(r"^\+[0-9]{1,3}[ .-]?", "", s), f"{a}-{b}-{c}", f"{a} {b} {c}", f"({a}) {b}-{c}", f"{a}.{b}.{c}"][way]
+    return s
+
+
+WAYS = 5
+
+
+def changed(text: str, spans: list[Span], way: int) -> tuple[str, list[Span]]:
     """The same zone written otherwise."""
     out, at, moved = "", 0, []
     for kind, a, b in sorted(spans, key=lambda s: s[1]):
         if a < at:
             continue
-        s = text[a:b]
-        if kind == "phone":
-            s = re.sub(r"^\+[0-9]{1,3}[ .-]?", "", s) if len(re.findall("[0-9]", s)) > 9 else s
-        elif kind == "email":
-            s = s.replace("@", "[at]").replace(".", "[dot]") if len(s) % 2 else s.replace("@", "(at)")
+        s = rewritten(kind, text[a:b], way)
         out += text[at:a]
         moved.append((kind, len(out), len(out) + len(s)))
-        out, at = out + s, b
+        # Some end their sentence.
+        out, at = out + s + ("." if way % 3 == 1 and text[b : b + 1].isspace() else ""), b
     return out + text[at:], moved
 
 
@@ -315,9 +347,14 @@ def train(docs: DataFrame, max_zones: int = 240, rounds: int = 6, text_col: str
     cases = []
     for zone in sample:
         spans = labelled(zone)
-        for text, own in ((zone, spans), changed(zone, spans)) if spans else ((zone, spans),):
+        ways = WAYS if {"email", "phone"} & {k for k, _, _ in spans} else min(1, len(spans))
+        for text, own in [(zone, spans), *[changed(zone, spans, way) for way in range(ways)]]:
             gold = {(a, b): KINDS.index(k) for k, a, b in own}
             cases.append((Zone(text, 0, len(text)), gold))
+        for kind, a, b in spans if ways > 1 else []:
+            # A text may hold nothing else.
+            alone = rewritten(kind, zone[a:b], WAYS - 1)
+            cases.append((Zone(alone, 0, len(alone)), {(0, len(alone)): KINDS.index(kind)}))
     for _ in range(rounds):
         for zone, gold in cases:
             step = zone.gradient(weights, gold) - 0.002 * weights
