@@ -30,19 +30,35 @@ def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
 _PLAIN, _LONGER = _plain_letters()
 
 
+def _ranges(chars) -> str:
+    """Characters as the inside of a pattern's class, neighbours as one range."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in spans)
+
+
+# Beyond ASCII first: the many ranges are then tried for few characters only.
+_USELESS = rf"[\x{{80}}-\x{{10ffff}}&&[^{_ranges(_LONGER)}]]+"
+
+
 def plain_key(name) -> Column:
     """Letters and digits only, lower case, without accents; '' for NULL.
 
-    Characters that give several letters are rare: only a text that has one is
-    taken apart character by character.
+    Everything that gives no letter leaves first. A text that still has characters beyond
+    ASCII is cut into these and the runs between, so only they are looked up.
     """
     name = F.col(name) if isinstance(name, str) else name
     low = F.translate(F.lower(trim_ws(name)), "".join(_PLAIN), "".join(_PLAIN.values()))
+    kept = F.regexp_replace(F.regexp_replace(low, r"[\x00-\x7f&&[^a-z0-9]]+", ""), _USELESS, "")
     longer = F.from_json(F.lit(json.dumps(_LONGER)), "map<string, string>")
-    each = F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(longer, c), c))
-    has_longer = low.rlike("[" + "".join(_LONGER) + "]")
-    letters = F.when(has_longer, F.array_join(each, "")).otherwise(low)
-    return F.coalesce(F.regexp_replace(letters, "[^a-z0-9]", ""), F.lit(""))
+    cut = F.regexp_extract_all(kept, F.lit(r"[\x00-\x7f]+|[^\x00-\x7f]"), F.lit(0))
+    each = F.transform(cut, lambda c: F.when(c.rlike("^[a-z0-9]"), c).otherwise(F.try_element_at(longer, c)))
+    letters = F.when(kept.rlike(r"[^\x00-\x7f]"), F.array_join(each, "")).otherwise(kept)
+    return F.coalesce(letters, F.lit(""))
 
 
 def icon_lookup(icons: DataFrame, position: str = "position") -> DataFrame:
