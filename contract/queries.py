@@ -540,7 +540,7 @@ def n1_lookup_chain(spark, sf):
     ).select("c_custkey", "category")
 
 
-def _joined_entries(column: str) -> Column:
+def _joined_entries(column: str | Column) -> Column:
     return F.array_join(
         F.transform(column, lambda e: F.concat_ws(":", F.coalesce(e["a"], F.lit("?")), F.coalesce(e["b"], F.lit("?")))),
         ",",
@@ -625,9 +625,10 @@ def n2_map_elements_sizes(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.array(key, key + 1, F.lit(7)).alias("ks"))
 
     def mapped(dim):
-        names = ["a", "b"]
-        df = mapping.map_elements(orders, "m", "ks", lambda k: [k], dim, ["k"], ["p_brand", "p_name"], names)
-        return df.select("o_orderkey", _joined_entries("m").alias("entries"))
+        df = mapping.map_elements(
+            orders, "entries", "ks", lambda k: [k], dim, ["k"], ["p_brand", "p_name"], ["a", "b"], shown=_joined_entries
+        )
+        return df.select("o_orderkey", "entries")
 
     return _sizes(spark, sf, mapped)
 
@@ -636,9 +637,10 @@ def n3_map_value_sizes(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 40).alias("k"))
 
     def mapped(dim):
-        names = ["a", "b"]
-        df = mapping.map_value(orders, "m", [F.col("k")], dim, ["k"], ["p_brand", "p_name"], names)
-        return df.select("o_orderkey", _joined_entries("m").alias("entries"))
+        df = mapping.map_value(
+            orders, "entries", [F.col("k")], dim, ["k"], ["p_brand", "p_name"], ["a", "b"], shown=_joined_entries
+        )
+        return df.select("o_orderkey", "entries")
 
     return _sizes(spark, sf, mapped)
 

@@ -84,25 +84,36 @@ def map_value(
     keys: list[str],
     values: list[str],
     names: list[str],
+    shown: Callable[[Column], Column] = lambda entries: entries,
 ) -> DataFrame:
-    """``target``: all dimension entries of one key per row, ``[]`` for none."""
+    """``target``: all dimension entries of one key per row, ``[]`` for none.
+
+    ``shown`` gives what a row gets of its entries, as their text; with a large dimension
+    it is made once a key and not once a row.
+    """
     rows = _as_rows(dim, keys + values)
     empty = F.array().cast(f"array<{_entry_type(names)}>")
     if rows is not None:
         found = F.try_element_at(literal_map(rows, len(keys), names), _key(parts))
-        return df.withColumn(target, F.coalesce(found, empty))
+        return df.withColumn(target, shown(F.coalesce(found, empty)))
     on = [f"_key{i}" for i in range(len(parts))]
     # Written, so that both sides of the join are plain and a hot key can be split.
     matches = written(
         _keyed_entries(_as_frame(dim, keys + values, df), keys, values, names)
         .dropna(subset=on)
         .groupBy(*on)
-        .agg(F.array_sort(F.collect_list("_entry")).alias("_matches")),
+        .agg(F.array_sort(F.collect_list("_entry")).alias("_entries"))
+        .select(*on, F.struct(shown(F.col("_entries")).alias("shown")).alias("_matches")),
         "matches",
     )
     keyed = df.withColumns({name: part.cast("string") for name, part in zip(on, parts)})
     joined = keyed.join(matches, on, "left")
-    return joined.withColumn(target, F.coalesce("_matches", empty)).drop("_matches", *on)
+    return joined.withColumn(target, _shown_or("_matches", shown(empty))).drop("_matches", *on)
+
+
+def _shown_or(column: str, missing: Column) -> Column:
+    """What is shown of the joined entries; ``missing`` where none were joined."""
+    return F.when(F.col(column).isNull(), missing).otherwise(F.col(f"{column}.shown"))
 
 
 def map_elements(
@@ -114,12 +125,14 @@ def map_elements(
     keys: list[str],
     values: list[str],
     names: list[str],
+    shown: Callable[[Column], Column] = lambda entries: entries,
 ) -> DataFrame:
     """``target``: the entries of every array element, in element order.
 
     An element without a match gives one entry of NULLs; an empty or NULL
     array gives NULL. With a large dimension ``df`` is written first, so that
-    what made it, as the parsing of payloads, is done once.
+    what made it, as the parsing of payloads, is done once. ``shown`` gives what a row
+    gets of its entries; with a large dimension it is made once a distinct array.
     """
     rows = _as_rows(dim, keys + values)
     nothing = F.array(F.struct(*[F.lit(None).cast("string").alias(n) for n in names]))
@@ -130,7 +143,7 @@ def map_elements(
                 elements, lambda e: F.coalesce(F.try_element_at(found, _key(parts(e))), nothing)
             )
         )
-        return df.withColumn(target, F.when(F.size(mapped) > 0, mapped))
+        return df.withColumn(target, shown(F.when(F.size(mapped) > 0, mapped)))
     on = [f"_key{i}" for i in range(len(keys))]
     keyed = F.transform(elements, lambda e: _key(parts(e)))
     stable = written(df.withColumn("_keys", F.when(F.size(elements) > 0, keyed)), "keyed")
@@ -145,7 +158,10 @@ def map_elements(
     regrouped = written(
         found.groupBy("_keys")
         .agg(F.array_sort(F.collect_list("_found")).alias("_found"))
-        .select("_keys", F.transform("_found", lambda f: f["_entry"]).alias(target)),
+        .select("_keys", F.transform("_found", lambda f: f["_entry"]).alias("_entries"))
+        .select("_keys", F.struct(shown(F.col("_entries")).alias("shown")).alias("_mapped")),
         "mapped-arrays",
     )
-    return stable.join(regrouped, "_keys", "left").drop("_keys")
+    nothing = F.lit(None).cast(f"array<{_entry_type(names)}>")
+    joined = stable.join(regrouped, "_keys", "left").withColumn(target, _shown_or("_mapped", shown(nothing)))
+    return joined.drop("_keys", "_mapped")

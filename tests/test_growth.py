@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
+import uuid
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from ofertario.operators import issuers
+from contract import order_offers, queries
+from ofertario.operators import issuers, mapping
+from ofertario.session import scratch
+from ofertario.sources import landing
 
 
 def _best_seconds(df) -> float:
@@ -28,3 +35,91 @@ def test_plain_key_looks_up_odd_characters_only(spark):
     }
     simple = rows.select(F.translate(F.lower("text"), "ñ", "n"))
     assert _best_seconds(keys) < 12 * _best_seconds(simple)
+
+
+def _text(entries):
+    return F.array_join(F.transform(entries, lambda e: F.coalesce(e["v"], F.lit("?"))), ",")
+
+
+@pytest.mark.parametrize("size", [40, 4000])
+def test_shown_is_made_once_for_each_key(spark, size):
+    dim = spark.range(size).select((F.col("id") % 10).alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    rows = spark.createDataFrame([(1, 3, [3, 77]), (2, None, None), (3, 99, []), (4, 3, [None, 4])], "id int, k int, ks array<int>")
+    folders: list[str] = []
+    with scratch(folders):
+        value = mapping.map_value(rows, "m", [F.col("k")], dim, ["k"], ["v"], ["v"], shown=_text)
+        elements = mapping.map_elements(rows, "m", "ks", lambda k: [k], dim, ["k"], ["v"], ["v"], shown=_text)
+    of_value = mapping.map_value(rows, "m", [F.col("k")], dim, ["k"], ["v"], ["v"]).withColumn("m", _text("m"))
+    of_elements = mapping.map_elements(rows, "m", "ks", lambda k: [k], dim, ["k"], ["v"], ["v"]).withColumn("m", _text("m"))
+    for got, expected in ((value, of_value), (elements, of_elements)):
+        assert got.columns == expected.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    kept = [spark.read.parquet(f).schema.simpleString() for f in folders]
+    assert sum("struct<shown:string>" in schema for schema in kept) == (2 if size > mapping.INLINE_ROWS else 0)
+
+
+@pytest.fixture
+def orders(spark, tmp_path):
+    """Orders of three months in 16 files, with their customers."""
+    day = F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 90).cast("int"))
+    facts = spark.range(0, 480, 1, 16).select(
+        F.col("id").alias("o_orderkey"),
+        (F.col("id") % 50).alias("o_custkey"),
+        F.lit("F").alias("o_orderstatus"),
+        day.alias("o_orderdate"),
+        F.lit("2-HIGH").alias("o_orderpriority"),
+    )
+    facts.write.parquet(f"{tmp_path}/orders.parquet")
+    customers = "id AS c_custkey", "'FURNITURE' AS c_mktsegment", "1L AS c_nationkey"
+    spark.range(50).selectExpr(*customers).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1, 2).selectExpr("id AS n_nationkey", "1L AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1, 2).selectExpr("id AS r_regionkey", "'ASIA' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    return str(tmp_path)
+
+
+def _files(path: str) -> dict[str, int]:
+    found: dict[str, int] = {}
+    for file in Path(path).glob("spider=*/scraped_at_dt=*/part-*"):
+        found[str(file.parent)] = found.get(str(file.parent), 0) + 1
+    return found
+
+
+def test_landed_files_follow_folders_not_tasks(spark, orders):
+    files = _files(queries._landed(spark, orders))
+    assert len(files) == 9 and sum(files.values()) <= 12
+    rows = queries._raw(spark, orders)
+    assert rows.count() == 480
+    text = F.to_json("raw_payload")
+    own = order_offers.rendered_orders(spark, orders).select(text, "spider", "scraped_at_dt")
+    assert rows.select(text, "spider", "scraped_at_dt").exceptAll(own).isEmpty()
+
+
+def test_one_file_a_folder_by_several_tasks(spark, orders, tmp_path):
+    rows = order_offers.rendered_orders(spark, orders)
+    before = spark.conf.get(landing._OPEN_FILES)
+    landing.write_landing(rows, f"{tmp_path}/one", files_per_folder=1)
+    landing.write_landing(rows, f"{tmp_path}/any")
+    assert spark.conf.get(landing._OPEN_FILES) == before
+    assert list(_files(f"{tmp_path}/one").values()) == [1] * 9
+    one, any_ = (spark.read.text(f"{tmp_path}/{name}") for name in ("one", "any"))
+    assert one.exceptAll(any_).isEmpty() and one.count() == any_.count() == 480
+
+
+def test_whole_folders_are_one_file_each(spark, orders, tmp_path):
+    landing.write_landing(order_offers.orders_by_folder(spark, orders, whole=True), f"{tmp_path}/whole")
+    assert list(_files(f"{tmp_path}/whole").values()) == [1] * 9
+    counts = [r["new_files"] for r in queries.s5_file_ledger(spark, orders).collect()]
+    assert counts == [1] * 18
+
+
+def test_arrivals_are_made_by_several_tasks(spark, orders):
+    group, tracker = uuid.uuid4().hex, spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "arrivals")
+    try:
+        counts = [r["new_files"] for r in queries.s5_new_files(spark, orders).collect()]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts == [2] * 3
+    jobs = filter(None, map(tracker.getJobInfo, tracker.getJobIdsForGroup(group)))
+    stages = filter(None, (tracker.getStageInfo(s) for job in jobs for s in job.stageIds))
+    assert max(s.numTasks for s in stages if s.numCompletedTasks) >= 8
