@@ -189,15 +189,30 @@ def _parsed(payload: Column) -> Column:
     return F.parse_json(F.to_json(payload))
 
 
-def rendered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as one raw record of the source its key falls to."""
-    facts = order_facts(spark, sf_dir)
+def _rendered(facts: DataFrame) -> DataFrame:
     payload = F
     for spider in SPIDERS:
         payload = payload.when(F.col("spider") == spider, F.to_json(PAYLOADS[spider]()))
     return facts.select(F.parse_json(payload).alias("raw_payload"), "spider", "scraped_at_dt")
 
 
+def rendered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as one raw record of the source its key falls to."""
+    return _rendered(order_facts(spark, sf_dir))
+
+
+def orders_by_folder(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """The rendered orders, those of a landing folder together and folders in order.
+
+    The narrow facts are brought together before payloads are made, so that no payload is
+    shuffled or sorted on its way to the zone. Large folders are dealt to several tasks;
+    with ``whole`` each lies in one.
+    """
+    folder, facts = ["spider", "scraped_at_dt"], order_facts(spark, sf_dir)
+    facts = facts.repartition(*folder) if whole else facts.hint("rebalance", *folder)
+    return _rendered(facts.sortWithinPartitions(*folder))
+
+
 def raw_orders_as(spark: SparkSession, sf_dir: str, spider: str) -> DataFrame:
     """Every order as a raw record of one source."""
     return order_facts(spark, sf_dir).select(

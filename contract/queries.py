@@ -16,7 +16,7 @@ from ofertario.session import fresh_folder, written
 from ofertario.sources import assemble, keyed, landing, seeds, tables
 from ofertario.streaming import alerts, distributions, fact_stream, landing_stream
 
-from .order_offers import raw_orders_as, rendered_orders, table
+from .order_offers import orders_by_folder, raw_orders_as, rendered_orders, table
 
 TIE = "$.seq"
 AS_OF = dt.date(2000, 12, 31)
@@ -67,7 +67,7 @@ def _landed(spark, sf) -> str:
     """The orders as JSON lines, one folder per source and month."""
 
     def land(path: str) -> None:
-        landing.write_landing(rendered_orders(spark, sf), path)
+        landing.write_landing(orders_by_folder(spark, sf), path)
 
     return _once(spark, sf, "landing", land)
 
@@ -139,7 +139,7 @@ def s1_read_landing(spark, sf):
 
 def s2_write_landing(spark, sf):
     path = fresh_folder(spark, "landing")
-    landing.write_landing(rendered_orders(spark, sf), path)
+    landing.write_landing(orders_by_folder(spark, sf), path)
     raw = landing.read_landing(spark, path, spider=SPIDERS)
     return raw.groupBy("spider", "scraped_at_dt").agg(
         F.count(F.lit(1)).alias("records"),
@@ -287,10 +287,9 @@ def s4_page_counts(spark, sf):
 def s5_new_files(spark, sf):
     """Two files land in each source; those from before the run do not count."""
     path = fresh_folder(spark, "arrivals")
-    rows = rendered_orders(spark, sf)
-    day = F.to_date(F.lit("2000-01-01"))
-    landing.write_landing(rows.withColumn("scraped_at_dt", day).coalesce(1), path)
-    landing.write_landing(rows.withColumn("scraped_at_dt", day).coalesce(1), path)
+    rows = rendered_orders(spark, sf).withColumn("scraped_at_dt", F.to_date(F.lit("2000-01-01")))
+    landing.write_landing(rows, path, files_per_folder=1)
+    landing.write_landing(rows, path, files_per_folder=1)
     early, late = dt.datetime(2000, 1, 1), dt.datetime(2200, 1, 1)
     now = landing.new_files(spark, path, early)
     later = landing.new_files(spark, path, late).withColumnRenamed("new_files", "later_files")
@@ -303,12 +302,12 @@ def s5_file_ledger(spark, sf):
     """One file a source and month; then one more for months from 2000 on. The second
     call lists those months only and takes what the first did not."""
     path, ledger = fresh_folder(spark, "arrivals"), fresh_folder(spark, "ledger")
-    rows = rendered_orders(spark, sf)
+    rows = orders_by_folder(spark, sf, whole=True)
     months = [r[0] for r in rows.select("scraped_at_dt").distinct().collect()]
     late = [m for m in months if m >= dt.date(2000, 1, 1)]
-    landing.write_landing(rows.coalesce(1), path)
+    landing.write_landing(rows, path)
     first = landing.take_new_files(spark, path, ledger, months)
-    landing.write_landing(rows.filter(F.col("scraped_at_dt").isin(late)).coalesce(1), path)
+    landing.write_landing(rows.filter(F.col("scraped_at_dt").isin(late)), path)
     second = landing.take_new_files(spark, path, ledger, late)
     runs = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
     return runs.select("run", "spider", "scraped_at_dt", "new_files")

@@ -69,13 +69,26 @@ def write_landing(df: DataFrame, path: str, files_per_folder: int | None = None)
     Every task writes its own file in each folder it has rows for. With
     ``files_per_folder`` the rows of a folder are first brought to that many
     tasks, by a hash of the payload, so that even a folder with most of the
-    rows is written by several.
+    rows is written by several. The tasks that made the rows also make their lines;
+    the writing ones keep the files of their folders open and sort nothing.
     """
     rows = df.select("raw_payload", *PARTITIONS)
-    if files_per_folder:
-        share = F.pmod(F.xxhash64(F.to_json("raw_payload")), F.lit(files_per_folder))
-        rows = rows.repartition(*PARTITIONS, share)
-    rows.write.partitionBy(*PARTITIONS).mode("append").json(path)
+    if not files_per_folder:
+        rows.write.partitionBy(*PARTITIONS).mode("append").json(path)
+        return
+    line, spark = F.to_json(F.struct("raw_payload")).alias("value"), df.sparkSession
+    share = F.pmod(F.xxhash64("value"), F.lit(files_per_folder))
+    lines = rows.select(line, *PARTITIONS).repartition(*PARTITIONS, share)
+    before = spark.conf.get(_OPEN_FILES)
+    spark.conf.set(_OPEN_FILES, max(int(before), 256))
+    try:
+        lines.write.partitionBy(*PARTITIONS).mode("append").text(path)
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
+
+
+#: How many files a task may write at a time; at 0 Spark sorts its rows by folder instead.
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def new_files(spark: SparkSession, path: str, since: dt.datetime) -> DataFrame:
