@@ -16,7 +16,7 @@ from ofertario.session import fresh_folder, written
 from ofertario.sources import assemble, keyed, landing, seeds, tables
 from ofertario.streaming import alerts, distributions, fact_stream, landing_stream
 
-from .order_offers import orders_by_folder, raw_orders_as, rendered_orders, table
+from .order_offers import orders_by_folder, raw_orders_as, table
 
 TIE = "$.seq"
 AS_OF = dt.date(2000, 12, 31)
@@ -287,7 +287,7 @@ def s4_page_counts(spark, sf):
 def s5_new_files(spark, sf):
     """Two files land in each source; those from before the run do not count."""
     path = fresh_folder(spark, "arrivals")
-    rows = rendered_orders(spark, sf).withColumn("scraped_at_dt", F.to_date(F.lit("2000-01-01")))
+    rows = orders_by_folder(spark, sf).withColumn("scraped_at_dt", F.to_date(F.lit("2000-01-01")))
     landing.write_landing(rows, path, files_per_folder=1)
     landing.write_landing(rows, path, files_per_folder=1)
     early, late = dt.datetime(2000, 1, 1), dt.datetime(2200, 1, 1)
