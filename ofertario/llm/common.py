@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import math
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,6 +14,8 @@ from ofertario.sources.tables import remove
 
 #: The bytes that end a word: space and 0x09 to 0x0D, as bytes.split() has them.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of texts that go to Python at once, and Spark's bound of them.
+TEXT_BATCH, BATCH_BYTES = 1 << 21, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +86,21 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts, in batches of at most ``TEXT_BATCH`` bytes.
+
+    Spark counts rows, 10,000 a batch unless told otherwise, and each running task holds a
+    batch several times: in the JVM's buffers, in Python's, and as Python's own strings. A
+    smaller bound of the session stays; the bound holds for the session from then on, as the
+    frame may be run later.
+    """
+    conf = df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)([kmgtp]?)b?", conf.get(BATCH_BYTES).strip().lower())
+    if not now or not 0 < int(now[1]) << 10 * " kmgtp".index(now[2] or " ") <= TEXT_BATCH:
+        conf.set(BATCH_BYTES, str(TEXT_BATCH))
+    return df.mapInArrow(function, schema)
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under plain names; other columns cannot clash."""
     return df.select(*[df[f"`{c}`"].alias(name) for name, c in columns.items()])

@@ -42,7 +42,7 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ofertario.llm.common import kept_last, only, release
+from ofertario.llm.common import kept_last, map_texts, only, release
 from ofertario.llm.components import components
 from ofertario.session import written
 
@@ -461,7 +461,7 @@ def _shared(
     fragments of two sets or more go on.
     """
     parts = int(cols.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = cols.select("text").mapInArrow(_keyed(words, percent, spare), KEYED).repartition(4 * parts, "fragment")
+    keyed = map_texts(cols.select("text"), _keyed(words, percent, spare), KEYED).repartition(4 * parts, "fragment")
     # Sets that several tasks have met; and sets without a document of an id.
     keyed = keyed.dropDuplicates(["fragment", "one"])
     together = Window.partitionBy("fragment")
@@ -482,7 +482,7 @@ def _linked(cols: DataFrame, words: int, percent: int, task_shingles: int, spare
     """``cols`` (doc_id, text) as doc_id, digest, n_shingles, component_id, stays: whether the
     row's set and id are those that its component is named by."""
     cols = cols.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("digest", F.xxhash64("text"))
-    points = written(cols.mapInArrow(_points(words), POINTS), "points")
+    points = written(map_texts(cols, _points(words), POINTS), "points")
     classes = points.where("size > 0").groupBy(F.col("one").alias("id"), "two", "size").agg(F.min("doc_id").alias("doc"))
     classes = written(classes.where("doc IS NOT NULL"), "classes")
     maybe, keys = _shared(cols, classes, words, percent, spare)
@@ -499,7 +499,7 @@ def _linked(cols: DataFrame, words: int, percent: int, task_shingles: int, spare
     # are texts sorted.
     wanted = sized.select(F.col("doc").alias("doc_id"), F.col("id").alias("one"), "gid").hint("shuffle_hash")
     texts = cols.select("doc_id", "text").join(wanted, "doc_id")
-    sets = texts.select("one", "gid", "text").mapInArrow(_sets(words), "id long, gid long, found binary")
+    sets = map_texts(texts.select("one", "gid", "text"), _sets(words), "id long, gid long, found binary")
     sets = written(sets, "sets")
     in_groups = lambda few: few.groupBy("gid").applyInPandas(_join_group(percent), EDGES)
     links = written(in_groups(sets.join(hot, "gid", "left_anti")), "links")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ofertario.llm.common import only
+from ofertario.llm.common import map_texts, only
 
 DIM = 1 << 13
 UNKNOWN = "und"
@@ -131,11 +131,11 @@ def fit(
     )
     kind = sample.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, lang string, places array<int>, found array<int>"
-    got = sample.mapInArrow(_sparse, schema).orderBy("lang", "doc_id").collect()
+    got = map_texts(sample, _sparse, schema).orderBy("lang", "doc_id").collect()
     if not got:
         return None
     in_docs, total = np.zeros(DIM), sum(r["count"] for r in sizes.collect())
-    holding = rows.select("text").mapInArrow(_holding, "place int, docs long").groupBy("place")
+    holding = map_texts(rows.select("text"), _holding, "place int, docs long").groupBy("place")
     for row in holding.agg(F.sum("docs").alias("docs")).collect():  # a row for each of DIM places
         in_docs[row["place"]] = row["docs"]
     model = Centroids(np.log((1 + total) / (1 + in_docs)) + 0.1, np.zeros((0, DIM)), [], np.zeros(0))
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: Centroids | None, id_col: str = "doc_id", te
     cols = only(docs, doc_id=id_col, text=text_col)
     kind = cols.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double, rejected boolean"
-    return cols.mapInArrow(_predict(model), schema)
+    return map_texts(cols, _predict(model), schema)
 
 
 def keep_known(docs: DataFrame, model: Centroids | None, text_col: str = "text") -> DataFrame:
@@ -204,4 +204,4 @@ def keep_known(docs: DataFrame, model: Centroids | None, text_col: str = "text")
             yield batch.filter(pa.array(known, pa.bool_()))
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+    return map_texts(plain, keep, plain.schema).toDF(*docs.columns)

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ofertario.llm.common import buckets_for, hash_bucket, only, sum_before
+from ofertario.llm.common import buckets_for, hash_bucket, map_texts, only, sum_before
 from ofertario.session import written
 
 SIZES = "doc_id {id_type}, source {source_type}, row long, shuffle long, size long"
@@ -85,7 +85,7 @@ def plan(
     cols = cols.withColumn("shuffle", F.xxhash64(F.lit(seed), "doc_id", "text"))
     kinds = {f.name: f.dataType.simpleString() for f in cols.schema.fields}
     schema = SIZES.format(id_type=kinds["doc_id"], source_type=kinds["source"])
-    sized = written(cols.mapInArrow(_sizes, schema), "sizes")
+    sized = written(map_texts(cols, _sizes, schema), "sizes")
     sources = written(
         source_targets(
             sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_repeats

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ofertario.llm.common import buckets_for, hash_bucket, only, sum_before
+from ofertario.llm.common import buckets_for, hash_bucket, map_texts, only, sum_before
 from ofertario.session import written
 
 WINDOW = 4096
@@ -235,8 +235,8 @@ def pack(
     cols = only(docs, doc_id=id_col, text=text_col)
     kind = cols.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    cut = cols.mapInArrow(
-        _pieces(tokenizer_path, window, end, keep_ids), schema + ", ids binary" * keep_ids
+    cut = map_texts(
+        cols, _pieces(tokenizer_path, window, end, keep_ids), schema + ", ids binary" * keep_ids
     )
     pieces = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
