@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ofertario.llm.common import only
+from ofertario.llm.common import map_texts, only
 from ofertario.session import written
 
 #: Most leaves of the token tree; classes of endings; most pairs whose price is broadcast.
@@ -58,6 +58,8 @@ COMMON, CLASSES, PRICED = 1 << 17, 32, 1 << 20
 SHIFT = 18
 #: Bytes of text cut into tokens at once; pairs and bytes worked on at once; words remembered.
 PART, PAIRS, BYTES, REMEMBERED = 1 << 20, 1 << 13, 1 << 16, 1 << 18
+#: Pairs gathered in a task before they are added up; rows sent from a worker at once.
+GATHERED, SENT = 1 << 22, 1 << 16
 #: Orders of the byte contexts and bits of their hashes.
 ORDERS, SLOT_BITS = 4, 20
 #: Orders whose counts choose the gate.
@@ -253,8 +255,15 @@ def unpacked(data: bytes, kind: str, shape: tuple[int, ...]) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), kind).reshape(shape)
 
 
-def _tokens(vocabulary: Vocabulary, by_class, mixer: Mixer) -> Tokens:
-    return Tokens(vocabulary, unpacked(*by_class), mixer)
+class Contexts:
+    """What the choices of a token need of the vocabulary: the tree and the endings, no names."""
+
+    def __init__(self, tree: Tree, kind: np.ndarray):
+        self.tree, self.kind = tree, kind
+
+
+def _tokens(contexts: Contexts, by_class, mixer: Mixer) -> Tokens:
+    return Tokens(contexts, (unpacked(*counts) for counts in by_class), mixer)
 
 
 def _letters(tree: Tree, counts, mixer: Mixer) -> Letters:
@@ -266,18 +275,23 @@ class Tokens:
 
     GATES, LEVELS = 8 * 3 * 4, 8
 
-    def __init__(self, vocabulary: Vocabulary, by_class: np.ndarray, mixer: Mixer | None = None):
-        self.vocabulary, self.by_class = vocabulary, by_class
+    def __init__(self, vocabulary: Vocabulary | Contexts, by_class, mixer: Mixer | None = None):
+        # Class by class and depth by depth: each worker builds this, and holds it once.
+        self.vocabulary = vocabulary
         tree = vocabulary.tree
-        zero = np.zeros((len(by_class), 1), np.int64)
-        self.sums = np.c_[zero, np.cumsum(by_class, axis=1)]
-        whole = np.r_[0, np.cumsum(by_class.sum(axis=0))]
-        zeros, ones = whole[tree.mid] - whole[tree.lo], whole[tree.hi] - whole[tree.mid]
-        self.plain = stretched(zeros, ones).astype(np.float32)
+        self.sums = np.zeros((CLASSES, len(tree.length) + 1), np.int64)
+        for counts, sums in zip(by_class, self.sums, strict=True):
+            np.cumsum(counts, out=sums[1:])
+        whole = self.sums.sum(axis=0)
+        self.plain = np.zeros(tree.mid.shape, np.float32)
+        for plain, lo, mid, hi in zip(self.plain, tree.lo, tree.mid, tree.hi, strict=True):
+            middle = whole.take(mid)
+            plain[:] = stretched(middle - whole.take(lo), whole.take(hi) - middle)
         self.mixer = mixer or Mixer(self.GATES, [0.3, 0.2, 0.6], self.LEVELS)
 
     def __reduce__(self):
-        return _tokens, (self.vocabulary, packed(self.by_class), self.mixer)
+        contexts = Contexts(self.vocabulary.tree, self.vocabulary.kind)
+        return _tokens, (contexts, [packed(np.diff(sums)) for sums in self.sums], self.mixer)
 
     def steps(self, keys: np.ndarray, seen: np.ndarray, apart: int):
         """Choices of a sorted block of whole contexts, depth by depth: rows, inputs,
@@ -432,6 +446,12 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _in_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A long batch in parts, so that nothing holds all of it on its way."""
+    for start in range(0, batch.num_rows, SENT):
+        yield batch.slice(start, SENT)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of tokens, b'' for the end; they leave in parts."""
 
@@ -454,25 +474,32 @@ def _pairs(shared):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of (token before, token), added up within stretches of a task."""
         vocabulary = shared.value
-        held: list[np.ndarray] = []
-        size = 0
+        held, size = np.zeros(GATHERED, np.int64), 0
 
-        def rows() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
-            return _batch(key=pa.array(keys, pa.int64()), n=pa.array(n, pa.int64()))
+        def rows(n: int) -> Iterator[pa.RecordBatch]:
+            held[:n].sort()
+            starts = np.flatnonzero(np.r_[n > 0, held[1:n] != held[: max(0, n - 1)]][:n])
+            for i in range(0, len(starts), SENT):
+                ends = np.r_[starts[i + 1 : i + SENT + 1], n][:SENT]
+                here = starts[i : i + SENT]
+                yield _batch(key=pa.array(held.take(here)), n=pa.array(ends - here))
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 before = vocabulary.end
-                for piece in tokens_of(text):
-                    keys, _, _, before = vocabulary.pairs(piece, before)
-                    held.append(keys)
-                    size += len(keys)
-                held.append(np.array([before << SHIFT | vocabulary.end]))
-                if size > 1 << 22:
-                    yield rows()
-                    held, size = [], 0
-        yield rows()
+                for piece in [*tokens_of(text), None]:
+                    if piece is None:
+                        keys = np.array([before << SHIFT | vocabulary.end])
+                    else:
+                        keys, _, _, before = vocabulary.pairs(piece, before)
+                    for start in range(0, len(keys), GATHERED):
+                        some = keys[start : start + GATHERED]
+                        if size + len(some) > GATHERED:
+                            yield from rows(size)
+                            size = 0
+                        held[size : size + len(some)] = some
+                        size += len(some)
+        yield from rows(size)
 
     return pairs
 
@@ -543,7 +570,7 @@ def _count_letters(shared):
                 shared.value.count(spelled[a:b], into)
         flat = into.reshape(-1)
         at = np.flatnonzero(flat)
-        yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(flat[at], pa.int64()))
+        yield from _in_slices(_batch(slot=pa.array(at, pa.int32()), n=pa.array(flat[at], pa.int64())))
 
     return count
 
@@ -615,7 +642,7 @@ def sorted_pairs(pairs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the counts of all training words (token, n)."""
     texts = only(docs, text=text_col)
-    counted = texts.mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = map_texts(texts, _count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = written(counted, "tokens")
     is_word = ~F.substring("token", 1, 1).isin(*[bytes([b]) for b in (32, *range(9, 14))])
     words = counted.where(is_word)
@@ -628,7 +655,7 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     vocabulary = Vocabulary(common, rare.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
     with shared_out(docs, vocabulary) as shared:
-        pairs = texts.mapInArrow(_pairs(shared), "key long, n long")
+        pairs = map_texts(texts, _pairs(shared), "key long, n long")
         pairs = written(pairs.groupBy("key").agg(F.sum("n").alias("n")), "pairs")
         tokens = Tokens(vocabulary, class_counts(pairs, vocabulary, shared))
     with shared_out(docs, tokens) as shared:
@@ -655,7 +682,7 @@ def class_counts(pairs: DataFrame, vocabulary: Vocabulary, shared) -> np.ndarray
             keys, n = (c.to_numpy() for c in batch.columns)
             np.add.at(into, shared.value.kind[keys >> SHIFT] * leaves + (keys & ((1 << SHIFT) - 1)), n)
         at = np.flatnonzero(into)
-        yield _batch(slot=pa.array(at, pa.int32()), n=pa.array(into[at], pa.int64()))
+        yield from _in_slices(_batch(slot=pa.array(at, pa.int32()), n=pa.array(into[at], pa.int64())))
 
     found = pairs.mapInArrow(add, "slot int, n long")
     return array_of(found, CLASSES * leaves, np.int64).reshape(CLASSES, leaves)
@@ -708,7 +735,7 @@ def _score(shared):
 
 def _prices(texts: DataFrame, model: Model, known, shared) -> DataFrame:
     """key, asked, nats of the different pairs of all texts."""
-    asked = texts.select("text").mapInArrow(_pairs(known), "key long, n long")
+    asked = map_texts(texts.select("text"), _pairs(known), "key long, n long")
     both = model.pairs.select("key", "n", F.lit(0).cast("long").alias("asked")).unionByName(
         asked.select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("asked"))
     )
@@ -733,7 +760,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
         " keys array<long>, rare array<binary>"
     )
     with shared_out(docs, (vocabulary, model.letters, keys[order], nats[order], model.total, model.distinct)) as shared:
-        scored = cols.mapInArrow(_score(shared), schema)
+        scored = map_texts(cols, _score(shared), schema)
         scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     floor = float(model.total + model.distinct + 1)
     count, zero = F.coalesce("n", F.lit(0)), F.lit(0.0)
