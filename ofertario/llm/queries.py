@@ -89,8 +89,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     apart = language.held_out(F.col("doc_id"), 7, 2)
-    model, words = lm.train(docs.where(~apart))
-    return lm.score(docs, model, words).withColumn("held_out", apart)
+    return lm.train_and_score(docs, apart).withColumn("held_out", apart)
 
 
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
