@@ -5,7 +5,8 @@ and the entries of one key in the order of their values, NULL first. A dimension
 at most ``INLINE_ROWS`` rows becomes a literal map, one more expression of the
 scan stage. A larger one is joined: the *distinct* arrays of raw keys are mapped
 and joined back by the array, so rows need no id. Keys are compared and values
-given as text.
+given as text. Rows with long texts are dealt to tasks by key, so that the files they
+are written to hold a text once and not once a row.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import written
 
 INLINE_ROWS = 256
+#: Bytes of different texts for one task. Parquet holds up to 1 MB of a column's different
+#: values once in each file; where there are more, it holds the value of every row. Less than
+#: that, as tasks get uneven shares.
+HELD_BYTES = 256 * 1024
+MOST_TASKS = 10_000
 
 
 def small_rows(dim: DataFrame, columns: list[str], limit: int = INLINE_ROWS) -> list[tuple] | None:
@@ -111,6 +117,41 @@ def map_value(
     return joined.withColumn(target, _shown_or("_matches", shown(empty))).drop("_matches", *on)
 
 
+def _joined(rows: DataFrame, on: list[str], found: DataFrame, column: str) -> DataFrame:
+    """``rows``, each with what was found for its key in ``column``, NULL for nothing.
+
+    Where the texts found have more than ``HELD_BYTES`` together, rows are counted by key in
+    one more pass. Then each key goes to as many tasks as let every task have that many bytes
+    of texts, and a key of more rows than a task's share, also NULL, to more of them.
+    """
+    if dict(found.dtypes)[column] != "struct<shown:string>":
+        return rows.join(found, on, "left")
+    size = F.coalesce(F.sum(F.octet_length(f"{column}.shown")), F.lit(0))
+    if found.agg(size).first()[0] <= HELD_BYTES:
+        return rows.join(found, on, "left")
+    counted = written(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), "rows-by-key")
+    used = found.join(counted, on)
+    held, total = used.agg(size).first()[0], counted.agg(F.sum("_rows")).first()[0]
+    if held <= HELD_BYTES:
+        return rows.join(found, on, "left")
+    # Fewer than usual, Spark would shuffle anew for the join.
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, min(-(-held // HELD_BYTES), MOST_TASKS))
+    usual = max(1, tasks * HELD_BYTES // held)
+    share = -(-total // tasks)
+    pieces = F.greatest(F.ceil(F.col("_rows") / share).cast("int"), F.lit(usual))
+    # Fewer keys than tasks have more rows than a share.
+    large = counted.filter(pieces > usual).select(*[F.col(k).alias(f"_large{k}") for k in on], pieces.alias("_pieces"))
+    same = [F.col(k).eqNullSafe(F.col(f"_large{k}")) for k in on]
+    hashed = [F.col(c) for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    piece = F.pmod(F.xxhash64(*hashed), F.coalesce("_pieces", F.lit(usual))).cast("int")
+    dealt = rows.join(F.broadcast(large), same, "left").select(*rows.columns, piece.alias("_piece"))
+    texts = used.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_rows")
+    by = [*on, "_piece"]
+    texts = texts.repartition(tasks, *by).hint("shuffle_hash")
+    return dealt.repartition(tasks, *by).join(texts, by, "left").drop("_piece")
+
+
 def _shown_or(column: str, missing: Column) -> Column:
     """What is shown of the joined entries; ``missing`` where none were joined."""
     return F.when(F.col(column).isNull(), missing).otherwise(F.col(f"{column}.shown"))
@@ -163,5 +204,6 @@ def map_elements(
         "mapped-arrays",
     )
     nothing = F.lit(None).cast(f"array<{_entry_type(names)}>")
-    joined = stable.join(regrouped, "_keys", "left").withColumn(target, _shown_or("_mapped", shown(nothing)))
+    joined = _joined(stable, ["_keys"], regrouped, "_mapped")
+    joined = joined.withColumn(target, _shown_or("_mapped", shown(nothing)))
     return joined.drop("_keys", "_mapped")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 import uuid
 from pathlib import Path
@@ -58,6 +59,36 @@ def test_shown_is_made_once_for_each_key(spark, size):
     assert sum("struct<shown:string>" in schema for schema in kept) == (2 if size > mapping.INLINE_ROWS else 0)
 
 
+def _long_texts(spark, kind):
+    """Long texts mapped to rows, half of them of one key and a quarter of none; the texts by key."""
+    parts = [F.sha2(F.concat_ws("-", "id", F.lit(i)), 512) for i in range(5)]
+    dim = spark.range(4000).select((F.col("id") % 40).alias("k"), F.concat(*parts).alias("v"))
+    place = F.floor(F.col("id") / 4) % 41
+    key = F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 4 == 1, F.when(place < 40, place).otherwise(99))
+    rows = spark.range(0, 4000, 1, 8).select("id", key.alias("k"))
+    texts = {r.k: r.t for r in dim.groupBy("k").agg(_text(F.array_sort(F.collect_list(F.struct("v")))).alias("t")).collect()}
+    if kind == "value":
+        return rows, mapping.map_value(rows, "m", [F.col("k")], dim, ["k"], ["v"], ["v"], shown=_text), texts | {None: "", 99: ""}
+    arrays = rows.withColumn("ks", F.when(F.col("k").isNotNull(), F.array("k")))
+    mapped = mapping.map_elements(arrays, "m", "ks", lambda k: [k], dim, ["k"], ["v"], ["v"], shown=_text)
+    return rows, mapped.drop("ks"), texts | {None: None, 99: "?"}
+
+
+@pytest.mark.parametrize("kind", ["elements"])
+def test_files_hold_a_long_text_once(spark, tmp_path, kind):
+    rows, mapped, texts = _long_texts(spark, kind)
+    mapped.write.parquet(f"{tmp_path}/out")
+    size = sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet"))
+    assert size < 2 * sum(len(t or "") for t in texts.values())
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert found.columns == ["id", "k", "m"]
+    read = found.select("id", "k", F.md5("m").alias("m"), F.input_file_name().alias("file")).collect()
+    md5 = {k: None if t is None else hashlib.md5(t.encode()).hexdigest() for k, t in texts.items()}
+    assert sorted((r.id, r.m) for r in read) == sorted((r.id, md5[r.k]) for r in rows.collect())
+    for key in (0, None):
+        assert len({r.file for r in read if r.k == key}) > 1
+
+
 @pytest.fixture
 def orders(spark, tmp_path):
     """Orders of three months in 16 files, with their customers."""
