@@ -113,7 +113,7 @@ def map_value(
         "matches",
     )
     keyed = df.withColumns({name: part.cast("string") for name, part in zip(on, parts)})
-    joined = keyed.join(matches, on, "left")
+    joined = _joined(keyed, on, matches, "_matches")
     return joined.withColumn(target, _shown_or("_matches", shown(empty))).drop("_matches", *on)
 
 

@@ -74,7 +74,7 @@ def _long_texts(spark, kind):
     return rows, mapped.drop("ks"), texts | {None: None, 99: "?"}
 
 
-@pytest.mark.parametrize("kind", ["elements"])
+@pytest.mark.parametrize("kind", ["value", "elements"])
 def test_files_hold_a_long_text_once(spark, tmp_path, kind):
     rows, mapped, texts = _long_texts(spark, kind)
     mapped.write.parquet(f"{tmp_path}/out")
